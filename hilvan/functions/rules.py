@@ -538,14 +538,14 @@ def bay(
 
 # --- nodes ---------------------------------------------------------------------------
 
-def node_rule(node_a: Column, node_b: Column, allowed: Column) -> Column:
-    """One allowed id: both ends must equal it. Several: each end must be one of them."""
-    only = F.get(allowed, 0)
-    outside = lambda n: (n != "") & ~F.array_contains(allowed, n)
+def node_rule(
+    node_a: Column, node_b: Column, allowed: Column, only: Column, a_known: Column, b_known: Column
+) -> Column:
+    """One allowed id (``only``): both ends must equal it. Several: each end is one of them."""
+    outside = ((node_a != "") & ~a_known) | ((node_b != "") & ~b_known)
     return messages(
-        ((F.size(allowed) == 1) & ((node_a != only) | (node_b != only)),
+        ((allowed == 1) & ((node_a != only) | (node_b != only)),
          text("NODO INVÁLIDO | CORREGIR SEGÚN ODFS: A='", only, "', B='", only, "' | ACTUAL A='",
               node_a, "' B='", node_b, "'")),
-        ((F.size(allowed) > 1) & (outside(node_a) | outside(node_b)),
-         "NODO A Y B | Nodos no coinciden con ODFS"),
+        ((allowed > 1) & outside, "NODO A Y B | Nodos no coinciden con ODFS"),
     )

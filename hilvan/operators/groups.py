@@ -152,9 +152,10 @@ def ordered_list(order: Sequence[Column], **entries: Column) -> Column:
     return F.array_sort(F.collect_list(F.struct(*fields, *[v.alias(k) for k, v in entries.items()])))
 
 
-def joined(ordered: Column, field: str, separator: str) -> Column:
+def joined(ordered: Column, field: str, separator: str | Column) -> Column:
     """Text of one field of an ordered list; nulls are skipped."""
-    return F.array_join(F.transform(ordered, lambda e: e[field]), separator)
+    between = F.lit(separator) if isinstance(separator, str) else separator
+    return F.call_function("array_join", F.transform(ordered, lambda e: e[field]), between)
 
 
 def ordered_text(
@@ -163,7 +164,7 @@ def ordered_text(
     entry: Column,
     order: Sequence[Column],
     bucket: Column,
-    separator: str,
+    separator: str | Column,
     limit: int = CELL_ENTRIES,
     name: str = "text",
 ) -> DataFrame:

@@ -26,6 +26,8 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
