@@ -14,6 +14,7 @@ from hilvan.functions.text import (
     as_column,
     blank,
     company_name,
+    is_zero,
     odd_characters,
     starts_with_any,
     strip,
@@ -49,15 +50,24 @@ CLIENT_BUILDINGS_LIMIT = 5
 VALID, EMPTY, INVALID = "VÁLIDO", "VACÍO", "INVÁLIDO"
 
 
+def no_messages() -> Column:
+    return F.array().cast("array<string>")
+
+
 def messages(*checks: tuple[Column, Column | str]) -> Column:
-    """Array of the texts whose condition is true (null counts as false)."""
-    return F.array_compact(
-        F.array(*[F.when(cond, F.lit(text) if isinstance(text, str) else text) for cond, text in checks])
+    """Array of the texts whose condition is true (null counts as false).
+
+    Concatenated one-element arrays stay inside generated code; filtering nulls out of
+    one array would evaluate every rule row by row in the interpreter.
+    """
+    nothing = no_messages()
+    return F.concat(
+        *[F.when(cond, F.array(F.lit(text) if isinstance(text, str) else text)).otherwise(nothing) for cond, text in checks]
     )
 
 
 def all_of(*arrays: Column) -> Column:
-    return F.flatten(F.array(*arrays))
+    return F.concat(*arrays)
 
 
 def text(*pieces: Column | str) -> Column:
@@ -82,11 +92,11 @@ def whitespace(value: Column | str, field: str) -> Column:
     )
 
 
-def whitespace_kinds(value: Column | str) -> Column:
+def whitespace_kinds(value: Column | str, tail: Column | str = "") -> Column:
     value = as_column(value)
     return messages(
-        (value.contains("\t"), "TABS"),
-        (value.contains("  ") | value.startswith(" ") | value.endswith(" "), "ESPACIOS_DOBLES"),
+        (value.contains("\t"), text("TABS", tail)),
+        (value.contains("  ") | value.startswith(" ") | value.endswith(" "), text("ESPACIOS_DOBLES", tail)),
     )
 
 
@@ -165,7 +175,7 @@ def splice_name(name: Column | str) -> Column:
     upper = F.upper(strip(raw))
     sub = upper.contains("-SUB")
     odd = odd_characters(upper, r"(ET|NAP|EA|OB)[0-9_\-P]")
-    doubled = F.array_sort(F.array_distinct(F.regexp_extract_all(upper, F.lit(r"(([A-Z])\2)"), F.lit(1))))
+    doubled = F.sort_array(F.array_distinct(F.regexp_extract_all(upper, F.lit(r"(([A-Z])\2)"), F.lit(1))))
     return all_of(
         whitespace(raw, "NOMBRE"),
         messages(
@@ -278,14 +288,14 @@ def client_name(
     """
     checked = F.upper(strip(status)).isin("IN SERVICE", "IS") | F.upper(strip(comments)).contains("ADICION")
     own = strip(name)
-    marks = F.transform(whitespace_kinds(own), lambda k: text(k, " - valor: '", own, "'"))
+    marks = F.array_join(whitespace_kinds(own, text(" - valor: '", own, "'")), " | ")
     client, site = company_name(own), company_name(building)
     exempt = starts_with_any(site, BUILDING_PREFIXES) | starts_with_any(F.upper(building), BUILDING_PREFIXES)
     differs = ~(site.contains(client) | client.contains(site))
     few = F.coalesce(client_buildings, F.lit(0)) <= CLIENT_BUILDINGS_LIMIT
     fault = (
         F.when(blank(name), F.lit("NOMBRE CLIENTE VACIO"))
-        .when(F.size(marks) > 0, text("NOMBRE CLIENTE: ", F.array_join(marks, " | ")))
+        .when(marks != "", text("NOMBRE CLIENTE: ", marks))
         .when(spaced_legal_form(own), SPACED_FORM_MESSAGE)
         .when(client_name_format(own).isNotNull(), client_name_format(own))
         .when(
@@ -387,15 +397,11 @@ def bandwidth_unit(value: Column | str) -> Column:
 
 
 def ipv4(value: Column | str) -> Column:
-    """VACÍO, VÁLIDO or INVÁLIDO for an address with optional mask."""
-    v = strip(value)
-    pattern = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?:/(\d{1,2}))?$"
-    part = lambda i: F.regexp_extract(v, pattern, i).try_cast("int")
-    in_range = F.coalesce(part(5) <= 32, F.lit(True))
-    for i in range(1, 5):
-        in_range = in_range & (part(i) <= 255)
+    """VACÍO, VÁLIDO or INVÁLIDO for an address with optional mask up to 32."""
+    octet = r"(?:25[0-5]|2[0-4]\d|[01]?\d?\d)"
+    address = rf"^{octet}(?:\.{octet}){{3}}(?:/(?:3[0-2]|[0-2]?\d))?$"
     return (
-        F.when(blank(value), F.lit(EMPTY)).when(v.rlike(pattern) & in_range, VALID).otherwise(INVALID)
+        F.when(blank(value), F.lit(EMPTY)).when(strip(value).rlike(address), VALID).otherwise(INVALID)
     )
 
 
@@ -409,8 +415,7 @@ def in_service_port(
     change_upper = F.upper(change)
     sid = text_or_empty(service_id)
     sid_clean = strip(without_control(sid))
-    from_text = lambda c: F.coalesce(strip(c).try_cast("double") == 0, F.lit(False))
-    project_zero = from_text(project)
+    project_zero = is_zero(project)
     bad_change = (
         (F.length(change_upper) < 7)
         | ~starts_with_any(change_upper, SERVICE_CHANGE_PREFIXES)
@@ -422,7 +427,7 @@ def in_service_port(
         | ~starts_with_any(sid_clean, SERVICE_ID_PREFIXES)
     )
     return messages(
-        (from_text(address), "DIRECCION CLIENTE = 0"),
+        (is_zero(address), "DIRECCION CLIENTE = 0"),
         (project_zero, "PROYECTO DE RED VACIO = 0"),
         (~project_zero & (proj != "") & ~proj_clean.rlike(r"^[A-Z0-9]+$"),
          text("PROYECTO DE RED VACIO'", proj, "'")),

@@ -72,9 +72,9 @@ def expand_exponent_id(c: Column | str) -> Column:
     The cast to bigint of such text is null, so it goes through double and decimal.
     """
     c = as_column(c)
-    value = c.try_cast("double")
+    value = F.when(c.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)[eE][+-]?\d+\s*$"), c).try_cast("double")
     whole = (value - value % 1).try_cast("decimal(38,0)").cast("string")
-    return F.when(F.lower(c).contains("e"), F.coalesce(whole, c)).otherwise(c)
+    return F.coalesce(whole, c)
 
 
 def first_item(c: Column | str, separator: str = ",") -> Column:
@@ -85,14 +85,14 @@ def first_item(c: Column | str, separator: str = ",") -> Column:
 # --- ports ---------------------------------------------------------------------------
 
 def clean_port(c: Column | str) -> Column:
-    """Keep digits, '/' and '-', drop one trailing '/', strip zeros per '/' segment."""
+    """Keep digits, '/' and '-', drop one trailing '/', strip zeros per '/' segment.
+
+    An empty segment reads '0'. Replacements only, so it stays in generated code.
+    """
     kept = F.regexp_replace(as_column(c), "[^0-9/-]", "")
     kept = F.regexp_replace(kept, "/$", "")
-    segments = F.transform(
-        F.split(kept, "/"),
-        lambda s: F.coalesce(null_if_empty(F.ltrim(s, F.lit("0"))), F.lit("0")),
-    )
-    return F.array_join(segments, "/")
+    stripped = F.regexp_replace(kept, "(^|/)0+(?=[^/])", "$1")
+    return F.regexp_replace(stripped, "(^|/)(?=/|$)", r"$1\0")
 
 
 def port_parts(c: Column | str) -> Column:
@@ -240,7 +240,7 @@ def odd_characters(c: Column | str, allowed: str) -> Column:
     """Characters outside ``allowed`` (a regex), once each, in code-point order."""
     rest = F.regexp_replace(as_column(c), allowed, "")
     characters = F.regexp_extract_all(rest, F.lit("(?s)."), F.lit(0))
-    return F.array_join(F.array_sort(F.array_distinct(characters)), "")
+    return F.array_join(F.sort_array(F.array_distinct(characters)), "")
 
 
 def without_control(c: Column | str) -> Column:
@@ -288,7 +288,9 @@ def expected_splice_type(c: Column | str) -> Column:
 
 def is_zero(c: Column | str) -> Column:
     """True for a number or text that is zero; never null."""
-    return F.coalesce(strip(as_column(c).cast("string")).try_cast("double") == 0, F.lit(False))
+    # A pattern: casting text that is no number costs an exception per row.
+    zero = strip(as_column(c).cast("string")).rlike(r"^[+-]?(0+\.?0*|\.0+)([eE][+-]?\d+)?$")
+    return F.coalesce(zero, F.lit(False))
 
 
 def loose_date(c: Column | str) -> Column:

@@ -149,13 +149,13 @@ def with_part(
 def ordered_list(order: Sequence[Column], **entries: Column) -> Column:
     """Aggregate: entries of a group as structs in the given order."""
     fields = [c.alias(f"o{i}") for i, c in enumerate(order)]
-    return F.array_sort(F.collect_list(F.struct(*fields, *[v.alias(k) for k, v in entries.items()])))
+    return F.sort_array(F.collect_list(F.struct(*fields, *[v.alias(k) for k, v in entries.items()])))
 
 
 def joined(ordered: Column, field: str, separator: str | Column) -> Column:
     """Text of one field of an ordered list; nulls are skipped."""
     between = F.lit(separator) if isinstance(separator, str) else separator
-    return F.call_function("array_join", F.transform(ordered, lambda e: e[field]), between)
+    return F.call_function("array_join", ordered.getField(field), between)
 
 
 def ordered_text(

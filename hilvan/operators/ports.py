@@ -364,14 +364,14 @@ def consolidate(
 
     def sorted_numbers(values: Column, sep: str) -> Column:
         digits = F.filter(values, lambda v: v.rlike(r"^\d+$"))
-        return F.array_join(F.array_sort(F.transform(digits, lambda v: v.cast("decimal(38,0)"))).cast("array<string>"), sep)
+        return F.array_join(F.sort_array(F.transform(digits, lambda v: v.cast("decimal(38,0)"))).cast("array<string>"), sep)
 
     if not has_group_over(rows, keys, limit):
         entry = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(at)], *lists)
-        grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_rows"))
+        grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
         texts = []
         for name, sep in lists.items():
-            values = F.transform("_rows", lambda r, n=name: r[n])
+            values = F.col("_rows").getField(name)
             make = sorted_numbers if name == numeric else distinct_text
             texts.append(make(values, sep).alias(name))
         return grouped.select(*keys, *texts, F.lit(0).cast("bigint").alias("parte"))

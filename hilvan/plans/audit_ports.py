@@ -100,7 +100,6 @@ def port_messages() -> Column:
     c = F.col
     equipment, port = R.central_equipment("equipo_central"), R.central_port("puerto_central")
     in_service = F.upper(strip("ps")) == "IN SERVICE"
-    nothing = F.array().cast("array<string>")
     fields = (
         (text_or_empty("tipo_senal"), "TIPO SEÑAL"), (c("desc"), "DESCRIPTION"), (c("ps"), "PHYSICAL STATUS"),
         (c("type"), "TYPE"), (c("connector_type"), "CONNECTOR TYPE"), (c("proyecto_red"), "PROYECTO DE RED"),
@@ -116,7 +115,7 @@ def port_messages() -> Column:
             R.in_service_port(
                 c("direccion_cliente_id"), c("proyecto_red"), c("anillo"), c("cambio_service_manager"), c("id_servicio")
             ),
-        ).otherwise(nothing),
+        ).otherwise(R.no_messages()),
         R.messages(
             (equipment != R.VALID, R.text("EQUIPO CENTRAL (", strip("equipo_central"), ")")),
             (port != R.VALID, R.text("PUERTO CENTRAL (", strip("puerto_central"), ")")),
