@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hilvan.functions.text import as_column, comparison_key, normalise_id, strip
+from hilvan.session import cut_lineage
 
 # Most entries that one text cell lists. A longer list continues in further rows,
 # numbered by ``part`` (0 for the first): nothing is dropped.
@@ -100,9 +101,12 @@ def pooled_majority(
     return won.withColumn("percent", F.col("votes") / F.col("total") * 100)
 
 
-def has_group_over(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+def has_group_over(
+    df: DataFrame, keys: Sequence[str], limit: int, weight: Column | None = None
+) -> bool:
     """True if some group has more than ``limit`` rows (one slim pass over the keys)."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    sizes = df.groupBy(*keys).agg(size.alias("_n"))
     return not sizes.filter(F.col("_n") > limit).isEmpty()
 
 
@@ -167,18 +171,22 @@ def ordered_text(
     separator: str | Column,
     limit: int = CELL_ENTRIES,
     name: str = "text",
+    cut: bool = True,
 ) -> DataFrame:
     """Entries of each group joined in order: keys, ``part``, ``entries``, ``name``.
 
     A cell cannot hold a third of all rows. Groups up to ``limit`` entries give one row
     with part 0. Larger groups give one row per ``limit`` entries, so the parts joined in
     order are the whole text and no task holds more than ``limit`` entries of a group.
+    The sizes are looked at first; ``cut`` writes the slim rows once, so that what they
+    come from is not run again for it. Rows read straight from a table need no cut.
     """
     slim = df.select(
         *keys, entry.alias("_entry"), bucket.alias("_bucket"),
         *[c.alias(f"_o{i}") for i, c in enumerate(order)],
     )
     at = [F.col(f"_o{i}") for i in range(len(order))]
+    slim = cut_lineage(slim) if cut else slim
     parted = with_part(slim, keys, at, F.col("_bucket"), limit)
     grouped = parted.groupBy(*keys, "part").agg(
         F.count(F.lit(1)).alias("entries"), ordered_list(at, e=F.col("_entry")).alias("_list")

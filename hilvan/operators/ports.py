@@ -29,11 +29,12 @@ from hilvan.functions.text import (
     trunk_panel_parts,
 )
 from hilvan.operators.groups import CELL_ENTRIES, first_wins, has_group_over, last_wins, ordered_text
+from hilvan.session import cut_lineage
 
 NO_POSITION = "SIN_POS"
 
 
-# --- lookups from the port inventory (id, desc, desc2, desc3, id_bay, seq) -------------
+# --- lookups from the port inventory (id, desc1, desc2, desc3, id_bay, seq) -------------
 
 def backbone_lookup(ports: DataFrame) -> DataFrame:
     """(equipment, slot, mid, number) -> id of the port that the matching accepts.
@@ -43,7 +44,7 @@ def backbone_lookup(ports: DataFrame) -> DataFrame:
     """
     named = ports.select(
         F.col("desc3").alias("equipment"), slot_number("desc2").alias("slot"),
-        port_kind("desc").alias("kind"), port_number("desc").alias("number"), "id", "seq",
+        port_kind("desc1").alias("kind"), port_number("desc1").alias("number"), "id", "seq",
     ).filter("slot IS NOT NULL AND kind IS NOT NULL AND number IS NOT NULL")
     slots = named.groupBy("equipment", "slot").agg(
         F.bool_or(F.col("kind") == "XG").alias("_has_xg")
@@ -60,7 +61,7 @@ def patch_lookup(ports: DataFrame) -> DataFrame:
     """(tray, panel key, token) -> id; only shelves named 'OP'; the first row wins."""
     rows = ports.select(
         tray_letter("desc2").alias("tray"), strip("desc3").alias("panel_key"),
-        strip("desc").alias("token"), "id", "seq", "desc3",
+        strip("desc1").alias("token"), "id", "seq", "desc3",
     ).filter(
         F.col("tray").isNotNull() & F.upper("desc3").contains("OP")
         & (F.col("panel_key") != "") & (F.col("token") != "")
@@ -75,11 +76,11 @@ def bay_lookup(ports: DataFrame) -> DataFrame:
 
 
 def trunk_ports(ports: DataFrame) -> DataFrame:
-    """Trunk-panel rows (id, fibre, panel, desc, rest) of ports (id, desc, desc_shelf, seq)."""
+    """Trunk-panel rows (id, fibre, panel, port, rest) of ports (id, desc1, desc_shelf, seq)."""
     parts = trunk_panel_parts("desc_shelf")
     return ports.filter(F.col("desc_shelf").startswith("OT")).select(
         "id", parts["fibre"].alias("fibra"), parts["panel"].alias("nombre_odf"),
-        F.col("desc").alias("desc_port"), parts["rest"].alias("desc_shelf"), "seq",
+        F.col("desc1").alias("desc_port"), parts["rest"].alias("desc_shelf"), "seq",
     )
 
 
@@ -353,45 +354,57 @@ def consolidate(
 
     ``lists`` maps a column to its separator. Values are joined once each in first-seen
     order; those of ``numeric`` keep repeats, drop what is not digits and are sorted as
-    numbers. Nulls of the equal columns group together. A group above ``limit`` rows
-    continues in rows with ``parte`` 1, 2, ...; see ``ordered_text``.
+    numbers. Nulls of the equal columns group together. Copies of a row are counted
+    before the shuffle and written once; a group above ``limit`` rows continues in rows
+    with ``parte`` 1, 2, ... (see ``ordered_text``; ``bucket`` is an expression over the
+    order columns).
     """
     keys = [c for c in rows.columns if c not in lists and c not in order and c not in exclude]
-    at = [F.col(c) for c in order]
+    once = cut_lineage(
+        rows.groupBy(*keys, *lists).agg(F.min(F.struct(*order)).alias("_at"), F.count(F.lit(1)).alias("_n"))
+    )
 
     def distinct_text(values: Column, sep: str) -> Column:
         return F.array_join(F.array_distinct(F.array_compact(values)), sep)
 
-    def sorted_numbers(values: Column, sep: str) -> Column:
-        digits = F.filter(values, lambda v: v.rlike(r"^\d+$"))
-        return F.array_join(F.sort_array(F.transform(digits, lambda v: v.cast("decimal(38,0)"))).cast("array<string>"), sep)
-
-    if not has_group_over(rows, keys, limit):
-        entry = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(at)], *lists)
-        grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
-        texts = []
-        for name, sep in lists.items():
-            values = F.col("_rows").getField(name)
-            make = sorted_numbers if name == numeric else distinct_text
-            texts.append(make(values, sep).alias(name))
+    def sorted_numbers(name: str, sep: str) -> Column:
+        digits = F.filter("_rows", lambda r: r[name].rlike(r"^\d+$"))
+        repeated = F.flatten(
+            F.transform(digits, lambda r: F.array_repeat(r[name].cast("decimal(38,0)"), r["_n"].cast("int")))
+        )
+        return F.array_join(F.sort_array(repeated).cast("array<string>"), sep)
+
+    if not has_group_over(once, keys, limit, F.col("_n")):
+        grouped = once.groupBy(*keys).agg(
+            F.sort_array(F.collect_list(F.struct("_at", "_n", *lists))).alias("_rows")
+        )
+        texts = [
+            (sorted_numbers(name, sep) if name == numeric else distinct_text(F.col("_rows").getField(name), sep)).alias(name)
+            for name, sep in lists.items()
+        ]
         return grouped.select(*keys, *texts, F.lit(0).cast("bigint").alias("parte"))
 
     if bucket is None:
         raise ValueError("a group is too large for one cell: give a bucket along the order")
-    marked = rows.withColumn("_key", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})).withColumn("_b", bucket)
+    marked = once.select(
+        "*", "_at.*", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_key")
+    ).withColumn("_b", bucket)
     whole = marked.select("_key", *keys).dropDuplicates(["_key"])
     parts = None
     for name, sep in lists.items():
         value = F.col(name).cast("string")
         if name == numeric:
-            slim = marked.filter(value.rlike(r"^\d+$")).withColumn("_n", value.cast("decimal(38,0)"))
+            slim = (
+                marked.filter(value.rlike(r"^\d+$")).withColumn("_v", value.cast("decimal(38,0)"))
+                .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+            )
             cell = ordered_text(
-                slim, ["_key"], F.col("_n").cast("string"), [F.col("_n"), *at], F.floor(F.col("_n") / 1000),
-                sep, limit, name,
+                slim, ["_key"], F.col("_v").cast("string"), [F.col("_v"), F.col("_at"), F.col("_copy")],
+                F.struct("_v", F.floor(F.col("_copy") / limit)), sep, limit, name,
             )
         else:
             seen = marked.filter(value.isNotNull()).groupBy("_key", name).agg(
-                F.min(F.struct(*order)).alias("_at"), F.min("_b").alias("_b")
+                F.min("_at").alias("_at"), F.min("_b").alias("_b")
             )
             cell = ordered_text(seen, ["_key"], value, [F.col("_at")], F.col("_b"), sep, limit, name)
         cell = cell.drop("entries")

@@ -10,6 +10,7 @@ from hilvan.functions.text import company_name, normalise_id, report_text, strip
 from hilvan.operators.groups import CELL_ENTRIES, first_wins, last_wins, ordered_text
 from hilvan.operators.sequence import state_sequence
 from hilvan.plans.findings import findings, one, usable_rows
+from hilvan.session import cut_lineage
 
 # Logical column and header of a port export with shelf and bay columns.
 COLUMNS = {
@@ -188,11 +189,13 @@ def group_by_shelf(raw: DataFrame, limit: int = CELL_ENTRIES) -> DataFrame:
 
     A port without shelf stands alone.
     """
+    # Ids and first rows both come from it: the whole port audit is run once.
+    raw = cut_lineage(raw)
     keyed = raw.withColumn("_group", F.when(F.col("shelf_id") == "", F.concat(F.lit("\0"), "id")).otherwise(F.col("shelf_id")))
     keys = ["_group", "message"]
     ids = ordered_text(
         keyed, keys, F.col("id"), [F.col("stage"), F.col("seq")],
-        F.struct("stage", F.floor(F.col("seq") / limit)), " , ", limit, "ids",
+        F.struct("stage", F.floor(F.col("seq") / limit)), " , ", limit, "ids", cut=False,
     )
     first = keyed.groupBy(*keys).agg(
         F.min(F.struct("stage", "seq", "shown")).alias("_first")

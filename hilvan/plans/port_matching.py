@@ -15,7 +15,7 @@ def match_sheets(sheets: DataFrame, ports: DataFrame) -> DataFrame:
     """Adds ``id_port_cabecera``, the backbone port, to equipment sheet rows.
 
     ``sheets``: archivo, equipo, puerto, odf, cassetera, pos, pos2, seq.
-    ``ports``: id, desc, desc2, desc3, id_bay, seq.
+    ``ports``: id, desc1, desc2, desc3, id_bay, seq.
     """
     return P.with_backbone(sheets, P.backbone_lookup(ports), "equipo", "puerto", "id_port_cabecera")
 

@@ -162,10 +162,11 @@ def trace_elements(
     )
     opening = ordered_text(
         to_building.filter("_b_at IS NOT NULL"), [*keys, "_b_at"], F.col("line"), [F.col("_at")], bucket,
-        "\n", limit, "_first",
+        "\n", limit, "_first", cut=False,
     ).drop("entries")
     leftover = ordered_text(
-        to_building.filter("_b_at IS NULL"), keys, F.col("line"), [F.col("_at")], bucket, "\n", limit, "_rest"
+        to_building.filter("_b_at IS NULL"), keys, F.col("line"), [F.col("_at")], bucket, "\n", limit, "_rest",
+        cut=False,
     )
     in_building = carried.filter(
         F.col("_is_port") & F.col("_seen").isNotNull() & F.coalesce(F.col("_now")["open"], F.lit(False))
@@ -175,7 +176,7 @@ def trace_elements(
     )
     own = ordered_text(
         entries.filter("_entry IS NOT NULL"), [*keys, "_b_at", "_node"], F.col("_entry"), [F.col("_at")],
-        bucket, F.when(F.col("_node"), "\n").otherwise(", "), limit, "_own",
+        bucket, F.when(F.col("_node"), "\n").otherwise(", "), limit, "_own", cut=False,
     ).drop("entries", "_node")
     ports = (
         opening.join(own, [*keys, "_b_at", "part"], "full")
