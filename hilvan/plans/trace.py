@@ -14,15 +14,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hilvan.functions import rules as R
 from hilvan.functions.text import blank, loose_date, null_if_empty, strip, text_or_empty
-from hilvan.operators.groups import CELL_ENTRIES, majority, order_struct, ordered_text
+from hilvan.operators.groups import (
+    CELL_ENTRIES,
+    joined,
+    majority,
+    order_struct,
+    ordered_list,
+    ordered_text,
+    with_part,
+)
 from hilvan.operators.ordered import carry_forward, collapse_repeats, previous_value
 from hilvan.session import cut_lineage
 
 LINES_PER_CHUNK = 50_000
 
-# Text between balanced parentheses, up to two levels deep.
-_INSIDE = r"\(((?:[^()]|\((?:[^()]|\([^()]*\))*\))*)\)"
+# Steps within a line, and after the last line.
+CLOSED, CLOSED_AT_ONCE, SPLICE = 0, 1, 2
+FORCED_SPLICE, OPEN_AT_END, INITIAL = 10, 11, 12
+
+# Text between balanced parentheses, up to two levels deep; possessive, so that a long
+# line is read once.
+_FLAT = r"[^()]*+"
+_ONE = rf"{_FLAT}(?:\({_FLAT}\){_FLAT})*+"
+_INSIDE = rf"\(({_FLAT}(?:\({_ONE}\){_FLAT})*+)\)"
 
 
 def _pick(line: Column, pattern: str, group: int = 1) -> Column:
@@ -97,11 +113,13 @@ def trace_elements(
     cuts = chunk or [F.floor(F.col(order[0]) / LINES_PER_CHUNK)]
     cut_names = [f"_chunk{i}" for i in range(len(cuts))]
     keys = [file]
-    text = strip("line")
+    text = F.col("_text")
     at = order_struct([F.col(c) for c in order])
     marked = (
-        lines.select(file, *order, "line", *[c.alias(n) for c, n in zip(cuts, cut_names)])
-        .filter(text != "")
+        lines.select(
+            file, *order, "line", strip("line").alias("_text"), *[c.alias(n) for c, n in zip(cuts, cut_names)]
+        )
+        .filter("_text <> ''")
         .withColumns(
             {
                 "_at": at,
@@ -145,133 +163,134 @@ def trace_elements(
     carried = cut_lineage(carried)
     strand = F.concat(F.lit("H"), F.col("_fibre"))
 
-    # Buildings and the ports listed under them.
+    # Ports belong to the building that is open; ports before the first strand to the next
+    # named building, or to none.
     buildings = carried.filter(named).select(
         *keys, F.col("_at").alias("_b_at"), F.col("_prev_named").alias("_b_prev"),
         F.col("_building").alias("_name"), strand.alias("_b_strand"),
         F.col("_building").contains("NODO").alias("_node"),
     )
-    first_lines = carried.filter(F.col("_is_port") & F.col("_seen_before").isNull()).select(
-        *keys, *cut_names, "_at", "_prev_named", "line"
-    )
-    bucket = F.struct(*cut_names)
-    to_building = first_lines.join(
-        buildings.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_b_at", "_b_prev"),
-        (F.col(file) == F.col(f"_k_{file}")) & F.col("_prev_named").eqNullSafe(F.col("_b_prev")),
-        "left",
-    )
-    opening = ordered_text(
-        to_building.filter("_b_at IS NOT NULL"), [*keys, "_b_at"], F.col("line"), [F.col("_at")], bucket,
-        "\n", limit, "_first", cut=False,
-    ).drop("entries")
-    leftover = ordered_text(
-        to_building.filter("_b_at IS NULL"), keys, F.col("line"), [F.col("_at")], bucket, "\n", limit, "_rest",
-        cut=False,
-    )
-    in_building = carried.filter(
-        F.col("_is_port") & F.col("_seen").isNotNull() & F.coalesce(F.col("_now")["open"], F.lit(False))
-    ).select(*keys, *cut_names, "_at", "line", F.col("_now")["at"].alias("_b_at"))
-    entries = in_building.join(buildings.select(*keys, "_b_at", "_node"), [*keys, "_b_at"]).withColumn(
-        "_entry", F.when(F.col("_node"), F.col("line")).otherwise(port_label(strip("line")))
-    )
-    own = ordered_text(
-        entries.filter("_entry IS NOT NULL"), [*keys, "_b_at", "_node"], F.col("_entry"), [F.col("_at")],
-        bucket, F.when(F.col("_node"), "\n").otherwise(", "), limit, "_own", cut=False,
-    ).drop("entries", "_node")
-    ports = (
-        opening.join(own, [*keys, "_b_at", "part"], "full")
-        .join(buildings.drop("_b_prev"), [*keys, "_b_at"])
-        .select(
-            *keys, "_b_at", "part", "_name", "_b_strand",
-            F.when(F.col("_node"), F.concat_ws("\n", "_first", "_own"))
-            .otherwise(F.concat_ws(", ", "_first", "_own")).alias("_ports"),
-            F.col("_first").alias("_only_first"),
+    is_first = F.col("_seen_before").isNull()
+    inside = F.col("_seen").isNotNull() & F.coalesce(F.col("_now")["open"], F.lit(False))
+    ports = carried.filter(F.col("_is_port") & (is_first | inside)).select(
+        *keys, *cut_names, "_at", "line", is_first.alias("_is_first"),
+        F.when(is_first, F.col("_prev_named")).alias("_after"), F.when(~is_first, F.col("_now")["at"]).alias("_in"),
+    )
+    first_ports = ports.filter("_is_first").join(
+        buildings.select(F.col(file).alias("_k_file"), "_b_at", "_b_prev"),
+        (F.col(file) == F.col("_k_file")) & F.col("_after").eqNullSafe(F.col("_b_prev")), "left",
+    ).select(*keys, *cut_names, "_at", "line", "_is_first", "_b_at")
+    own_ports = ports.filter("NOT _is_first").select(
+        *keys, *cut_names, "_at", "line", "_is_first", F.col("_in").alias("_b_at")
+    )
+    entries = (
+        first_ports.unionByName(own_ports)
+        .join(buildings.drop("_b_prev"), [*keys, "_b_at"], "left")
+        .withColumn(
+            "_entry",
+            F.when(F.col("_is_first") | F.col("_node"), F.col("line")).otherwise(port_label(strip("line"))),
+        )
+        .filter("_entry IS NOT NULL")
+    )
+    slot = [*keys, "_b_at", "_name", "_b_strand", "_node"]
+    parted = with_part(entries, [*keys, "_b_at"], [F.col("_at")], F.struct(*cut_names), limit)
+    listed = parted.groupBy(*slot, "part").agg(
+        ordered_list([F.col("_at")], first=F.when(F.col("_is_first"), F.col("_entry")),
+                     own=F.when(~F.col("_is_first"), F.col("_entry"))).alias("_list")
+    )
+    first_text = null_if_empty(joined(F.col("_list"), "first", "\n"))
+    own_text = null_if_empty(
+        joined(F.col("_list"), "own", F.when(F.coalesce("_node", F.lit(True)), "\n").otherwise(", "))
+    )
+    between = F.when(F.col("_node"), "\n").otherwise(", ")
+    texts = listed.select(*slot, "part", first_text.alias("_first"), own_text.alias("_own")).withColumn(
+        "_ports",
+        F.coalesce(F.concat("_first", between, "_own"), F.col("_first"), F.col("_own")),
+    )
+
+    # Everything that may become a row, written once: buildings where they close, splices,
+    # and what is left at the end of a trace.
+    last_line = carried.groupBy(*keys).agg(
+        F.max_by(F.struct(F.col("_cable").alias("cable"), F.col("_now").alias("now")), "_at").alias("_end")
+    )
+    no_cut = [F.lit(None).cast(t).alias(n) for n, t in carried.select(*cut_names).dtypes]
+    no_order = [F.lit(None).cast(t).alias(n) for n, t in carried.select(*order).dtypes]
+    placed = [*keys, *cut_names, *order]
+
+    def event(rows: DataFrame, where: list, step: int, part, element, cable, hilo, write=True) -> DataFrame:
+        as_col = lambda c: c if isinstance(c, Column) else F.lit(c)
+        return rows.select(
+            *where, F.lit(step).alias("step"), as_col(part).cast("bigint").alias("part"),
+            as_col(element).alias("elemento"), as_col(cable).alias("cable"), as_col(hilo).alias("hilo"),
+            as_col(write).alias("write"),
         )
-    )
-    element = F.concat(F.col("_name"), F.lit(" | "), F.col("_ports"))
 
-    # Rows in the order in which they are met: a closed building, then the splice itself.
-    closing = carried.filter(marker & F.coalesce(F.col("_prev")["open"], F.lit(False))).select(
-        *keys, *cut_names, *order, F.col("_prev")["at"].alias("_b_at"), "_cable"
-    )
-    closed = closing.join(ports, [*keys, "_b_at"]).select(
-        *keys, *cut_names, *order, F.lit(0).alias("step"), "part",
-        element.alias("elemento"), F.col("_cable").alias("cable"), F.col("_b_strand").alias("hilo"),
-    )
-    at_once = carried.filter(named & F.col("_is_splice")).select(
-        *keys, *cut_names, *order, F.col("_at").alias("_b_at"), "_cable"
-    )
-    closed_at_once = at_once.join(ports.filter("_only_first IS NOT NULL"), [*keys, "_b_at"]).select(
-        *keys, *cut_names, *order, F.lit(1).alias("step"), "part",
-        F.concat(F.col("_name"), F.lit(" | "), F.col("_only_first")).alias("elemento"),
-        F.col("_cable").alias("cable"), F.col("_b_strand").alias("hilo"),
+    c = F.col
+    closing = carried.filter(marker & F.coalesce(c("_prev")["open"], F.lit(False))).select(
+        *placed, c("_prev")["at"].alias("_b_at"), "_cable"
     )
+    at_once = carried.filter(named & c("_is_splice")).select(*placed, c("_at").alias("_b_at"), "_cable")
+    whole, only_first = F.concat("_name", F.lit(" | "), "_ports"), F.concat("_name", F.lit(" | "), "_first")
     splices = previous_value(
         carried.filter("_splice IS NOT NULL").select(
-            *keys, *cut_names, *order, "_at", "_splice", "_cable", "_fibre", "_building", "_waiting"
+            *placed, "_at", "_splice", "_cable", "_fibre", "_building", "_waiting"
         ),
-        keys, cut_names, order, F.col("_fibre"), "_last_fibre",
-    ).withColumn(
-        "_write",
-        F.col("_splice").contains("(EM CL)")
-        | named
-        | F.coalesce(F.col("_waiting") == 1, F.lit(False))
-        | (F.col("_fibre") != F.coalesce("_last_fibre", F.lit(""))),
-    )
-    written = splices.filter("_write").select(
-        *keys, *cut_names, *order, F.lit(2).alias("step"), F.lit(0).cast("bigint").alias("part"),
-        F.col("_splice").alias("elemento"), F.col("_cable").alias("cable"), strand.alias("hilo"),
+        keys, cut_names, order, c("_fibre"), "_last_fibre",
     )
-    met = collapse_repeats(
-        closed.unionByName(closed_at_once).unionByName(written),
-        keys, cut_names, [*order, "step", "part"], ["elemento", "cable", "hilo", "part"],
-    ).drop(*cut_names)
-
-    # What closes a trace: the last splice if it was not written, the open building, and
-    # ports that no building took. One row per trace on every side of these joins.
-    last_row = met.groupBy(*keys).agg(
-        F.max_by(F.struct("elemento", "cable", "hilo", "step"), F.struct(*order, "step", "part")).alias("_row"),
-        F.max(F.when(F.col("step") == 2, at)).alias("_written_at"),
-    )
-    last_splice = splices.groupBy(*keys).agg(
-        F.max("_at").alias("_splice_at"),
-        F.max_by(F.struct(F.col("_splice").alias("elemento"), F.col("_cable").alias("cable"), strand.alias("hilo")), "_at").alias("_spl"),
-    )
-    end_state = carried.groupBy(*keys).agg(
-        F.max_by("_cable", "_at").alias("_end_cable"), F.max_by("_now", "_at").alias("_end")
-    )
-    ends = (
-        end_state.join(last_splice, keys, "left").join(last_row, keys, "left")
-        .withColumn("_forced", F.col("_splice_at").isNotNull() & ~F.col("_splice_at").eqNullSafe(F.col("_written_at")))
-    )
-    empty_order = [F.lit(None).cast(dict(lines.dtypes)[c]).alias(c) for c in order]
-    forced = ends.filter("_forced").select(
-        *keys, *empty_order, F.lit(10).alias("step"), F.lit(0).cast("bigint").alias("part"),
-        *[F.col("_spl")[c].alias(c) for c in ("elemento", "cable", "hilo")],
-    )
-    before = F.when(F.col("_forced"), F.col("_spl")).otherwise(
-        F.struct(*[F.col("_row")[c].alias(c) for c in ("elemento", "cable", "hilo")])
-    )
-    open_end = (
-        ends.filter(F.coalesce(F.col("_end")["open"], F.lit(False)))
-        .select(*keys, F.col("_end")["at"].alias("_b_at"), "_end_cable", before.alias("_before"))
-        .join(ports, [*keys, "_b_at"])
-        .select(
-            *keys, *empty_order, F.lit(11).alias("step"), "part", element.alias("elemento"),
-            F.col("_end_cable").alias("cable"), F.col("_b_strand").alias("hilo"), "_before",
+    write = (
+        c("_splice").contains("(EM CL)") | named | F.coalesce(c("_waiting") == 1, F.lit(False))
+        | (c("_fibre") != F.coalesce("_last_fibre", F.lit("")))
+    )
+    still_open = last_line.filter(F.coalesce(c("_end")["now"]["open"], F.lit(False))).select(
+        *keys, c("_end")["now"]["at"].alias("_b_at"), c("_end")["cable"].alias("_cable")
+    )
+    at_end = [*keys, *no_cut, *no_order]
+    events = cut_lineage(
+        event(closing.join(texts, [*keys, "_b_at"]), placed, CLOSED, c("part"), whole, c("_cable"), c("_b_strand"))
+        .unionByName(
+            event(at_once.join(texts.filter("_first IS NOT NULL"), [*keys, "_b_at"]), placed, CLOSED_AT_ONCE,
+                  c("part"), only_first, c("_cable"), c("_b_strand"))
         )
-        .filter(
-            (F.col("part") > 0)
-            | ~F.col("_before").eqNullSafe(F.struct("elemento", "cable", "hilo"))
+        .unionByName(event(splices, placed, SPLICE, 0, c("_splice"), c("_cable"), strand, write))
+        .unionByName(
+            event(still_open.join(texts, [*keys, "_b_at"]), at_end, OPEN_AT_END, c("part"), whole, c("_cable"), c("_b_strand"))
+        )
+        .unionByName(
+            event(texts.filter("_b_at IS NULL"), at_end, INITIAL, c("part"),
+                  F.concat(F.lit("NODO INICIAL | "), "_first"), "", "")
         )
-        .drop("_before")
     )
-    initial = leftover.select(
-        *keys, *empty_order, F.lit(12).alias("step"), "part",
-        F.concat(F.lit("NODO INICIAL | "), F.col("_rest")).alias("elemento"),
-        F.lit("").alias("cable"), F.lit("").alias("hilo"),
+    row = ["elemento", "cable", "hilo"]
+    met = collapse_repeats(
+        events.filter(c("write") & (c("step") <= SPLICE)), keys, cut_names, [*order, "step", "part"], [*row, "part"]
+    )
+
+    # The last splice is written at the end if it was not, and the open building unless
+    # it repeats the row before. One row per trace on every side of these joins.
+    when = F.struct(*order, "step", "part")
+    last_met = met.groupBy(*keys).agg(
+        F.max_by(F.struct(*row), when).alias("_last"),
+        F.max(F.when(c("step") == SPLICE, at)).alias("_written_at"),
+    )
+    last_splice = events.filter(c("step") == SPLICE).groupBy(*keys).agg(
+        F.max(at).alias("_splice_at"), F.max_by(F.struct(*row), at).alias("_spl")
+    )
+    ends = last_splice.join(last_met, keys, "left").withColumn(
+        "_forced", ~c("_splice_at").eqNullSafe(c("_written_at"))
+    )
+    forced = event(
+        ends.filter("_forced").select(*keys, *no_order, "_spl.*"), [*keys, *order], FORCED_SPLICE, 0, *map(c, row)
     )
-    return met.unionByName(forced).unionByName(open_end).unionByName(initial)
+    before = last_met.join(ends.select(*keys, "_forced", "_spl"), keys, "full").select(
+        *keys, F.when(c("_forced"), c("_spl")).otherwise(c("_last")).alias("_before")
+    )
+    final = (
+        events.filter(c("step") > SPLICE).join(before, keys, "left")
+        .filter((c("step") != OPEN_AT_END) | (c("part") > 0) | ~c("_before").eqNullSafe(F.struct(*row)))
+        .drop("_before")
+    )
+    out = [*keys, *order, "step", "part", *row]
+    return met.select(*out).unionByName(forced.select(*out)).unionByName(final.select(*out))
 
 
 # --- anomalies -------------------------------------------------------------------------
@@ -369,6 +388,7 @@ def trace_report(
     ``files``: file_path, folder, stem, one row per trace. The file name carries the most
     frequent owner of the folder's rings (ties by name; an empty owner can win).
     """
+    elements = cut_lineage(elements)  # counted per trace and per strand below
     placed = files.withColumn("anillo", ring_of_file("stem")).join(owners, "anillo", "left").withColumns(
         {"responsable": F.coalesce("responsable", F.lit("")), "total_clientes": F.coalesce("total_clientes", F.lit(""))}
     )
@@ -382,17 +402,15 @@ def trace_report(
     nodes = counted.groupBy("folder").agg(F.sum("nodos").alias("_folder_nodes"))
     whole = counted.join(nodes, "folder").join(usual, "folder")
     expected = F.when(F.col("total_clientes").rlike(r"^\d+$"), F.col("total_clientes").try_cast("bigint"))
+    of_file = lambda level, cond, message: F.struct(
+        F.lit(level).alias("level"), F.when(cond, message).alias("message")
+    )
+    mismatch = R.text("NCLIENTES (TZ:", F.col("clientes"), ", RESP:", expected, ")")
     fixed = F.array(
-        F.struct(F.lit(0).alias("level"), F.when(F.col("empalmes_et") == 0, BAD_TRACE).alias("message")),
-        F.struct(F.lit(3), F.when(F.col("responsable") == "", NO_OWNER)),
-        F.struct(
-            F.lit(4),
-            F.when(
-                expected != F.col("clientes"),
-                F.concat(F.lit("NCLIENTES (TZ:"), F.col("clientes").cast("string"), F.lit(", RESP:"), expected.cast("string"), F.lit(")")),
-            ),
-        ),
-        F.struct(F.lit(5), F.when(F.col("_folder_nodes") == 0, BAD_TRACE)),
+        of_file(0, F.col("empalmes_et") == 0, F.lit(BAD_TRACE)),
+        of_file(3, F.col("responsable") == "", F.lit(NO_OWNER)),
+        of_file(4, expected != F.col("clientes"), mismatch),
+        of_file(5, F.col("_folder_nodes") == 0, F.lit(BAD_TRACE)),
     )
     own = whole.select("file_path", F.explode(fixed).alias("_m")).select("file_path", "_m.level", "_m.message").filter(
         "message IS NOT NULL"
