@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from hilvan.functions.text import (
     as_column,
     blank,
-    company_name,
     is_zero,
     odd_characters,
     starts_with_any,
@@ -72,9 +71,7 @@ def all_of(*arrays: Column) -> Column:
 
 def text(*pieces: Column | str) -> Column:
     """Concatenation in which a null piece reads as ''."""
-    return F.concat(
-        *[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in pieces]
-    )
+    return F.concat_ws("", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in pieces])
 
 
 def actual(message: str, value: Column, quote: str = "") -> Column:
@@ -269,27 +266,32 @@ def structure_sizes(floors: Column, floor_len: Column, floor_wid: Column, rooms_
 
 # --- ports ---------------------------------------------------------------------------
 
+def odd_client_name(name: Column) -> Column:
+    return ~name.rlike(f"^{NAME_CHARACTERS}*$") | (name != F.upper(name))
+
+
 def client_name_format(name: Column) -> Column:
-    """Message about odd characters and case of a client name; null when fine."""
+    """Message about odd characters and case of a client name."""
     odd, upper = odd_characters(name, NAME_CHARACTERS), F.upper(name)
     faults = messages(
         (odd != "", text("CARACTER INVALIDO: '", odd, "'")), (name != upper, upper)
     )
-    return F.when(F.size(faults) > 0, text("NOMBRE CLIENTE: ", F.array_join(faults, " | ")))
+    return text("NOMBRE CLIENTE: ", F.array_join(faults, " | "))
 
 
 def client_name(
-    name: Column, status: Column, comments: Column, building: Column, client_buildings: Column
+    name: Column, status: Column, comments: Column, building: Column, client_buildings: Column,
+    client: Column, site: Column,
 ) -> Column:
     """First fault of a client name, null when it passes or is not checked.
 
     ``building`` is the name of the port's building in upper case (null when unknown),
-    ``client_buildings`` the number of buildings the client is in.
+    ``client_buildings`` the number of buildings the client is in; ``client`` and
+    ``site`` are both names after ``company_name``.
     """
     checked = F.upper(strip(status)).isin("IN SERVICE", "IS") | F.upper(strip(comments)).contains("ADICION")
     own = strip(name)
     marks = F.array_join(whitespace_kinds(own, text(" - valor: '", own, "'")), " | ")
-    client, site = company_name(own), company_name(building)
     exempt = starts_with_any(site, BUILDING_PREFIXES) | starts_with_any(F.upper(building), BUILDING_PREFIXES)
     differs = ~(site.contains(client) | client.contains(site))
     few = F.coalesce(client_buildings, F.lit(0)) <= CLIENT_BUILDINGS_LIMIT
@@ -297,7 +299,7 @@ def client_name(
         F.when(blank(name), F.lit("NOMBRE CLIENTE VACIO"))
         .when(marks != "", text("NOMBRE CLIENTE: ", marks))
         .when(spaced_legal_form(own), SPACED_FORM_MESSAGE)
-        .when(client_name_format(own).isNotNull(), client_name_format(own))
+        .when(odd_client_name(own), client_name_format(own))
         .when(
             F.coalesce((building != "") & ~exempt & few & differs, F.lit(False)),
             text("NOMBRE CLIENTE | Posible esperado: '", building, "'"),

@@ -89,10 +89,12 @@ def prepare(ports: DataFrame, excluded: DataFrame | None, buildings: DataFrame)
     return (
         rows.join(spread, "_client_key", "left")
         .join(own, F.col("building_id") == F.col("_bid"), "left")
-        .withColumn("_norm_client", F.when(F.col("_own").isNull(), company_name("cliente")))
-        .join(by_name, F.col("_norm_client") == F.col("_norm"), "left")
+        .withColumn("client_norm", company_name("cliente"))
+        .withColumn("_wanted", F.when(F.col("_own").isNull(), F.col("client_norm")))
+        .join(by_name, F.col("_wanted") == F.col("_norm"), "left")
         .withColumn("building", F.coalesce("_own", "_by_name"))
-        .drop("_client_key", "_bid", "_own", "_norm", "_norm_client", "_by_name")
+        .withColumn("building_norm", company_name("building"))
+        .drop("_client_key", "_bid", "_own", "_norm", "_wanted", "_by_name")
     )
 
 
@@ -140,7 +142,10 @@ def audit_ports(
     central = rows.filter("central IS NOT NULL")
     client = rows.filter("central IS NULL").withColumn(
         "_name_fault",
-        R.client_name(F.col("cliente"), F.col("ps"), F.col("comentarios"), F.col("building"), F.col("_n_buildings")),
+        R.client_name(
+            F.col("cliente"), F.col("ps"), F.col("comentarios"), F.col("building"), F.col("_n_buildings"),
+            F.col("client_norm"), F.col("building_norm"),
+        ),
     )
     checked = client.filter("_name_fault IS NULL")
     shown = F.when(F.col("desc") == "", NO_DESCRIPTION).otherwise(F.col("desc"))
