@@ -450,23 +450,25 @@ def closed_vocabularies(
 
     ``signal`` is trimmed; a null status is not reported.
     """
-    def of(value: Column, words, empty: str, wrong: str):
-        state = vocabulary(value, words)
-        return [(state == EMPTY, empty), (state == INVALID, actual(wrong, value, "'"))]
+    nothing = no_messages()
 
-    unit_state = bandwidth_unit(unit)["status"]
-    status_state = vocabulary(status, PHYSICAL_STATUS)
-    return messages(
-        (signal != "Rx - Tx",
-         F.when(signal == "", "TIPO SEÑAL INVALIDO ((VACÍO))")
-         .otherwise(text("TIPO SEÑAL INVALIDO ((actual: '", signal, "'))"))),
-        *of(port_type, CLIENT_EQUIPMENT, "TYPE VACIO", "TYPE (solo Equipo Cliente)"),
-        *of(connector, CONNECTOR, "CONNECTOR TYPE VACIO", "CONNECTOR TYPE (solo Unknown o Biconic)"),
-        *of(level, SERVICE_LEVEL, "SERVICE LEVEL VACIO", "SERVICE LEVEL (solo Fiber)"),
-        (status.isNotNull() & (status_state == EMPTY), "PHYSICAL STATUS VACIO"),
-        (status.isNotNull() & (status_state == INVALID), actual("PHYSICAL STATUS INVALIDO", status, "'")),
-        (unit_state == EMPTY, "UNIDAD ANCHO DE BANDA VACIA"),
-        (~unit_state.isin(EMPTY, VALID), actual("UNIDAD ANCHO DE BANDA INVALIDA", unit, "'")),
+    def of(value: Column, words, empty: str, wrong: str, known: Column | None = None) -> Column:
+        missing = blank(value) if known is None else known & blank(value)
+        return (
+            F.when(missing, F.array(F.lit(empty)))
+            .when(~F.lower(strip(value)).isin(*words), F.array(actual(wrong, value, "'")))
+            .otherwise(nothing)
+        )
+
+    return all_of(
+        F.when(signal == "", F.array(F.lit("TIPO SEÑAL INVALIDO ((VACÍO))")))
+        .when(signal != "Rx - Tx", F.array(text("TIPO SEÑAL INVALIDO ((actual: '", signal, "'))")))
+        .otherwise(nothing),
+        of(port_type, CLIENT_EQUIPMENT, "TYPE VACIO", "TYPE (solo Equipo Cliente)"),
+        of(connector, CONNECTOR, "CONNECTOR TYPE VACIO", "CONNECTOR TYPE (solo Unknown o Biconic)"),
+        of(level, SERVICE_LEVEL, "SERVICE LEVEL VACIO", "SERVICE LEVEL (solo Fiber)"),
+        of(status, PHYSICAL_STATUS, "PHYSICAL STATUS VACIO", "PHYSICAL STATUS INVALIDO", status.isNotNull()),
+        of(unit, BANDWIDTH_UNIT, "UNIDAD ANCHO DE BANDA VACIA", "UNIDAD ANCHO DE BANDA INVALIDA"),
     )
 
 

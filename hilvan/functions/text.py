@@ -39,8 +39,11 @@ def null_if_empty(c: Column) -> Column:
 
 
 def extract(c: Column, pattern: str, group: int = 1) -> Column:
-    """``regexp_extract`` that yields null instead of '' when nothing matches."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
+    """``regexp_extract`` that yields null instead of '' when nothing matches.
+
+    For groups that cannot be empty.
+    """
+    return null_if_empty(F.regexp_extract(c, pattern, group))
 
 
 def starts_with_any(c: Column, prefixes: Iterable[str]) -> Column:
@@ -109,10 +112,6 @@ def ring_from_origin(c: Column | str) -> Column:
     """Ring code inside a free origin text, upper case; null when there is none."""
     text = strip(c)
 
-    def first_long(pattern: str) -> Column:
-        hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        return F.get(F.filter(hits, lambda h: F.length(h) >= 6), 0)
-
     parts = F.transform(
         F.split(text, "[_/]"), lambda p: F.regexp_replace(p, r"\(.*\)", "")
     )
@@ -122,13 +121,11 @@ def ring_from_origin(c: Column | str) -> Column:
         & ~p.rlike(r"^\d+$")
         & ~p.rlike(r"^\d+\.\d+\.\d+\.\d+$"),
     )
-    # A trailing part wins over a leading one.
+    # A trailing part wins over a leading one; parts are cut only where no code is found.
     last_part = F.try_element_at(usable, F.lit(-1))
     found = F.upper(
         F.coalesce(
-            first_long("(?i)ME[A-Z0-9]+"),
-            first_long("(?i)[A-Z]{2,}[A-Z0-9]{3,}"),
-            last_part,
+            extract(text, "((?i)ME[A-Z0-9]{4,})"), extract(text, "((?i)[A-Z]{2}[A-Z0-9]{4,})"), last_part
         )
     )
     return F.when(~text.isin("", "N/A", "#N/A"), found)

@@ -138,15 +138,19 @@ def audit_ports(
     ``ports`` has the columns of ``COLUMNS`` and seq; ``buildings`` id, nombre, seq. A
     port with a client-name fault is not checked further, nor are its shelf and bay.
     """
-    rows = prepare(ports, excluded, buildings)
-    central = rows.filter("central IS NOT NULL")
-    client = rows.filter("central IS NULL").withColumn(
-        "_name_fault",
-        R.client_name(
-            F.col("cliente"), F.col("ps"), F.col("comentarios"), F.col("building"), F.col("_n_buildings"),
-            F.col("client_norm"), F.col("building_norm"),
-        ),
+    # Written once: five branches read it, and filters on the name fault would otherwise
+    # run all of its patterns again.
+    rows = cut_lineage(
+        prepare(ports, excluded, buildings).withColumn(
+            "_name_fault",
+            R.client_name(
+                F.col("cliente"), F.col("ps"), F.col("comentarios"), F.col("building"), F.col("_n_buildings"),
+                F.col("client_norm"), F.col("building_norm"),
+            ),
+        )
     )
+    central = rows.filter("central IS NOT NULL")
+    client = rows.filter("central IS NULL")
     checked = client.filter("_name_fault IS NULL")
     shown = F.when(F.col("desc") == "", NO_DESCRIPTION).otherwise(F.col("desc"))
     raw = _port_rows(
