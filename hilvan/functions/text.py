@@ -95,7 +95,7 @@ def clean_port(c: Column | str) -> Column:
     kept = F.regexp_replace(as_column(c), "[^0-9/-]", "")
     kept = F.regexp_replace(kept, "/$", "")
     stripped = F.regexp_replace(kept, "(^|/)0+(?=[^/])", "$1")
-    return F.regexp_replace(stripped, "(^|/)(?=/|$)", r"$1\0")
+    return F.regexp_replace(stripped, "(?<=^|/)(?=/|$)", "0")
 
 
 def port_parts(c: Column | str) -> Column:
