@@ -41,7 +41,7 @@ QUERIES = {
 }
 
 _FOLDERS = """SELECT source AS carpeta_padre, count(*) AS cantidad_archivos,
-CAST(round(sum(CAST(n_chars AS DECIMAL(18,0)) / 1000), 2) AS DOUBLE) AS tamano_total FROM documents GROUP BY source"""
+CAST((sum(n_chars) + 5) // 10 AS DOUBLE) / 100 AS tamano_total FROM documents GROUP BY source"""
 
 SQL = {
     "inventory_folders": _FOLDERS,
