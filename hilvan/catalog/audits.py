@@ -12,6 +12,7 @@ from hilvan.plans import audit_ports as AP
 from hilvan.plans import audit_splices as AS
 from hilvan.plans.audit import all_findings
 from hilvan.plans.findings import building_owners, cable_owners
+from hilvan.session import cut_lineage
 
 OWNER = "R7"
 CABLES = [
@@ -143,7 +144,8 @@ def report(s, d):
         "buildings": shape(s, d, "customer", BUILDINGS), "ports": shape(s, d, "orders", PORTS),
     }
     found = all_findings(tables, shape(s, d, "supplier", OWNERS), OWNER, nodes=shape(s, d, "part", NODES))
-    return prioritise(found, OWNER).select("entity", *SHORT, "priority", "field", "part")
+    # Read twice: for the best priority of an id and for its messages.
+    return prioritise(cut_lineage(found), OWNER).select("entity", *SHORT, "priority", "field", "part")
 
 
 QUERIES = {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hilvan.functions import rules as R
 from hilvan.functions.text import normalise_id, strip, text_or_empty
 from hilvan.operators.groups import CELL_ENTRIES, majority, similar_names
-from hilvan.plans.findings import NO_BUILDING_OWNER, findings, one, usable_rows, with_owner
+from hilvan.plans.findings import NO_BUILDING_OWNER, findings, one, together, usable_rows
 
 # Logical column and headers of a building export.
 COLUMNS = {
@@ -63,15 +63,14 @@ def building_findings(
         )
     spaced = rows.filter((F.col("nombre") != "") & R.spaced_legal_form("nombre"))
     suffix = findings(
-        with_owner(spaced, owners, F.col("id"), NO_BUILDING_OWNER), "EDIFICIO", 30,
-        one(F.lit(R.SPACED_FORM_MESSAGE)),
+        spaced, "EDIFICIO", 30, one(F.lit(R.SPACED_FORM_MESSAGE)), owners=owners, key=F.col("id"),
+        default=NO_BUILDING_OWNER,
     )
     marks = findings(rows, "EDIFICIO", 31, R.whitespace("nombre", "NOMBRE"), owner=F.lit("..."))
     own = R.building_attributes(
         F.col("nombre"), F.col("cat"), F.col("tipo"), F.col("_usual"), F.col("base"), F.col("_exempt")
     )
-    faulty = typed.withColumn("_m", own).filter(F.size("_m") > 0)
-    attributes = findings(faulty, "EDIFICIO", 32, one(F.array_join("_m", " | ")), owner=F.lit("..."))
+    attributes = findings(typed, "EDIFICIO", 32, together(own), owner=F.lit("..."))
     return suffix.unionByName(marks).unionByName(attributes)
 
 
@@ -90,8 +89,9 @@ def structure_findings(buildings: DataFrame, owners: DataFrame, excluded: DataFr
         R.whitespace("floors", "NUMBER OF FLOORS"),
         R.structure_sizes(c("floors"), c("floor_len"), c("floor_wid"), c("rooms_len"), c("rooms_wid")),
     )
-    faulty = rows.withColumn("_m", messages).filter(F.size("_m") > 0)
-    return findings(with_owner(faulty, owners, c("id"), NO_BUILDING_OWNER), "ESTRUCTURA", 33, c("_m"))
+    return findings(
+        rows, "ESTRUCTURA", 33, messages, owners=owners, key=c("id"), default=NO_BUILDING_OWNER
+    )
 
 
 def similar_findings(buildings: DataFrame, limit: int = CELL_ENTRIES) -> DataFrame:

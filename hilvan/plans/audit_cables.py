@@ -18,7 +18,7 @@ from hilvan.functions.text import (
     text_or_empty,
 )
 from hilvan.operators.groups import first_wins, last_wins, minority_rows, pooled_majority
-from hilvan.plans.findings import findings, one, percent, usable_rows, with_owner
+from hilvan.plans.findings import findings, one, percent, usable_rows
 
 ENTITY = "FIBRA"
 
@@ -89,9 +89,7 @@ def attribute_findings(rows: DataFrame, owners: DataFrame, valid_owner: str) ->
             strand_count("esp_raw"), valid_owner,
         ),
     )
-    # Rows without a fault are dropped before owners are looked up.
-    faulty = rows.withColumn("_m", messages).filter(F.size("_m") > 0)
-    return findings(with_owner(faulty, owners, c("base")), ENTITY, 10, c("_m"))
+    return findings(rows, ENTITY, 10, messages, owners=owners, key=c("base"))
 
 
 def trunk_findings(rows: DataFrame, owners: DataFrame) -> DataFrame:
@@ -111,7 +109,7 @@ def trunk_findings(rows: DataFrame, owners: DataFrame) -> DataFrame:
     )
     cols = ["id", "nombre", "base", "seq", "_m"]
     both = spec.select(*cols).withColumn("_s", F.lit(0)).unionByName(status.select(*cols).withColumn("_s", F.lit(1)))
-    return findings(with_owner(both, owners, F.col("base")), ENTITY, 12, one(F.col("_m")))
+    return findings(both, ENTITY, 12, one(F.col("_m")), owners=owners, key=F.col("base"))
 
 
 def municipality_findings(rows: DataFrame, owners: DataFrame) -> DataFrame:
@@ -139,12 +137,9 @@ def municipality_findings(rows: DataFrame, owners: DataFrame) -> DataFrame:
                     "' no coincide con predominante '", *usual_text)),
         ]
 
-    faulty = (
-        local.join(usual, "cable")
-        .withColumn("_m", R.messages(*end("A"), *end("B")))
-        .filter(F.size("_m") > 0)
+    return findings(
+        local.join(usual, "cable"), ENTITY, 13, R.messages(*end("A"), *end("B")), owners=owners, key=F.col("cable")
     )
-    return findings(with_owner(faulty, owners, F.col("cable")), ENTITY, 13, F.col("_m"))
 
 
 # --- node rules ------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from hilvan.functions import rules as R
 from hilvan.functions.text import company_name, normalise_id, report_text, strip, text_or_empty
 from hilvan.operators.groups import CELL_ENTRIES, first_wins, last_wins, ordered_text
 from hilvan.operators.sequence import state_sequence
-from hilvan.plans.findings import findings, one, usable_rows
+from hilvan.plans.findings import findings, one, together, usable_rows
 from hilvan.session import cut_lineage
 
 # Logical column and header of a port export with shelf and bay columns.
@@ -158,8 +158,7 @@ def audit_ports(
     ).unionByName(
         _port_rows(client.filter("_name_fault IS NOT NULL"), text_or_empty("cliente"), one(F.col("_name_fault")), 41)
     )
-    faulty = checked.withColumn("_m", port_messages()).filter(F.size("_m") > 0)
-    raw = raw.unionByName(_port_rows(faulty, shown, one(F.array_join("_m", " | ")), 41)).unionByName(
+    raw = raw.unionByName(_port_rows(checked, shown, together(port_messages()), 41)).unionByName(
         sequence_rows(client, central)
     )
     return (
@@ -171,8 +170,9 @@ def audit_ports(
 
 def _port_rows(rows: DataFrame, shown: Column, messages: Column, stage: int) -> DataFrame:
     return rows.select(
-        "id", "shelf_id", shown.alias("shown"), "seq", F.lit(stage).alias("stage"), F.explode(messages).alias("message")
-    )
+        "id", "shelf_id", shown.alias("shown"), "seq", F.lit(stage).alias("stage"),
+        F.explode_outer(messages).alias("message"),
+    ).filter("message IS NOT NULL")
 
 
 def sequence_rows(client: DataFrame, central: DataFrame) -> DataFrame:
@@ -219,14 +219,12 @@ def shelf_findings(checked: DataFrame, central: DataFrame, excluded: DataFrame |
     """Shelf rules on client ports, and the type of central shelves."""
     c, t = F.col, text_or_empty
     shown = R.text("SHELF: ", F.when(t("shelf_description") == "", NO_DESCRIPTION).otherwise(t("shelf_description")))
-    rows = usable_ids(checked, "shelf_id", excluded).withColumn(
-        "_m",
-        R.shelf(
-            t("shelf_description"), t("construction_status"), t("contratista"), t("shelf_tecnologia"),
-            t("shelf_ip"), t("shelf_nivel"), t("shelf_migracion"), c("bay_id"),
-        ),
-    ).filter(F.size("_m") > 0)
-    own = findings(rows, "SHELF", 50, one(F.array_join("_m", " | ")), id="shelf_id", value=shown, owner=F.lit(""))
+    rules = R.shelf(
+        t("shelf_description"), t("construction_status"), t("contratista"), t("shelf_tecnologia"),
+        t("shelf_ip"), t("shelf_nivel"), t("shelf_migracion"), c("bay_id"),
+    )
+    rows = usable_ids(checked, "shelf_id", excluded)
+    own = findings(rows, "SHELF", 50, together(rules), id="shelf_id", value=shown, owner=F.lit(""))
     types = findings(
         central, "SHELF", 51, R.central_shelf_type(c("central"), c("shelf_tipo")),
         id=F.when(c("shelf_id") == "", c("id")).otherwise(c("shelf_id")), value=shown, owner=F.lit(""),
@@ -237,14 +235,12 @@ def shelf_findings(checked: DataFrame, central: DataFrame, excluded: DataFrame |
 def bay_findings(checked: DataFrame, excluded: DataFrame | None) -> DataFrame:
     c, t = F.col, text_or_empty
     shown = R.text("BAY: ", F.when(t("bay_description") == "", NO_DESCRIPTION).otherwise(t("bay_description")))
-    rows = usable_ids(checked, "bay_id", excluded).withColumn(
-        "_m",
-        R.bay(
-            t("bay_description"), t("bay_number"), t("construction_status"), t("bay_salon"), t("bay_fila"),
-            t("contratista"), c("building_id"),
-        ),
-    ).filter(F.size("_m") > 0)
-    return findings(rows, "BAY", 52, one(F.array_join("_m", " | ")), id="bay_id", value=shown, owner=F.lit(""))
+    rules = R.bay(
+        t("bay_description"), t("bay_number"), t("construction_status"), t("bay_salon"), t("bay_fila"),
+        t("contratista"), c("building_id"),
+    )
+    rows = usable_ids(checked, "bay_id", excluded)
+    return findings(rows, "BAY", 52, together(rules), id="bay_id", value=shown, owner=F.lit(""))
 
 
 def usable_ids(rows: DataFrame, column: str, excluded: DataFrame | None) -> DataFrame:

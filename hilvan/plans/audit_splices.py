@@ -11,7 +11,7 @@ from hilvan.functions import rules as R
 from hilvan.functions.text import construction_status, expected_splice_type, text_or_empty
 from hilvan.operators.groups import CELL_ENTRIES, duplicate_keys, first_wins, majority, minority_rows
 from hilvan.operators.sequence import first_two, repeated_numbers, sequence_gaps
-from hilvan.plans.findings import findings, one, usable_rows, with_owner
+from hilvan.plans.findings import findings, one, usable_rows
 
 ENTITY = "EMPALME"
 
@@ -80,8 +80,7 @@ def attribute_findings(rows: DataFrame, owners: DataFrame, valid_owner: str) ->
         ),
         R.splice_name_suggestion("nombre"),
     )
-    faulty = rows.withColumn("_m", messages).filter(F.size("_m") > 0)
-    return findings(with_owner(faulty, owners, c("corto")), ENTITY, 20, c("_m"))
+    return findings(rows, ENTITY, 20, messages, owners=owners, key=c("corto"))
 
 
 def repeated_names(rows: DataFrame) -> DataFrame:
@@ -95,7 +94,7 @@ def repeat_findings(rows: DataFrame, owners: DataFrame, limit: int = CELL_ENTRIE
     first = single.groupBy("nombre").agg(F.min("seq").alias("seq"), F.first("corto").alias("corto"))
     named = repeats.join(first, "nombre")
     return findings(
-        with_owner(named, owners, F.col("corto")), ENTITY, 21, one(F.lit("DUPLICADO)")), id="ids"
+        named, ENTITY, 21, one(F.lit("DUPLICADO)")), owners=owners, key=F.col("corto"), id="ids"
     )
 
 
@@ -119,7 +118,8 @@ def group_findings(rows: DataFrame, owners: DataFrame) -> DataFrame:
     message = R.text("TIPO DE GRUPO ", start, "esperado: '", F.col("_usual"), "', actual: '", F.col("esp"), "')")
     # Only chained names have a group, and only the others can be repeated.
     faulty = kinds.join(usual, "grupo").filter(differs)
-    return findings(with_owner(faulty, owners, F.col("corto")), ENTITY, 22, one(message))
+    return findings(
+        faulty, ENTITY, 22, one(message), owners=owners, key=F.col("corto"))
 
 
 def numbered(rows: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def sequence_findings(rows: DataFrame, owners: DataFrame) -> DataFrame:
         F.col("first.seq").alias("seq"), message.alias("_m"),
     )
     return findings(
-        with_owner(repeats.unionByName(gaps), owners, F.col("corto")), ENTITY, 23, one(F.col("_m"))
+        repeats.unionByName(gaps), ENTITY, 23, one(F.col("_m")), owners=owners, key=F.col("corto")
     )
 
 
@@ -177,7 +177,7 @@ def cable_findings(rows: DataFrame, owners: DataFrame) -> DataFrame:
         "' | MAYORÍA: '", F.col("majority"), "' , ACTUAL: '", F.col("esp"), "'",
     )
     return findings(
-        with_owner(faulty.filter(differs), owners, F.col("numero")), ENTITY, 24, one(message)
+        faulty.filter(differs), ENTITY, 24, one(message), owners=owners, key=F.col("numero")
     )
 
 
@@ -234,6 +234,6 @@ def merge_findings(
         "FI:", F.col("name"), F.when(sub, " (sub-anillo '").otherwise(" (cable principal '"), F.col("code"), "')"
     )
     return findings(
-        with_owner(differing, owners, F.col("code")), "MERGE FI-EM", 60, one(message),
+        differing, "MERGE FI-EM", 60, one(message), owners=owners, key=F.col("code"),
         id=F.coalesce("cable_id", "first_id"), value=value,
     )

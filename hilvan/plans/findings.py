@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hilvan.functions.text import normalise_id, strip, text_or_empty
+from hilvan.functions.text import normalise_id, null_if_empty, strip, text_or_empty
 from hilvan.operators.groups import last_wins
 
 NO_OWNER = "-"
@@ -64,21 +64,36 @@ def with_owner(rows: DataFrame, owners: DataFrame, key: Column, default: str = N
 
 def findings(
     rows: DataFrame, entity: str, stage: int, messages: Column, id: Column | str = "id",
-    value: Column | str = "nombre", owner: Column | str = "owner", seq: Column | str = "seq",
+    value: Column | str = "nombre", owner: Column | str | None = None, seq: Column | str = "seq",
+    owners: DataFrame | None = None, key: Column | None = None, default: str = NO_OWNER,
 ) -> DataFrame:
-    """One row per message: entity, id, value, owner, message, stage, seq, pos."""
+    """One row per message: entity, id, value, owner, message, stage, seq, pos.
+
+    With ``owners`` the owner of ``key`` is looked up for rows that have a message. The
+    outer explode keeps the optimiser from deriving a filter that would run every rule a
+    second time; a filter on the size of the messages would do the same.
+    """
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
-    return rows.select(
-        F.lit(entity).alias("entity"), as_col(id).cast("string").alias("id"), as_col(value).alias("value"),
-        as_col(owner).alias("owner"), F.lit(stage).alias("stage"), as_col(seq).cast("bigint").alias("seq"),
-        F.posexplode(messages).alias("pos", "message"),
-    ).select("entity", "id", "value", "owner", "message", "stage", "seq", "pos")
+    who = key.alias("_key") if owners is not None else as_col(owner if owner is not None else "owner").alias("owner")
+    exploded = rows.select(
+        F.lit(entity).alias("entity"), as_col(id).cast("string").alias("id"), as_col(value).alias("value"), who,
+        F.lit(stage).alias("stage"), as_col(seq).cast("bigint").alias("seq"),
+        F.posexplode_outer(messages).alias("pos", "message"),
+    ).filter("message IS NOT NULL")
+    if owners is not None:
+        exploded = with_owner(exploded, owners, F.col("_key"), default)
+    return exploded.select("entity", "id", "value", "owner", "message", "stage", "seq", "pos")
 
 
 def one(message: Column) -> Column:
     return F.array(message)
 
 
+def together(messages: Column) -> Column:
+    """All messages of a row as one; null when there is none."""
+    return one(null_if_empty(F.array_join(messages, " | ")))
+
+
 def percent(value: Column) -> Column:
     """One decimal, ties to even."""
     return F.format_string("%.1f", F.bround(value, 1))
