@@ -89,7 +89,7 @@ def as_of(spark, d):
         "user_id", "ts AS at", "event_id AS version_id", "event_type AS version_type", "value AS version_value"
     )
     return O.as_of(
-        objects, versions, ["user_id"], "at", F.trunc("at", "month"),
+        objects, versions, ["user_id"], "at", F.to_date("at"),
         ["version_id", "version_type", "version_value"],
     ).drop("at")
 

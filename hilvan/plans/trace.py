@@ -120,6 +120,9 @@ def trace_elements(
             file, *order, "line", strip("line").alias("_text"), *[c.alias(n) for c, n in zip(cuts, cut_names)]
         )
         .filter("_text <> ''")
+        # The chunks are windowed below; parting the raw lines that way first lets both
+        # passes of the carry read one exchange, and spreads the parsing.
+        .repartition(file, *cut_names)
         .withColumns(
             {
                 "_at": at,
