@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from hilvan.functions.text import (
     as_column,
     blank,
+    extract,
     is_zero,
     odd_characters,
     starts_with_any,
@@ -164,6 +165,7 @@ def cable_attributes(
 
 # --- splices -------------------------------------------------------------------------
 
+# Fixed value: shape of a splice name.
 SPLICE_NAME = r"^(ET|NAP|EA|OB)[0-9_\-P]+$"
 
 
@@ -477,7 +479,7 @@ def closed_vocabularies(
 def numbered_description(value: Column, word: str) -> Column:
     """Exactly ``word``, or ``word n`` with n of 2 or more."""
     upper = F.upper(strip(value))
-    number = F.regexp_extract(upper, f"^{word} (\\d+)$", 1).try_cast("bigint")
+    number = extract(upper, f"^{word} (\\d+)$").try_cast("bigint")
     good = (upper == word) | F.coalesce(number >= 2, F.lit(False))
     return messages(
         (blank(value), "DESCRIPTION VACIO"),

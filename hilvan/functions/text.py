@@ -100,11 +100,15 @@ def clean_port(c: Column | str) -> Column:
 
 def port_parts(c: Column | str) -> Column:
     """'XG 3/0/12' -> struct(slot, mid, number); null unless three integers."""
-    parts = F.split(strip(F.regexp_replace(as_column(c), r"^[A-Z]+[\s-]?", "")), "/")
-    slot, mid, number = (F.get(parts, i).try_cast("bigint") for i in range(3))
-    complete = (F.size(parts) == 3) & slot.isNotNull() & mid.isNotNull() & number.isNotNull()
+    text = strip(F.regexp_replace(as_column(c), r"^[A-Z]+[\s-]?", ""))
+    parts = F.split(text, "/")
+    # The pattern comes first: casting text that is no number costs an exception per row.
+    integer = r"\s*[+-]?\d{1,18}\s*"
     return F.when(
-        complete, F.struct(slot.alias("slot"), mid.alias("mid"), number.alias("number"))
+        text.rlike(f"^{integer}/{integer}/{integer}$"),
+        F.struct(
+            *[F.get(parts, i).try_cast("bigint").alias(name) for i, name in enumerate(("slot", "mid", "number"))]
+        ),
     )
 
 

@@ -25,6 +25,9 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Methods beyond this size are never compiled by the JVM; such stages run faster
+        # as split expressions.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
