@@ -11,14 +11,14 @@ from hilvan.operators import sequence as S
 ROWS = [*LINE_ORDER, "l_linestatus", "l_returnflag", "l_linenumber * 3 AS number"]
 
 
-def _pairs(spark, d, number="l_linenumber"):
+def _numbers(spark, d, find, number="l_linenumber"):
     rows = shape(spark, d, "lineitem", ROWS)
     order = [c for c in LINE_ORDER if c not in ("l_orderkey", number)]
-    return S.first_two(rows, ["l_orderkey"], number, order, ["l_partkey", "l_suppkey"])
+    return find(rows, ["l_orderkey"], number, order, ["l_partkey", "l_suppkey"])
 
 
 def repeats(spark, d):
-    return S.repeated_numbers(_pairs(spark, d)).select(
+    return S.repeated_numbers(_numbers(spark, d, S.first_two)).select(
         "l_orderkey", "l_linenumber", F.col("first.l_partkey").alias("first_part"),
         F.col("first.l_suppkey").alias("first_supp"), F.col("second.l_partkey").alias("second_part"),
         F.col("second.l_suppkey").alias("second_supp"),
@@ -26,13 +26,13 @@ def repeats(spark, d):
 
 
 def gaps(spark, d):
-    out = S.sequence_gaps(_pairs(spark, d, "number"), ["l_orderkey"], "number")
+    out = S.sequence_gaps(_numbers(spark, d, S.distinct_numbers, "number"), ["l_orderkey"], "number")
     return out.select("l_orderkey", "number", "following", "missing", F.col("first.l_partkey").alias("part"))
 
 
 def gaps_in_chunks(spark, d):
     """The same gaps with three numbers per window."""
-    out = S.sequence_gaps(_pairs(spark, d), ["l_orderkey"], "l_linenumber", per_chunk=3)
+    out = S.sequence_gaps(_numbers(spark, d, S.distinct_numbers), ["l_orderkey"], "l_linenumber", per_chunk=3)
     return out.select("l_orderkey", "l_linenumber", "following", "missing")
 
 

@@ -35,6 +35,16 @@ def first_two(
     )
 
 
+def distinct_numbers(
+    df: DataFrame, group: Sequence[str], number: str, order: Sequence[str], values: Sequence[str]
+) -> DataFrame:
+    """One row per (group, number): ``first`` row and ``repeated`` flag; an aggregate only."""
+    return df.groupBy(*group, number).agg(
+        F.min_by(F.struct(*values), order_struct([F.col(c) for c in order])).alias("first"),
+        (F.count(F.lit(1)) > 1).alias("repeated"),
+    )
+
+
 def repeated_numbers(pairs: DataFrame) -> DataFrame:
     """Numbers carried by several rows, from :func:`first_two`."""
     return pairs.filter("repeated")
@@ -43,7 +53,7 @@ def repeated_numbers(pairs: DataFrame) -> DataFrame:
 def sequence_gaps(
     pairs: DataFrame, group: Sequence[str], number: str, per_chunk: int = NUMBERS_PER_CHUNK
 ) -> DataFrame:
-    """Gaps between successive numbers of each group, from :func:`first_two`.
+    """Gaps between successive numbers, from :func:`distinct_numbers` or :func:`first_two`.
 
     A group with any repeated number is left out. Yields the last row before the gap,
     ``following`` and the ``missing`` text: up to three numbers listed, more as a range.

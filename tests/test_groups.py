@@ -131,8 +131,9 @@ def test_sequence(spark):
     pairs = S.first_two(df, ["g"], "n", ["seq"], ["id"])
     repeats = [(r.g, r.n, r.first.id, r.second.id) for r in S.repeated_numbers(pairs).collect()]
     assert repeats == [("B", 1, "B0", "B1")]
-    for size in (3, 1000):
-        gaps = {(r.g, r.n, r.following, r.missing) for r in S.sequence_gaps(pairs, ["g"], "n", size).collect()}
+    numbers = S.distinct_numbers(df, ["g"], "n", ["seq"], ["id"])
+    for source, size in ((pairs, 3), (pairs, 1000), (numbers, 3)):
+        gaps = {(r.g, r.n, r.following, r.missing) for r in S.sequence_gaps(source, ["g"], "n", size).collect()}
         # The repeat in B does not switch off the check of A.
         assert gaps == {("A", 2, 4, "_3"), ("A", 4, 9, "_5 al _8"), ("A", 9, 20, "_10 al _19")}
 
