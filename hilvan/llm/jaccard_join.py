@@ -8,13 +8,14 @@ A text's set holds the 64-bit hashes of its distinct word shingles. Two sets lin
    sketch of the whole corpus finds frequent last. Linked sets share a shingle among the
    first ``n - ceil(t n) + 1`` of the larger one and ``n - ceil(2 t / (1 + t) n) + 1`` of the
    smaller one, so only these enter the index lists. The order changes the work only.
-3. First answers: each list is led by its smallest set, and every other entry of the list is
-   compared with the leader alone, unless sizes and positions already rule a link out. The
-   entries of a list lie in blocks by set size; blocks too far from a size are skipped.
+3. First answers: each list is led by its smallest set. An entry is compared with the leader
+   that it meets in most lists, unless sizes and positions already rule a link out; entries
+   that aren't in the group of a leader by then are compared with one leader more.
 4. Derived answers: a list whose entries are all in one group by now needs nothing more. For
-   the other lists, entries of different groups are compared, but not where the known
-   overlaps with the common leader decide: an overlap is at most
-   ``o(y, leader) + |x| - o(x, leader)``. What remains is compared exactly.
+   the other lists, entries of different groups are compared: a list is cut into blocks by
+   set size, and blocks too far from a size are skipped, as are pairs whose positions leave
+   too little room, or for which the known overlaps with the common leader decide (an
+   overlap is at most ``o(y, leader) + |x| - o(x, leader)``). The rest is compared exactly.
 5. Groups are the connected classes.
 
 No group of copies is ever expanded into its pairs: within a group, entries meet only its
@@ -206,19 +207,38 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
         short2 = pos2 <= n2 - ceil_of(n2 * (2 * percent), 100 + percent)
         return short2 & (n2 <= n) & (100 * n2 >= percent * n) & (room >= overlap_needed(n, n2, percent))
 
-    asked = stored(crowded.filter((F.col("id") != F.col("id2")) & near(n, pos, n2, pos2)).select(
-        F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
-    answers = stored(compared(asked, texts_of(docs, reps, asked), size))
+    def ask(rows: DataFrame, before: DataFrame | None) -> DataFrame:
+        """Answers for each entry and the leader that it meets in most lists."""
+        met = rows.filter((F.col("id") != F.col("id2")) & near(n, pos, n2, pos2)).groupBy("id", "id2").agg(
+            F.count(F.lit(1)).alias("c"), F.min("n2").alias("n2"))
+        if before is not None:
+            met = met.join(before.select(F.col("a").alias("id"), F.col("b").alias("id2")), ["id", "id2"], "left_anti")
+        best = met.groupBy("id").agg(F.max(F.struct("c", -F.col("n2"), "id2")).alias("best"))
+        pairs = stored(best.select(F.col("id").alias("a"), F.col("best.id2").alias("b")))
+        return stored(compared(pairs, texts_of(docs, reps, pairs), size))
+
+    def placed(group: DataFrame, leaders: bool) -> DataFrame:
+        """Entries with their groups; with ``leaders`` those that aren't in their leader's group."""
+        rows = crowded.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        if not leaders:
+            return rows
+        of_leader = group.select(F.col("id").alias("id2"), F.col("component").alias("component2"))
+        return rows.join(of_leader, "id2", "left").filter(
+            F.col("component") != F.coalesce("component2", "id2"))
+
+    answers = ask(crowded, None)
+    group = components(linked(answers, percent).select("a", "b"))
+    answers = stored(answers.union(ask(placed(group, leaders=True), answers)))
     first_links = linked(answers, percent).select("a", "b")
     group = components(first_links)
     # Lists whose entries are in one group by now need nothing more.
-    placed = crowded.select("token", "id", "n", "pos", "id2").join(group, "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("token").agg(
+    rows = placed(group, leaders=False)
+    mixed = rows.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("c"),
-    ).filter("low != high and c > 2").select("token")
+    ).filter("low != high").select("token")
     known = answers.select(F.col("a").alias("id"), F.col("b").alias("id2"), "o")
-    open_lists = stored(placed.join(mixed, "token", "left_semi").join(known, ["id", "id2"], "left").withColumn(
+    open_lists = stored(rows.select("token", "id", "n", "pos", "id2", "component").join(
+        mixed, "token", "left_semi").join(known, ["id", "id2"], "left").withColumn(
         "o", F.when(F.col("id") == F.col("id2"), F.col("n").cast("long")).otherwise(F.col("o"))))
     # Blocks by size: linked sets lie in the same block or in neighbours.
     block = F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
