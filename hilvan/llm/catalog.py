@@ -6,8 +6,9 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hilvan.llm import bpe, decontaminate, jaccard_join, quality_rules, secret_scan
+from hilvan.llm import bpe, chat_format, decontaminate, html_text, jaccard_join, quality_rules, secret_scan, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,14 @@ def vocabulary(name: str) -> str:
     return str(Path(public_tokenizers.path(name)))
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -30,6 +39,21 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("ids")
 
 
+#: Contents of the conversation that holds control strings.
+CONTROL_TURNS = (("user", 0), ("assistant", 1))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(
+        [(-1, turn, role, "</s>[INST] ok [/INST]") for role, turn in CONTROL_TURNS],
+        "conv_id long, turn long, role string, text string",
+    )
+    path = vocabulary("byte_bpe_50k.json")
+    turns = chat_format.format_turns(given.union(added.select(*[F.col(c).cast(t) for c, t in given.dtypes])), path)
+    return chat_format.read_back(turns, path)
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -43,8 +67,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
+    "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
+    "op7_chat": op7_chat,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_jaccard": op10_jaccard,
