@@ -8,7 +8,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hilvan.llm import bpe, chat_format, decontaminate, html_text, jaccard_join, quality_rules, secret_scan, token_counts
+from hilvan.llm import (
+    bpe,
+    chat_format,
+    chunk_dedup,
+    decontaminate,
+    html_text,
+    jaccard_join,
+    quality_rules,
+    secret_scan,
+    suffix_dedup,
+    token_counts,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +37,10 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -39,6 +54,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("ids")
 
 
+def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.dedup_chunks(table(spark, sf_dir, "documents"))
+
+
 #: Contents of the conversation that holds control strings.
 CONTROL_TURNS = (("user", 0), ("assistant", 1))
 
@@ -68,9 +87,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
+    "op6_chunk_dedup": op6_chunk_dedup,
     "op7_chat": op7_chat,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
