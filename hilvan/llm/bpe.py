@@ -312,27 +312,17 @@ def text_groups(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
 
 def encode_column(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: number of tokens, the ids and their digest, and the digest of the decoded text."""
-    base = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
     name, shared = shared_vocabulary(docs, path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            bpe = encoder(name, shared.value)
-            keys, at = batch["doc_id"].tolist(), 0
-            for group in text_groups([t if isinstance(t, str) else "" for t in batch["text"]]):
-                ids = bpe.encode(group)
-                yield pd.DataFrame({
-                    "doc_id": pd.Series(keys[at : at + len(group)], dtype="object"),
-                    "n_tokens": [len(i) // 4 for i in ids],
-                    "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
-                    "decoded_sha256": [
-                        hashlib.sha256(bpe.decode(i).encode("utf-8", "surrogatepass")).hexdigest() for i in ids
-                    ],
-                    "ids": ids,
-                })
-                at += len(group)
-
-    kind = base.schema["doc_id"].dataType.simpleString()
-    return base.mapInPandas(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary"
-    ).withColumnRenamed("doc_id", id_column)
+    @F.pandas_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string,ids:binary>")
+    def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = encoder(name, shared.value)
+        for batch in texts:
+            out = []
+            for group in text_groups([t if isinstance(t, str) else "" for t in batch]):
+                for ids in bpe.encode(group):
+                    back = bpe.decode(ids).encode("utf-8", "surrogatepass")
+                    out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest(), ids))
+            yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+
+    return docs.select(F.col(id_column), encoded(F.col(text)).alias("r")).select(id_column, "r.*")

@@ -8,7 +8,7 @@ runs with the first occurrence included.
 
 Defined cases: null is empty and has no chunks. Rows that repeat an id with the same text are
 one document: a chunk that only they share isn't a repeat, and they get equal results. The
-same chunk twice in one document is a repeat. Null ids are kept, and come first.
+same chunk twice in one document is a repeat. Null ids are kept.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from hilvan.llm.bytehash import Ranges, as_bytes, blocks, laid, mix
 from hilvan.llm.groups import stored
-from hilvan.llm.spans import cut_out, rows_of
+from hilvan.llm.spans import cut_out, id_of, rows_of
 
 REACH = 16
 MIN_CHUNK = 24
@@ -85,7 +85,7 @@ def chunk_rows(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             raw = [(row, r) for row, r in enumerate(as_bytes(t) for t in batch["text"]) if r]
-            keys, hashes = batch["key"].to_numpy(dtype=object), batch["h"].to_numpy()
+            keys, hashes = batch["key"].to_numpy(), batch["h"].to_numpy()
             for those, texts in blocks(raw):
                 block, at = laid(texts)
                 cuts = chunk_ends(texts)
@@ -101,7 +101,7 @@ def chunk_rows(rows: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"digest": digest.view(np.int64), "key": keys[row], "h": hashes[row],
                                     "i": place.astype(np.int32), "s": starts.astype(np.int32), "e": ends.astype(np.int32)})
 
-    return rows.mapInPandas(run, f"digest long, key {kind}, h int, i int, s int, e int")
+    return rows.mapInPandas(run, f"digest long, key {kind}, h long, i int, s int, e int")
 
 
 def long_runs(chunks: DataFrame) -> DataFrame:
@@ -119,15 +119,15 @@ def dedup_chunks(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     near = chunk_rows(rows).select(
         "*", F.dense_rank().over(met).alias("rank"),
         (F.lead("digest").over(met).isNotNull() & ~F.coalesce(
-            F.lead("key").over(met).eqNullSafe(F.col("key")) & (F.lead("h").over(met) == F.col("h"))
+            (F.lead("key").over(met) == F.col("key")) & (F.lead("h").over(met) == F.col("h"))
             & (F.lead("i").over(met) == F.col("i")), F.lit(False))).alias("other_after"),
     ).filter("rank > 1 or other_after").select("key", "h", "i", "s", "e", (F.col("rank") > 1).alias("later"))
     repeats = stored(near.dropDuplicates(["key", "h", "i"]))
     removed = long_runs(repeats.filter("later"))
     kept = cut_out(rows, removed)
-    seen = long_runs(repeats).groupBy("key").agg(F.sum(F.col("e") - F.col("s")).alias("n_repeated"))
-    return kept.join(seen, kept["key"].eqNullSafe(seen["key"]), "left").select(
-        kept["key"].alias(id_column), "n_bytes", "n_removed", "n_spans", "kept_sha256",
+    seen = long_runs(repeats).groupBy("key", "h").agg(F.sum(F.col("e") - F.col("s")).alias("n_repeated"))
+    return kept.join(seen, ["key", "h"], "left").select(
+        id_of().alias(id_column), "n_bytes", "n_removed", "n_spans", "kept_sha256",
         F.coalesce("n_repeated", F.lit(0).cast("long")).alias("n_repeated"),
         F.col("n_repeated").isNotNull().alias("repeats"),
     )

@@ -6,7 +6,7 @@ how far the window may move on, a bucket by the hash of the last block selects p
 the shift is nought, and the words themselves are compared before a hit counts.
 
 Patterns are handed to tasks in blocks of bounded size (``PATTERN_BYTES``); a larger
-benchmark takes several passes over the documents, whose hits are joined per document.
+benchmark takes several searches of each document, whose hits are united in its row.
 
 Defined cases: words are runs of digits, ASCII letters (lower-cased) and characters past
 ASCII. Null texts have no words: as documents they are clean, as items they give no pattern.
@@ -16,12 +16,11 @@ nothing. Repeated documents are searched one by one.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hilvan.llm.bytehash import ALNUM, Words, as_bytes, blocks, mix
@@ -137,29 +136,25 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def searched(docs: DataFrame, patterns: dict[bytes, set[str]]) -> DataFrame:
-    """Columns key, n_words, runs and items for every row of ``docs`` (key, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(patterns)
+def searched(spark: SparkSession, patterns: dict[bytes, set[str]]):
+    """A function of a text column: number of words, runs of hit words, and items met."""
+    shared = spark.sparkContext.broadcast(patterns)
     made: dict[str, Searcher] = {}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if "s" not in made:
-                made["s"] = Searcher(shared.value)
-            rows = zip(batch["key"], (as_bytes(t) for t in batch["text"]), strict=True)
-            out = []
-            for keys, texts in blocks(rows):
-                out += [(k, *found) for k, found in zip(keys, made["s"].search(texts), strict=True)]
-            yield pd.DataFrame({
-                "key": [x[0] for x in out], "n_words": [x[1] for x in out],
-                "runs": [[{"s": s, "e": e} for s, e in x[2]] for x in out],
-                "items": [sorted(x[3]) for x in out],
-            }).astype({"key": "object"})
-
-    kind = docs.schema["key"].dataType.simpleString()
-    return docs.mapInPandas(
-        run, f"key {kind}, n_words long, runs array<struct<s:int,e:int>>, items array<string>"
-    )
+    @F.pandas_udf("struct<n_words:long,runs:array<struct<s:int,e:int>>,items:array<string>>")
+    def search(texts: pd.Series) -> pd.DataFrame:
+        if "s" not in made:
+            made["s"] = Searcher(shared.value)
+        out = []
+        for _, part in blocks((None, as_bytes(t)) for t in texts):
+            out += made["s"].search(part)
+        return pd.DataFrame({
+            "n_words": [x[0] for x in out],
+            "runs": [[{"s": s, "e": e} for s, e in x[1]] for x in out],
+            "items": [sorted(x[2]) for x in out],
+        })
+
+    return search
 
 
 def contamination(
@@ -167,26 +162,14 @@ def contamination(
     item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, pattern_bytes: int = PATTERN_BYTES,
 ) -> DataFrame:
     """Per document: words, hit words, items met, digest of their ids, and the verdict."""
-    base = docs.select(F.col(id_column).alias("key"), F.col(text).alias("text"))
-    parts = [
-        searched(base, block) for block in pattern_blocks(benchmark, item_id, item_text, window, pattern_bytes)
-    ] or [searched(base, {})]
-    found = parts[0]
-    if len(parts) > 1:
-        # Several passes: rows of a document meet again by id and text digest.
-        tagged = base.select(F.struct("key", F.xxhash64("text").alias("h")).alias("key"), "text")
-        several = [searched(tagged, block) for block in
-                   pattern_blocks(benchmark, item_id, item_text, window, pattern_bytes)]
-        union = several[0]
-        for other in several[1:]:
-            union = union.union(other)
-        n = len(several)
-        found = union.groupBy("key").agg(
-            F.max("n_words").alias("n_words"), F.count(F.lit(1)).alias("times"),
-            F.array_sort(F.flatten(F.collect_set("runs"))).alias("runs"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        ).select(F.col("key.key").alias("key"), "n_words", "runs", "items",
-                 F.explode(F.sequence(F.lit(1), (F.col("times") / n).cast("int"))).alias("copy")).drop("copy")
+    parts = list(pattern_blocks(benchmark, item_id, item_text, window, pattern_bytes)) or [{}]
+    found = docs.select(F.col(id_column).alias("key"), *[
+        searched(docs.sparkSession, block)(F.col(text)).alias(f"r{i}") for i, block in enumerate(parts)
+    ]).select(
+        "key", F.col("r0.n_words").alias("n_words"),
+        F.array_sort(F.flatten(F.array(*[F.col(f"r{i}.runs") for i in range(len(parts))]))).alias("runs"),
+        F.array_distinct(F.flatten(F.array(*[F.col(f"r{i}.items") for i in range(len(parts))]))).alias("items"),
+    )
     hit = F.aggregate(
         "runs", F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
         lambda a, r: F.struct(
@@ -225,8 +208,3 @@ def _meets(shared):
         return pd.Series(out, dtype=bool)
 
     return meets
-
-
-def items_digest(items: list) -> str:
-    """The digest that the result carries for a set of item ids."""
-    return hashlib.sha256(",".join(sorted({"" if i is None else str(i) for i in items})).encode()).hexdigest()

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from hilvan.llm.bytehash import M1, M2, SPACED, Words, as_bytes, blocks, mix
 from hilvan.llm.groups import components, stored
+from hilvan.llm.spans import NO_ID, rows_of
 
 SHINGLE = 5
 PERCENT = 80
@@ -141,7 +142,7 @@ def classes(docs: DataFrame, percent: int, size: int) -> DataFrame:
                 prefix = ordered(s, shared.value)[:keep].view(np.int64)
                 out.append((key[0], key[1], n, d1 - (1 << 64) * (d1 >> 63), d2 - (1 << 64) * (d2 >> 63), prefix))
             table = pd.DataFrame(out, columns=["key", "h", "n", "d1", "d2", "prefix"])
-            yield table.astype({"key": "object"})
+            yield table
 
     kind = docs.schema["key"].dataType.simpleString()
     return docs.mapInPandas(run, f"key {kind}, h long, n long, d1 long, d2 long, prefix array<long>")
@@ -186,7 +187,7 @@ def linked(table: DataFrame, percent: int) -> DataFrame:
 def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int, size: int) -> DataFrame:
     """Links (a, b) between class ids that connect every group of classes."""
     lists = made.join(reps, ["d1", "d2", "n"]).filter(
-        F.col("k").eqNullSafe(F.col("who.k")) & F.col("h").eqNullSafe(F.col("who.h"))
+        (F.col("k") == F.col("who.k")) & (F.col("h") == F.col("who.h"))
     ).select("id", F.col("n").cast("int").alias("n"), "prefix").dropDuplicates(["id"])
     entries = lists.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     n, pos, n2, pos2 = (F.col(c) for c in ("n", "pos", "n2", "pos2"))
@@ -271,8 +272,8 @@ def jaccard_components(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE,
 ) -> DataFrame:
     """Every row with its set size and ``component_id``, the least key reachable by links."""
-    base = docs.select(F.col(id_column).alias("key"), F.col(text).alias("text")).withColumn("h", F.xxhash64("text"))
-    named = F.struct(F.col("key").isNotNull().alias("has"), "key")
+    base = rows_of(docs, id_column, text)
+    named = F.struct((F.col("h") < NO_ID).alias("has"), "key")
     made = stored(classes(base, percent, size).withColumn("k", named).drop("key"))
     reps = stored(made.filter("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(F.struct("k", "h")).alias("who")).withColumn("id", F.monotonically_increasing_id()))
@@ -283,8 +284,9 @@ def jaccard_components(
     names = placed.groupBy("component").agg(F.min("k").alias("name"))
     named_classes = placed.join(names, "component").select("d1", "d2", "n", "name")
     return made.select("k", "n", "d1", "d2").join(named_classes, ["d1", "d2", "n"], "left").select(
-        F.col("k.key").alias(id_column), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("name.key")).otherwise(F.col("k.key")).alias("component_id"),
+        F.when(F.col("k.has"), F.col("k.key")).alias(id_column), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.when(F.col("name.has"), F.col("name.key"))).otherwise(
+            F.when(F.col("k.has"), F.col("k.key"))).alias("component_id"),
     )
 
 

@@ -197,21 +197,18 @@ def written(spans: list[Span]) -> str:
 
 def secret_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: counts of the base kinds, the digest of the base spans, and all spans."""
-    ids = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            both = [scan(t) for t in batch["text"]]
-            n = [[sum(s[1] == k for s in base) for base, _ in both] for k in range(3)]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "n_assign": n[0], "n_access": n[1], "n_hex": n[2],
-                "base_sha256": [hashlib.sha256(written(base).encode()).hexdigest() for base, _ in both],
-                "spans": [written(every) for _, every in both],
-            }).astype({"doc_id": "object"})
-
-    kind = ids.schema["doc_id"].dataType.simpleString()
-    return ids.mapInPandas(run, f"doc_id {kind}, n_assign long, n_access long, n_hex long, "
-                                "base_sha256 string, spans string")
+
+    @F.pandas_udf("struct<n_assign:long,n_access:long,n_hex:long,base_sha256:string,spans:string>")
+    def scanned(texts: pd.Series) -> pd.DataFrame:
+        both = [scan(t) for t in texts]
+        n = [[sum(s[1] == k for s in base) for base, _ in both] for k in range(3)]
+        return pd.DataFrame({
+            "n_assign": n[0], "n_access": n[1], "n_hex": n[2],
+            "base_sha256": [hashlib.sha256(written(base).encode()).hexdigest() for base, _ in both],
+            "spans": [written(every) for _, every in both],
+        })
+
+    return docs.select(F.col(id_column), scanned(F.col(text)).alias("r")).select(id_column, "r.*")
 
 
 def masked(text, spans: list[Span], mask: str) -> str:

@@ -6,19 +6,33 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hilvan.llm.bytehash import as_bytes
 
 
+#: Set in ``h`` where the id is null.
+NO_ID = 1 << 32
+
+
 def rows_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(key, h, text): the id and a hash of the text together name a row; equal rows share them."""
-    return docs.select(F.col(id_column).alias("key"), F.hash(text).alias("h"), F.col(text).alias("text"))
+    """(key, h, text): the id and a hash of the text together name a row; equal rows share them.
+
+    Neither is null: a null id is written as nought or nothing, and marked in ``h``, so that
+    ids pass through pandas unchanged.
+    """
+    key = F.col(id_column)
+    zero = F.lit("0").cast(docs.schema[id_column].dataType)
+    return docs.select(
+        F.coalesce(key, zero).alias("key"),
+        (F.hash(text).cast("long").bitwiseAND(F.lit(NO_ID - 1)) + F.when(key.isNull(), NO_ID).otherwise(0)).alias("h"),
+        F.col(text).alias("text"),
+    )
 
 
-def same_row(left: DataFrame, right: DataFrame):
-    return left["key"].eqNullSafe(right["key"]) & (left["h"] == right["h"])
+def id_of(key: str = "key", h: str = "h") -> Column:
+    return F.when(F.col(h) < NO_ID, F.col(key))
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -42,24 +56,24 @@ def without(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def cut_out(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(key, n_bytes, n_removed, n_spans, kept_sha256) for each row of ``rows``.
+    """(key, h, n_bytes, n_removed, n_spans, kept_sha256) for each row of ``rows``.
 
     ``ranges``: (key, h, s, e), byte ranges to remove, in any order and overlap. The ranges of
     a row are gathered per row, so their number is bounded by its length.
     """
     held = ranges.groupBy("key", "h").agg(F.collect_list(F.struct("s", "e")).alias("cuts"))
-    both = rows.join(held, same_row(rows, held), "left").select(rows["key"], "text", "cuts")
+    both = rows.join(held, ["key", "h"], "left").select("key", "h", "text", "cuts")
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for key, text, cuts in zip(batch["key"], batch["text"], batch["cuts"], strict=True):
+            for key, h, text, cuts in zip(batch["key"], batch["h"], batch["text"], batch["cuts"], strict=True):
                 raw = as_bytes(text)
                 runs = merged([(c["s"], c["e"]) for c in cuts]) if cuts is not None else []
-                out.append((key, len(raw), sum(e - s for s, e in runs), len(runs),
+                out.append((key, h, len(raw), sum(e - s for s, e in runs), len(runs),
                             hashlib.sha256(without(raw, runs)).hexdigest()))
-            names = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            yield pd.DataFrame(out, columns=names).astype({"key": "object"})
+            names = ["key", "h", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            yield pd.DataFrame(out, columns=names)
 
-    return both.mapInPandas(run, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return both.mapInPandas(run, f"key {kind}, h long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from hilvan.llm.bytehash import Ranges, as_bytes, blocks, laid
 from hilvan.llm.groups import stored
-from hilvan.llm.spans import cut_out, rows_of, same_row
+from hilvan.llm.spans import cut_out, id_of, rows_of
 from hilvan.llm.suffixes import repeated_starts
 
 WIDTH = 200
@@ -85,20 +85,20 @@ def segment_rows(rows: DataFrame, width: int, anchor: int) -> DataFrame:
         for batch in batches:
             raw = [as_bytes(t) for t in batch["text"]]
             named = [(row, r) for row, r in enumerate(raw) if len(r) >= width]
-            keys, hashes = batch["key"].to_numpy(dtype=object), batch["h"].to_numpy()
+            keys, hashes = batch["key"].to_numpy(), batch["h"].to_numpy()
             for those, texts in blocks(named):
                 text, start, end, least, digest = segments(texts, width, anchor)
                 row = np.array(those)[text]
                 yield pd.DataFrame({"least": least, "digest": digest, "key": keys[row], "h": hashes[row],
                                     "s": start.astype(np.int32), "e": end.astype(np.int32)})
 
-    return rows.mapInPandas(run, f"least long, digest long, key {kind}, h int, s int, e int")
+    return rows.mapInPandas(run, f"least long, digest long, key {kind}, h long, s int, e int")
 
 
 def pieces_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of each wanted (least, digest, key, h, s, e)."""
     held = wanted.groupBy("key", "h").agg(F.collect_list(F.struct("least", "digest", "s", "e")).alias("parts"))
-    both = rows.join(held, same_row(rows, held)).select("text", "parts")
+    both = rows.join(held, ["key", "h"]).select("text", "parts")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -215,4 +215,5 @@ def repeated_ranges(
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WIDTH, **options) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans and kept_sha256."""
     rows = rows_of(docs, id_column, text)
-    return cut_out(rows, repeated_ranges(rows, width, **options)).withColumnRenamed("key", id_column)
+    return cut_out(rows, repeated_ranges(rows, width, **options)).select(
+        id_of().alias(id_column), "n_bytes", "n_removed", "n_spans", "kept_sha256")

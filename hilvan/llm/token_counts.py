@@ -73,7 +73,8 @@ def token_counts(
     if rule not in RULES or by not in ("line", "field"):
         raise ValueError(f"unknown rule {rule!r} or section kind {by!r}")
     base = docs.select(
-        F.col(id_column).alias("key"),
+        F.coalesce(F.col(id_column), F.lit("0").cast(docs.schema[id_column].dataType)).alias("key"),
+        F.col(id_column).isNull().alias("none"),
         *[F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f"f{i}") for i, f in enumerate(fields)],
     )
     names = list(fields)
@@ -88,7 +89,7 @@ def token_counts(
                 lengths = bpe.lengths = np.array([len(b) for b in bpe.vocab.bytes_of], dtype=np.int64)
             cells = [batch[f"f{i}"].tolist() for i in range(len(names))]
             wholes = ["".join(parts) for parts in zip(*cells, strict=True)]
-            keys, at = batch["key"].tolist(), 0
+            keys, none, at = batch["key"].to_numpy(), batch["none"].to_numpy(), 0
             for group in text_groups(wholes):
                 out: list[pd.DataFrame] = []
                 for ids, row in zip(bpe.encode(group), range(at, at + len(group)), strict=True):
@@ -101,7 +102,7 @@ def token_counts(
                     chars = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
                     counts, crossing = attribute(lengths[np.frombuffer(ids, dtype="<u4")], bounds, rule)
                     out.append(pd.DataFrame({
-                        "key": pd.Series([keys[row]] * len(pieces), dtype="object"), "field": owners,
+                        "key": np.repeat(keys[row : row + 1], len(pieces)), "none": none[row], "field": owners,
                         "section": np.arange(len(pieces)), "start": chars[:-1], "end": chars[1:],
                         "n_tokens": counts, "n_crossing": crossing,
                     }))
@@ -110,5 +111,6 @@ def token_counts(
                     yield pd.concat(out, ignore_index=True)
 
     return base.mapInPandas(
-        run, f"key {kind}, field string, section long, start long, end long, n_tokens long, n_crossing long"
-    ).withColumnRenamed("key", id_column)
+        run, f"key {kind}, none boolean, field string, section long, start long, end long, n_tokens long, n_crossing long"
+    ).select(F.when(~F.col("none"), F.col("key")).alias(id_column), "field", "section", "start", "end", "n_tokens",
+             "n_crossing")
