@@ -6,8 +6,8 @@ rejection per cost go first. The order changes the work, never the verdict.
 
 Defined cases: a null text has no words and fails the base; so does an empty one. Words are
 parted by space, tab, line feed, vertical tab, form feed and carriage return. Repeated rows
-are judged one by one. Input columns of any name are kept as they are: the counts are put
-into one struct column, whose name the caller chooses.
+are judged one by one. Input columns of any name are kept as they are: while rules run, a
+row's own columns are held in one struct.
 """
 
 from __future__ import annotations
@@ -114,7 +114,10 @@ class Rule:
 
 
 #: Cost of one count, in passes over the bytes of the text.
-COST = {"n_words": 6.0, "word_chars": 3.0, "n_symbols": 4.0, "n_shouts": 1.0, "n_dup_lines": 4.0, "n_lines": 4.0, "n_repeat_words": 30.0}
+COST = {
+    "n_words": 6.0, "word_chars": 3.0, "n_symbols": 4.0, "n_shouts": 1.0, "n_dup_lines": 4.0, "n_lines": 4.0,
+    "n_repeat_words": 30.0,
+}
 
 BASE_RULES = (
     Rule("few_words", ("n_words",), lambda c: c["n_words"] < MIN_WORDS),
@@ -165,7 +168,11 @@ def cascade(work: DataFrame, rules: list[Rule]) -> DataFrame:
     work = work.withColumn("alive", F.lit(True))
     for rule in rules:
         work = counted(work, rule.counts, F.col("alive"))
-        work = work.withColumn("alive", F.col("alive") & ~F.coalesce(rule.rejects(have(rule.counts)), F.lit(True)))
+        # The row number keeps the steps apart: else the optimizer copies each verdict into
+        # every later one, and plans grow by powers.
+        step = F.monotonically_increasing_id() >= 0
+        work = work.withColumn(
+            "alive", F.col("alive") & ~F.coalesce(rule.rejects(have(rule.counts)), F.lit(True)) & step)
     return work
 
 
