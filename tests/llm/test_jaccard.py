@@ -1,10 +1,7 @@
 import random
 import re
-from collections import defaultdict
 from itertools import combinations
 
-import pytest
-
 from hilvan.llm import jaccard_join as J
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -55,47 +52,29 @@ def corpus(seed, n=120):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_equals_brute_force(docs, seed):
-    rows = corpus(seed) + [(900, None), (901, ""), (902, " \n"), (903, "one two"), (904, "One  two"), (905, "two one")]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(docs(rows)).collect()}
-    assert got == brute(rows)
-
-
-def test_chain_of_links_is_one_component(docs):
-    words = [f"w{i}" for i in range(200)]
-    rows = [(i, " ".join(words[4 * i : 4 * i + 100])) for i in range(20)]
-    assert {r.component_id for r in J.jaccard_components(docs(rows)).collect()} == {0}
-
-
-def test_many_near_copies_share_one_component(docs):
-    words = [f"w{i}" for i in range(120)]
-    rows = [(i, " ".join([*words[: i % 110], f"x{i}", *words[i % 110 :]])) for i in range(400)]
-    assert {r.component_id for r in J.jaccard_components(docs(rows)).collect()} == {0}
-
-
-def test_null_ids_and_repeated_rows_come_back(docs):
-    text = " ".join(f"w{i}" for i in range(20))
-    rows = [(None, text), (3, text), (3, text), (4, "other words only here today"), (None, None)]
-    got = sorted((str(r.doc_id), str(r.component_id)) for r in J.jaccard_components(docs(rows)).collect())
-    assert got == [("3", "None"), ("3", "None"), ("4", "4"), ("None", "None"), ("None", "None")]
+def test_equals_brute_force_on_mixed_cases(docs):
+    """Random near copies, a chain of links, a large group of near copies, and odd rows at once."""
+    rows = [(1000 * s + i, f"s{s} " + t.replace("w", f"s{s}w") if s else t) for s in range(3) for i, t in corpus(s + 1, 60)]
+    words = [f"c{i}" for i in range(200)]
+    rows += [(5000 + i, " ".join(words[4 * i : 4 * i + 100])) for i in range(20)]
+    near = [f"n{i}" for i in range(120)]
+    rows += [(6000 + i, " ".join([*near[: i % 110], f"x{i}", *near[i % 110 :]])) for i in range(120)]
+    rows += [(900, None), (901, ""), (902, " \n"), (903, "one two"), (904, "One  two"), (905, "two one")]
+    want = brute(rows)
+    assert {want[5000 + i][1] for i in range(20)} == {5000}
+    text = " ".join(f"r{i}" for i in range(20))
+    more = [(None, text), (9003, text), (9003, text), (None, None), (1 << 60 | 1, "far away words only here")]
+    got = J.jaccard_components(docs(rows + more)).collect()
+    assert len(got) == len(rows) + len(more)
+    by = {r.doc_id: (r.n_shingles, r.component_id) for r in got}
+    assert {k: by[k] for k in want} == want
+    assert by[9003] == (16, None) and by[1 << 60 | 1] == (1, 1 << 60 | 1)
 
 
 def test_empty_table(docs):
     assert J.jaccard_components(docs([])).collect() == []
 
 
-def test_keep_one_of_each_group(docs):
-    rows = corpus(5)
-    table = docs(rows)
-    out = J.keep_one(table)
-    groups = defaultdict(set)
-    for k, (_, c) in brute(rows).items():
-        groups[c].add(k)
-    assert out.columns == table.columns
-    assert {r.doc_id for r in out.collect()} == set(groups)
-
-
 def test_components_of_a_long_path(spark):
     from hilvan.llm.groups import components
 

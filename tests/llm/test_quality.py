@@ -24,48 +24,33 @@ TEXTS = [
 ]
 
 
-def test_counts_equal_brute_force(docs):
-    rows = Q.quality_counts(docs(TEXTS)).collect()
+def test_counts_verdict_filter_and_plan(docs):
+    table = docs(TEXTS)
+    found = Q.quality_counts(table)
+    assert not re.search("Python|Pandas|Arrow", found._jdf.queryExecution().executedPlan().toString())
+    rows = found.collect()
     assert len(rows) == len(TEXTS)
     for r in rows:
         got = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
         assert got == brute(TEXTS[r.doc_id]), r.doc_id
-
-
-def test_verdict_keeps_clean_and_drops_junk(docs):
-    kept = {r.doc_id: r.kept for r in Q.quality_counts(docs(TEXTS)).collect()}
-    assert kept[0] and kept[14]
-    assert not any(kept[i] for i in (1, 2, 3, 4, 7, 8, 9, 10, 13))
-
-
-def test_filter_agrees_with_the_counts_and_keeps_columns(docs):
-    table = docs(TEXTS)
-    kept = {r.doc_id for r in Q.quality_counts(table).filter("kept").collect()}
+    kept = {r.doc_id for r in rows if r.kept}
+    assert {0, 14} <= kept
+    assert not kept & {1, 2, 3, 4, 7, 8, 9, 10, 13}
     out = Q.keep_good(table)
     assert out.columns == table.columns
     assert {r.doc_id for r in out.collect()} == kept
 
 
-def test_order_puts_rejection_per_cost_first(docs):
-    table = docs([GOOD + " ###" * 40] * 30 + [GOOD] * 10)
-    assert Q.rule_order(table, Q.METHOD_RULES)[0].name == "symbols"
-
-
-def test_order_does_not_change_the_verdict(docs):
+def test_order_puts_rejection_per_cost_first_and_keeps_the_verdict(docs):
     from pyspark.sql import functions as F
 
-    work = docs(TEXTS, clashes=False).select("doc_id", F.col("text").alias("t"), Q.words(F.col("text")).alias("w"))
-    rules = list(Q.BASE_RULES + Q.METHOD_RULES)
-    one = {r.doc_id: r.alive for r in Q.cascade(work, rules).select("doc_id", "alive").collect()}
-    two = {r.doc_id: r.alive for r in Q.cascade(work, rules[::-1]).select("doc_id", "alive").collect()}
-    assert one == two
+    table = docs([GOOD + " ###" * 40] * 30 + [GOOD] * 10, clashes=False)
+    order = Q.rule_order(table, Q.METHOD_RULES)
+    assert order[0].name == "symbols"
+    work = table.select("doc_id", F.col("text").alias("t"), Q.words(F.col("text")).alias("w"))
+    one = {r.doc_id: r.alive for r in Q.cascade(work, order).select("doc_id", "alive").collect()}
+    assert one == {i: i >= 30 for i in range(40)}
 
 
 def test_empty_table(docs):
-    assert Q.quality_counts(docs([])).collect() == []
-    assert Q.keep_good(docs([])).collect() == []
-
-
-def test_main_path_is_native(docs):
-    plan = Q.quality_counts(docs(TEXTS))._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
+    assert Q.quality_counts(docs([], clashes=False)).collect() == []
