@@ -158,7 +158,7 @@ ms AS (SELECT file_path, level, first, message FROM an WHERE message IS NOT NULL
   UNION ALL SELECT file_path, 4, 0, 'NCLIENTES (TZ:' || cl || ', RESP:' || tc || ')' FROM q WHERE regexp_matches(tc, '^\\d+$') AND CAST(tc AS BIGINT) <> cl
   UNION ALL SELECT file_path, 5, 0, 'TRAZE ERRONEO' FROM q WHERE nds = 0),
 st AS (SELECT file_path, string_agg(message, ' | ' ORDER BY level, first, message) AS t FROM ms GROUP BY file_path)
-SELECT CASE WHEN us.responsable = '' THEN q.folder ELSE q.folder || '_' || us.responsable END || '.xlsx' AS archivo, left(stem, 31) AS hoja, coalesce(t, 'OK') AS estado, CAST(0 AS BIGINT) AS parte
+SELECT CASE WHEN us.responsable = '' THEN q.folder ELSE q.folder || '_' || us.responsable END || '.xlsx' AS archivo, stem AS hoja, coalesce(t, 'OK') AS estado, CAST(0 AS BIGINT) AS parte
 FROM q JOIN us ON q.folder = us.folder AND rn = 1 LEFT JOIN st ON q.file_path = st.file_path""",
     "trace_missing_files": f"""WITH {_OWNERS}, {_FILES} SELECT anillo AS archivo, 'responsable' AS hoja, 'FALTA ARCHIVO' AS estado, CAST(0 AS BIGINT) AS parte
 FROM ow WHERE anillo NOT IN (SELECT anillo FROM fl)""",

@@ -61,7 +61,7 @@ EDITS: dict[str, Edit] = {
     "port_service_level": Edit("port", "service_level"),
     "port_connector_type": Edit("port", "connector_type"),
     "port_service_type": Edit("port", "tipo_servicio"),
-    "port_central_equipment": Edit("port", "equipo_central", max_lines=1),
+    "port_central_equipment": Edit("port", "equipo_central"),
     "port_central_port": Edit("port", "puerto_central"),
     "port_network_project": Edit("port", "proyecto_red"),
     "port_provision_date": Edit("port", "fecha_aprovisionamiento", "date", texts=DATED),
@@ -91,7 +91,7 @@ EDITS: dict[str, Edit] = {
     "shelf_level": Edit("shelf", "nivel_en_bastidor"),
     "aerial_route_owner": Edit("aerial_route", "owner", separator="&&&"),
     "pole_status": Edit("pole", "construction_status", separator="&&&"),
-    "pole_usage": Edit("pole", "usage", separator="&&&", log="success", max_lines=100),
+    "pole_usage": Edit("pole", "usage", separator="&&&", log="success"),
 }
 
 

@@ -428,7 +428,7 @@ def trace_report(
         F.concat("folder", F.lit("_"), "_usual", F.lit(".xlsx"))
     )
     rows = whole.join(state, "file_path", "left").select(
-        name.alias("archivo"), F.substring("stem", 1, 31).alias("hoja"),
+        name.alias("archivo"), F.col("stem").alias("hoja"),
         F.coalesce("_state", F.lit("OK")).alias("estado"), F.coalesce("part", F.lit(0)).cast("bigint").alias("parte"),
     )
     return rows.filter("estado <> 'OK'") if only_faults else rows

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,8 +45,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder that the cluster names.
 
     The folder is read from the session (``spark.checkpoint.dir``). Only a local
-    session without the setting gets a folder of its own; a cluster without one is
-    an error, because a machine-local folder is lost with its executor.
+    session without the setting uses its warehouse folder instead; a cluster without one
+    is an error, because a machine-local folder is lost with its executor.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -58,6 +55,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if shared is None:
             if not context.master.startswith("local"):
                 raise ValueError("spark.checkpoint.dir is not set on this cluster")
-            shared = tempfile.mkdtemp(prefix="hilvan-checkpoint-", dir=os.environ.get("TMPDIR"))
+            shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
         context.setCheckpointDir(shared)
     return df.checkpoint(eager=True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hilvan.functions.text import as_column
@@ -40,8 +40,11 @@ def load_table(df: DataFrame, table: str, if_exists: str = "replace", text: bool
     """Replaces or appends a table from a raw sheet; returns the rows of the batch."""
     clean = without_empty_rows(with_names(df, loader_name))
     clean = as_text(clean) if text else clean
-    clean.write.mode("overwrite" if if_exists == "replace" else "append").saveAsTable(table)
-    return clean.count()
+    written = Observation()
+    clean.observe(written, F.count(F.lit(1)).alias("n")).write.mode(
+        "overwrite" if if_exists == "replace" else "append"
+    ).saveAsTable(table)
+    return written.get["n"]
 
 
 def load_many(
@@ -65,12 +68,26 @@ def write_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append", b
 
 
 def replace_from_self(df: DataFrame, table: str) -> None:
-    """Overwrites a table that ``df`` reads: written beside it first, then renamed."""
+    """Overwrites a table that ``df`` reads: written beside it first, then renamed.
+
+    The old table is set aside before the new one takes its name, and dropped last; if the
+    second rename fails, the old table gets its name back.
+    """
     spark = df.sparkSession
     beside = f"{table}__next"
     df.write.mode("overwrite").saveAsTable(beside)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    before = f"{table}__before"
+    spark.sql(f"DROP TABLE IF EXISTS {before}")
+    there = spark.catalog.tableExists(table)
+    if there:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
+    try:
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    except Exception:
+        if there:
+            spark.sql(f"ALTER TABLE {before} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {before}")
 
 
 def upsert_table(incoming: DataFrame, table: str, keys: Sequence[str]) -> None:

@@ -18,9 +18,11 @@ def load_new_files(
     """Appends files that were not loaded before, all fields as text, then stops.
 
     The file source remembers names only: a changed file of the same name is left to the
-    control table of the batch load.
+    control table of the batch load. A file whose header differs from ``columns``, also in
+    order, is an error: fields are never taken by position alone.
     """
-    reader = spark.readStream.schema(", ".join(f"`{c}` STRING" for c in columns)).option("header", "true")
+    reader = spark.readStream.schema(", ".join(f"`{c}` STRING" for c in columns)).option(
+        "header", "true").option("enforceSchema", "false")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     arriving = reader.csv(path).withColumn("source_file", F.col("_metadata.file_name"))

@@ -1,5 +1,6 @@
 """Readers and writers on real files."""
 
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -110,3 +111,26 @@ def test_panel_table_is_stamped(spark):
     assert "fecha_actualizacion" in T.stamped(spark.range(1)).columns
     T.ensure_layers(spark)
     assert {"raw", "clean", "staging"} <= {d.name for d in spark.catalog.listDatabases()}
+
+
+def test_failed_rename_leaves_the_old_table(spark, monkeypatch):
+    from hilvan.sources import tables
+
+    spark.sql("DROP TABLE IF EXISTS kept_rows")
+    spark.createDataFrame([(1,)], "a int").write.saveAsTable("kept_rows")
+    real = type(spark).sql
+
+    def failing(self, text, *rest, **named):
+        if "__next RENAME" in text:
+            raise RuntimeError("rename failed")
+        return real(self, text, *rest, **named)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError):
+        tables.replace_from_self(spark.createDataFrame([(2,)], "a int"), "kept_rows")
+    monkeypatch.undo()
+    assert [r.a for r in spark.table("kept_rows").collect()] == [1]
+    spark.sql("DROP TABLE IF EXISTS kept_rows__next")
+    tables.replace_from_self(spark.createDataFrame([(3,)], "a int"), "kept_rows")
+    assert [r.a for r in spark.table("kept_rows").collect()] == [3]
+    spark.sql("DROP TABLE kept_rows")
