@@ -10,7 +10,7 @@ Escaping: a backslash becomes two, and a control string gets one after its first
 Defined cases: a null text or role is empty; a role other than user, assistant and system is
 written as a segment of its own. Turns are ordered by turn, role and text, nulls first;
 repeated rows are turns of their own. A null conversation id is one conversation. Turns are
-formatted row by row, so a conversation of any length is streamed and never held whole.
+formatted row by row, and read back in chunks of turn numbers; no conversation is held whole.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 CONTROLS = (
     "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]", "[BOT]",
@@ -34,6 +35,11 @@ ESCAPE = re.compile(r"\\(.)", re.DOTALL)
 #: Reserved ids before and after the text of a turn, by role.
 OPEN = {"user": ("<s>", "[INST]"), "assistant": ("[BOT]",), "system": ("<<SYS>>",)}
 CLOSE = {"user": ("[/INST]",), "assistant": ("</s>",), "system": ("<</SYS>>",)}
+#: Turns that are decoded together, bytes of decoded text in a row, and the chunk of null turns.
+CHUNK = 64
+PIECE_BYTES = 1 << 18
+FIRST = -(1 << 62)
+
 OTHER_OPEN, OTHER_MIDDLE, OTHER_CLOSE = ("[ROLE]",), ("[/ROLE]",), ("</s>",)
 
 
@@ -132,19 +138,71 @@ def format_turns(conversations: DataFrame, path: str) -> DataFrame:
     return out.select("conv_id", "turn", "role", "text", "f.ids", "f.mask", "f.chars")
 
 
-def read_back(turns: DataFrame, path: str) -> DataFrame:
+class Piece:
+    """Decoded turns of one chunk, in order."""
+
+    COLUMNS = ("name", "chunk", "place", "n_turns", "whole", "loss", "loss_chars", "chars")
+
+    def __init__(self, name: str, chunk: int, place: int):
+        self.name, self.chunk, self.place = name, chunk, place
+        self.whole: list[bytes] = []
+        self.loss: list[bytes] = []
+        self.size = self.loss_chars = self.chars = 0
+
+    def add(self, role: str, text: str, loss: str, chars: int) -> None:
+        self.whole.append(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+        self.loss.append(loss.encode("utf-8", "surrogatepass"))
+        self.size += len(self.whole[-1]) + len(self.loss[-1])
+        self.loss_chars += len(loss)
+        self.chars += chars
+
+    def row(self) -> tuple:
+        return (self.name, self.chunk, self.place, len(self.whole), b"".join(self.whole), b"".join(self.loss),
+                self.loss_chars, self.chars)
+
+
+def read_back(turns: DataFrame, path: str, turns_a_chunk: int = CHUNK, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """Per conversation, from ids and masks alone: turns, digests and lengths.
 
-    Rows of a conversation are streamed in order; only running digests are kept.
+    Tokens are decoded chunk by chunk, so a long conversation is spread over the tasks. A
+    digest needs the whole order: one task per conversation runs over the decoded pieces,
+    and keeps running digests and one piece at a time only.
     """
     with open(path, encoding="utf-8") as file:
         shared = turns.sparkSession.sparkContext.broadcast(file.read())
     kind = turns.schema["conv_id"].dataType.simpleString()
-    parted = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    rows = parted.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("name"), "ids", "mask", "chars")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    number = isinstance(turns.schema["turn"].dataType, NumericType)
+    chunk = F.floor(F.col("turn") / turns_a_chunk) if number else F.lit(0)
+    rows = turns.select(
+        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("name"), chunk.cast("long").alias("chunk"),
+        "turn", "role", "text", "ids", "mask", "chars")
+    parted = rows.repartition("name", "chunk").sortWithinPartitions("name", "chunk", "turn", "role", "text").select(
+        "name", F.coalesce("chunk", F.lit(FIRST)).alias("chunk"), "ids", "mask", "chars")
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         form = formatter(shared.value)
+        piece: Piece | None = None
+        for batch in batches:
+            out = []
+            columns = (batch[c] for c in ("name", "chunk", "ids", "mask", "chars"))
+            for name, at, ids, mask, chars in zip(*columns, strict=True):
+                if piece is None or (name, at) != (piece.name, piece.chunk):
+                    out += [] if piece is None else [piece.row()]
+                    piece = Piece(name, at, 0)
+                elif piece.size >= piece_bytes:
+                    out.append(piece.row())
+                    piece = Piece(name, at, piece.place + 1)
+                piece.add(*form.read_back(np.asarray(ids), np.asarray(mask)), int(chars))
+            if out:
+                yield pd.DataFrame(out, columns=Piece.COLUMNS)
+        if piece is not None:
+            yield pd.DataFrame([piece.row()], columns=Piece.COLUMNS)
+
+    pieces = parted.mapInPandas(
+        decode, "name string, chunk long, place long, n_turns long, whole binary, loss binary, loss_chars long, chars long")
+    ordered = pieces.repartition("name").sortWithinPartitions("name", "chunk", "place")
+
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, state = None, None
 
         def line() -> dict:
@@ -154,24 +212,24 @@ def read_back(turns: DataFrame, path: str) -> DataFrame:
 
         for batch in batches:
             out = []
-            for name, ids, mask, chars in zip(batch["name"], batch["ids"], batch["mask"], batch["chars"], strict=True):
+            columns = (batch[c] for c in ("name", "n_turns", "whole", "loss", "loss_chars", "chars"))
+            for name, n, whole, loss, loss_chars, chars in zip(*columns, strict=True):
                 if name != current:
                     if current is not None:
                         out.append(line())
                     current, state = name, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, text, loss = form.read_back(np.asarray(ids), np.asarray(mask))
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                state[2] += len(loss)
-                state[3].update(loss.encode("utf-8", "surrogatepass"))
+                state[0] += int(n)
+                state[1].update(whole)
+                state[2] += int(loss_chars)
+                state[3].update(loss)
                 state[4] += int(chars)
             if out:
                 yield pd.DataFrame(out)
         if current is not None:
             yield pd.DataFrame([line()])
 
-    found = rows.mapInPandas(
-        run, "name string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    found = ordered.mapInPandas(
+        digest, "name string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     )
     return found.select(
         F.when(F.col("name") != "", F.col("name").cast(kind)).alias("conv_id"),

@@ -51,13 +51,17 @@ def test_escaping_is_reversible(text):
     assert not F.ESCAPED.search(F.escape(text))
 
 
-def test_read_back_equals_the_turns(spark):
+@pytest.mark.parametrize(("chunk", "size"), [(64, 1 << 18), (5, 1), (1, 30)])
+def test_read_back_equals_the_turns(spark, chunk, size):
     rows = [(1, i, ("user", "assistant", "system", "tool", None)[i % 5], t) for i, t in enumerate(HARD * 3)]
     rows += [(2, 0, "assistant", None), (2, 0, "assistant", None), (None, 1, "user", "x"), (None, 0, "assistant", "y")]
+    rows += [(3, i, "user", f"at {i}") for i in (-9, None, 200, 7, 7, None, 63, 64, -64)]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS ids", "2 AS name")
-    got = {r.conv_id: r for r in F.read_back(F.format_turns(table, PATH), PATH).collect()}
-    for conv in (1, 2, None):
-        turns = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1], r[2] or "", r[3] or ""))
+    found = F.read_back(F.format_turns(table, PATH), PATH, turns_a_chunk=chunk, piece_bytes=size).collect()
+    got = {r.conv_id: r for r in found}
+    assert len(found) == len(got) == 4
+    for conv in (1, 2, 3, None):
+        turns = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
         whole = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in turns)
         loss = "".join(r[3] or "" for r in turns if r[2] == "assistant")
         r = got[conv]
