@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,25 +149,37 @@ def classes(docs: DataFrame, percent: int, size: int) -> DataFrame:
     return docs.mapInPandas(run, f"key {kind}, h long, n long, d1 long, d2 long, prefix array<long>")
 
 
+def packed_texts(docs: DataFrame, who: DataFrame) -> DataFrame:
+    """(id, packed): the compressed text of each class in ``who`` (id, key, h)."""
+
+    @F.pandas_udf("binary")
+    def pack(column: pd.Series) -> pd.Series:
+        press = zstandard.ZstdCompressor()
+        return column.map(lambda t: press.compress(as_bytes(t)), na_action=None).astype(object)
+
+    packed = docs.select("key", "h", pack("text").alias("packed"))
+    return stored(packed.join(who, ["key", "h"]).dropDuplicates(["key", "h"]).select("id", "packed"))
+
+
 def compared(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(a, b, o, na, nb): the overlap of each pair, from whole texts."""
-    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    two = one.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    """(a, b, o, na, nb): the overlap of each pair, from whole texts (id, packed)."""
+    asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    held = texts.join(asked, "id", "left_semi")
+    one = pairs.join(held.select(F.col("id").alias("a"), F.col("packed").alias("ta")), "a")
+    two = one.join(held.select(F.col("id").alias("b"), F.col("packed").alias("tb")), "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
             rows = list(zip(batch["a"], batch["b"], batch["ta"], batch["tb"], strict=True))
             for at in range(0, len(rows), 256):
                 some = rows[at : at + 256]
-                place: dict[object, int] = {}
+                packed: dict[object, bytes] = {}
                 for a, b, ta, tb in some:
-                    place.setdefault(a, len(place))
-                    place.setdefault(b, len(place))
-                texts_of: list[bytes] = [b""] * len(place)
-                for a, b, ta, tb in some:
-                    texts_of[place[a]], texts_of[place[b]] = as_bytes(ta), as_bytes(tb)
-                sets = [s for _, s in batch_sets_of(texts_of, size)]
+                    packed[a], packed[b] = ta, tb
+                place = {k: i for i, k in enumerate(packed)}
+                sets = [s for _, s in batch_sets_of([press.decompress(t) for t in packed.values()], size)]
                 for a, b, _, _ in some:
                     x, y = sets[place[a]], sets[place[b]]
                     out.append((a, b, len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
@@ -201,6 +214,8 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
         F.col("lead.pos").alias("pos2"),
     )
     crowded = stored(crowded)
+    texts = packed_texts(docs, reps.join(crowded.select("id").distinct(), "id", "left_semi").select(
+        "id", F.col("who.k.key").alias("key"), F.col("who.h").alias("h")))
 
     def near(n: Column, pos: Column, n2: Column, pos2: Column) -> Column:
         """Sizes and, at the first common shingle, what follows in both sets allow a link."""
@@ -216,7 +231,7 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
             met = met.join(before.select(F.col("a").alias("id"), F.col("b").alias("id2")), ["id", "id2"], "left_anti")
         best = met.groupBy("id").agg(F.max(F.struct("c", -F.col("n2"), "id2")).alias("best"))
         pairs = stored(best.select(F.col("id").alias("a"), F.col("best.id2").alias("b")))
-        return stored(compared(pairs, texts_of(docs, reps, pairs), size))
+        return stored(compared(pairs, texts, size))
 
     def placed(group: DataFrame, leaders: bool) -> DataFrame:
         """Entries with their groups; with ``leaders`` those that aren't in their leader's group."""
@@ -257,17 +272,10 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
     left = stored(left.join(answers.select("a", "b"), ["a", "b"], "left_anti"))
     if left.isEmpty():
         return first_links
-    more = linked(compared(left, texts_of(docs, reps, left), size), percent).select("a", "b")
+    more = linked(compared(left, texts, size), percent).select("a", "b")
     return first_links.union(more)
 
 
-def texts_of(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, text) of the classes in ``pairs``; one text per class."""
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    who = reps.join(asked, "id", "left_semi").select("id", F.col("who.k").alias("k"), F.col("who.h").alias("h"))
-    return stored(docs.select("k", "h", "text").join(who, ["k", "h"]).select("id", "text").dropDuplicates(["id"]))
-
-
 def jaccard_components(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE,
 ) -> DataFrame:
@@ -277,7 +285,7 @@ def jaccard_components(
     made = stored(classes(base, percent, size).withColumn("k", named).drop("key"))
     reps = stored(made.filter("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(F.struct("k", "h")).alias("who")).withColumn("id", F.monotonically_increasing_id()))
-    links = class_links(base.withColumn("k", named), made, reps, percent, size)
+    links = class_links(base, made, reps, percent, size)
     group = components(links)
     placed = reps.select("id", "d1", "d2", "n", F.col("who.k").alias("k")).join(group, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
@@ -292,9 +300,7 @@ def jaccard_components(
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT,
              size: int = SHINGLE) -> DataFrame:
-    """One document of each group, the one that ``component_id`` names; rows without words stay.
-
-    """
+    """One document of each group, the one that ``component_id`` names; rows without words stay."""
     found = jaccard_components(docs, id_column, text, percent, size)
     gone = found.filter(~F.col(id_column).eqNullSafe(F.col("component_id"))).select(
         F.col(id_column).alias("__gone")).distinct()
