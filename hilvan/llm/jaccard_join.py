@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -152,12 +153,18 @@ def classes(docs: DataFrame, percent: int, size: int) -> DataFrame:
 def packed_texts(docs: DataFrame, who: DataFrame) -> DataFrame:
     """(id, packed): the compressed text of each class in ``who`` (id, key, h)."""
 
-    @F.pandas_udf("binary")
-    def pack(column: pd.Series) -> pd.Series:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor()
-        return column.map(lambda t: press.compress(as_bytes(t)), na_action=None).astype(object)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = (t.as_buffer() if t.is_valid else b"" for t in part.column("text"))
+                packed = pa.array([press.compress(t) for t in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key"), part.column("h"), packed], names=["key", "h", "packed"])
 
-    packed = docs.select("key", "h", pack("text").alias("packed"))
+    kind = docs.schema["key"].dataType.simpleString()
+    packed = docs.select("key", "h", "text").mapInArrow(pack, f"key {kind}, h long, packed binary")
     return stored(packed.join(who, ["key", "h"]).dropDuplicates(["key", "h"]).select("id", "packed"))
 
 
