@@ -1,75 +1,56 @@
-"""Trace elements against a line-by-line walk over random traces."""
+"""Trace elements of known traces, and properties that hold for any trace."""
 
 import random
-import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from hilvan.plans import trace as T
 
 
-def walk(lines):
-    """One pass over the lines of a trace, with an explicit state."""
-    out, st = [], dict(fibre="", cable="", seen=False, early=[], site=None, last=None, written=None, force=False)
-
-    def emit(row, always=False):
-        if not always and out and out[-1] == row:
-            return False
-        out.append(row)
-        return True
-
-    def close():
-        site, st["site"] = st["site"], None
-        if site and site["text"]:
-            emit((f"{site['name']} | {site['text']}", st["cable"], site["strand"]))
-
-    for raw in lines:
-        line = raw.strip()
-        if not line:
-            continue
-        port = "Port (" in line
-        if port and not st["seen"]:
-            st["early"].append(raw)
-        if "Fibre (" in line:
-            m = re.search(r"^[^:]*:\s*(\d+)[^)]*\)", line)
-            st["fibre"] = m.group(1) if m else st["fibre"]
-            m = re.search(r"Ductado (\d+)h.*?'([^']+)'", line)
-            st["cable"] = f"({m.group(1)}h) | {m.group(2)}" if m else st["cable"]
-            st["seen"] = True
-        if "Edificio" in line:
-            close()
-            m = re.search(r"Edificio[^']*'([^']*)'", line)
-            if m:
-                node = "NODO" in line
-                name = m.group(1) if node else "(ED) " + m.group(1)
-                st["site"] = dict(name=name, strand="H" + st["fibre"], text="\n".join(st["early"]), node="NODO" in name)
-                st["early"], st["force"] = [], True
-        if "Empalme de Fibra" in line:
-            close()
-            m = re.search(r"\((Tipo (\d+)|Empalme Cliente), '([^']*)'\)", line)
-            if m:
-                kind = "CL" if m.group(2) is None else m.group(2)
-                row = (f"(EM {kind}) | {m.group(3)}", st["cable"], "H" + st["fibre"])
-                want = kind == "CL" or st["force"] or st["fibre"] != (st["written"] or "")
-                done = want and emit(row)
-                if done:
-                    st["written"] = st["fibre"]
-                st["last"], st["force"] = (row, done), False
-        if st["site"] and port and st["seen"]:
-            if st["site"]["node"]:
-                piece, sep = raw, "\n"
-            else:
-                found = [re.search(rf"{w} \(([^)]*)\)", line) for w in ("Bay", "Shelf", "Card", "Port")]
-                piece, sep = ", ".join(m.group(1).strip() for m in found if m and m.group(1).strip()), ", "
-            if piece:
-                st["site"]["text"] += (sep if st["site"]["text"] else "") + piece
-    if st["last"] and not st["last"][1]:
-        emit(st["last"][0], always=True)
-    close()
-    if st["early"]:
-        emit(("NODO INICIAL | " + "\n".join(st["early"]), "", ""))
-    return out
+FIBRE = "Fibre (1: 1) Cable de FO (Ductado 12h, 'C')"
+SECOND = "Fibre (1: 2) Cable de FO (Ductado 24h, 'D')"
+ON, ON_SECOND = ("(12h) | C", "H1"), ("(24h) | D", "H2")
+
+
+def splice(name):
+    return f"at Empalme de Fibra (Tipo 1, '{name}')"
+
+
+#: Lines of a trace, and the elements they stand for.
+CASES = {
+    "nothing": (["", "  "], []),
+    "building": ([FIBRE, "Edificio 'X'", "Port (1)", "Port (2) Card (c) Bay (B)"], [("(ED) X | 1, B, c, 2", *ON)]),
+    "building without ports": ([FIBRE, "Edificio 'X'"], []),
+    "node keeps its lines": ([FIBRE, "Edificio 'NODO A'", "Port (1)", "Port (2)"], [("NODO A | Port (1)\nPort (2)", *ON)]),
+    "ports before any fibre": (["Port (7)"], [("NODO INICIAL | Port (7)", "", "")]),
+    "early ports go to the next building": (
+        ["Port (7)", FIBRE, "Edificio 'NODO A'", "Port (1)"], [("NODO A | Port (7)\nPort (1)", *ON)]),
+    "first and last splice of a strand": (
+        [FIBRE, splice("E1"), splice("E2"), splice("E3")], [("(EM 1) | E1", *ON), ("(EM 1) | E3", *ON)]),
+    "a splice per strand": (
+        [FIBRE, splice("E1"), SECOND, splice("E2")], [("(EM 1) | E1", *ON), ("(EM 1) | E2", *ON_SECOND)]),
+    "client splices all count": (
+        [FIBRE, splice("E1"), "at Empalme de Fibra (Empalme Cliente, 'O1')", "at Empalme de Fibra (Empalme Cliente, 'O2')"],
+        [("(EM 1) | E1", *ON), ("(EM CL) | O1", *ON), ("(EM CL) | O2", *ON)]),
+    "splice after a building": (
+        [FIBRE, splice("E1"), "Edificio 'X'", "Port (3)", splice("E2")],
+        [("(EM 1) | E1", *ON), ("(ED) X | 3", *ON), ("(EM 1) | E2", *ON)]),
+}
+
+
+def elements(spark, traces, size):
+    rows = [(f, n, line) for f, lines in traces.items() for n, line in enumerate(lines, 1)]
+    df = spark.createDataFrame(rows, "file_path string, line_no bigint, line string")
+    out = T.trace_elements(df, chunk=[F.floor(F.col("line_no") / size)])
+    got = {f: [] for f in traces}
+    for row in sorted(out.collect(), key=lambda x: (x.line_no is None, x.line_no or 0, x.step, x.part)):
+        got[row.file_path].append((row.elemento, row.cable, row.hilo))
+    return got
+
+
+def test_elements_of_known_traces(spark):
+    got = elements(spark, {name: lines for name, (lines, _) in CASES.items()}, 2)
+    assert got == {name: rows for name, (_, rows) in CASES.items()}
 
 
 def random_trace(r):
@@ -91,17 +72,23 @@ def random_trace(r):
     return [r.choice(kinds)() for _ in range(r.randrange(1, 40))]
 
 
-@pytest.mark.parametrize("size", [3, 1000])
-def test_elements_match_a_walk(spark, size):
+def test_chunk_size_does_not_matter(spark):
     r = random.Random(11)
     traces = {f"t{i}": random_trace(r) for i in range(120)}
-    rows = [(f, n, line) for f, lines in traces.items() for n, line in enumerate(lines, 1)]
-    df = spark.createDataFrame(rows, "file_path string, line_no bigint, line string")
-    out = T.trace_elements(df, chunk=[F.floor(F.col("line_no") / size)])
-    got = {f: [] for f in traces}
-    for row in sorted(out.collect(), key=lambda x: (x.line_no is None, x.line_no or 0, x.step, x.part)):
-        got[row.file_path].append((row.elemento, row.cable, row.hilo))
-    assert got == {f: walk(lines) for f, lines in traces.items()}
+    assert elements(spark, traces, 3) == elements(spark, traces, 1000)
+
+
+def test_each_named_building_with_ports_appears_once(spark):
+    r = random.Random(5)
+    traces = {}
+    for t in range(20):
+        lines = [FIBRE]
+        for b in range(r.randrange(1, 8)):
+            lines += [f"Edificio 'B{b}'", *[f"Port ({p})" for p in range(r.randrange(1, 4))], *[splice(f"E{b}")] * r.randrange(2)]
+        traces[f"t{t}"] = lines
+    for name, rows in elements(spark, traces, 4).items():
+        named = [e.split(" | ")[0] for e, _, _ in rows if e.startswith("(ED)")]
+        assert named == [f"(ED) {x[10:-1]}" for x in traces[name] if x.startswith("Edificio")]
 
 
 def test_long_port_list_continues(spark):
