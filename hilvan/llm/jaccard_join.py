@@ -9,13 +9,16 @@ A text's set holds the 64-bit hashes of its distinct word shingles. Two sets lin
    first ``n - ceil(t n) + 1`` of the larger one and ``n - ceil(2 t / (1 + t) n) + 1`` of the
    smaller one, so only these enter the index lists. The order changes the work only.
 3. First answers: each list is led by its smallest set. An entry is compared with the leader
-   that it meets in most lists, unless sizes and positions already rule a link out; entries
-   that aren't in the group of a leader by then are compared with one leader more.
+   that it meets in most lists, unless sizes, positions or bit marks already rule a link out
+   (sets differ in at least as many elements as their marks of parities in bits). Lists whose
+   entries are in several groups by then are led by other entries, a few a round, for as long
+   as rounds find links: each entry asks about one of them, so a round's work grows with the
+   entries, and a family of near copies becomes one group before its pairs are looked at.
 4. Derived answers: a list whose entries are all in one group by now needs nothing more. For
    the other lists, entries of different groups are compared: a list is cut into blocks by
    set size, and blocks too far from a size are skipped, as are pairs whose positions leave
-   too little room, or for which the known overlaps with the common leader decide (an
-   overlap is at most ``o(y, leader) + |x| - o(x, leader)``). The rest is compared exactly.
+   too little room, or for which marks or the known overlaps with the common leader decide
+   (an overlap is at most ``o(y, leader) + |x| - o(x, leader)``). The rest is compared exactly.
 5. Groups are the connected classes.
 
 No group of copies is ever expanded into its pairs: within a group, entries meet only its
@@ -49,6 +52,14 @@ PERCENT = 80
 SLOTS = 1 << 18
 PART = 1 << 13
 
+#: Bits of a set's mark; leaders that a list gets in each further round.
+MARK_BITS = 512
+SEEDS = 4
+#: Rounds of leaders go on while one answer in this many is a link, and at most ROUNDS times;
+#: what they leave open is compared pair by pair.
+LINK_SHARE = 50
+ROUNDS = 12
+
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
@@ -118,6 +129,12 @@ def ordered(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return s[np.argsort(rank, kind="stable")]
 
 
+def mark_of(s: np.ndarray) -> np.ndarray:
+    """Parities of the counts of elements by their top bits, as whole words."""
+    places = (s >> np.uint64(64 - MARK_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=MARK_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def ceil_of(x: Column, by: int) -> Column:
     """ceil(x / by) of whole numbers."""
     up = x.cast("long") + (by - 1)
@@ -130,7 +147,7 @@ def overlap_needed(a: Column, b: Column, percent: int) -> Column:
 
 
 def classes(docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """(doc, n, d1, d2, prefix): a row per document; prefix in the global order."""
+    """(doc, n, d1, d2, prefix, mark): a row per document; prefix in the global order."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_slots(docs, size))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,12 +159,12 @@ def classes(docs: DataFrame, percent: int, size: int) -> DataFrame:
                 d2 = int(np.bitwise_xor.reduce(mix(s ^ M2))) if n else 0
                 keep = n - -(-n * percent // 100) + 1 if n else 0
                 prefix = ordered(s, shared.value)[:keep].view(np.int64)
-                out.append((key[0], key[1], n, d1 - (1 << 64) * (d1 >> 63), d2 - (1 << 64) * (d2 >> 63), prefix))
-            table = pd.DataFrame(out, columns=["key", "h", "n", "d1", "d2", "prefix"])
+                out.append((key[0], key[1], n, d1 - (1 << 64) * (d1 >> 63), d2 - (1 << 64) * (d2 >> 63), prefix, mark_of(s)))
+            table = pd.DataFrame(out, columns=["key", "h", "n", "d1", "d2", "prefix", "mark"])
             yield table
 
     kind = docs.schema["key"].dataType.simpleString()
-    return docs.mapInPandas(run, f"key {kind}, h long, n long, d1 long, d2 long, prefix array<long>")
+    return docs.mapInPandas(run, f"key {kind}, h long, n long, d1 long, d2 long, prefix array<long>, mark array<long>")
 
 
 def packed_texts(docs: DataFrame, who: DataFrame) -> DataFrame:
@@ -206,9 +223,9 @@ def linked(table: DataFrame, percent: int) -> DataFrame:
 
 def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int, size: int) -> DataFrame:
     """Links (a, b) between class ids that connect every group of classes."""
-    lists = made.join(reps, ["d1", "d2", "n"]).filter(
-        (F.col("k") == F.col("who.k")) & (F.col("h") == F.col("who.h"))
-    ).select("id", F.col("n").cast("int").alias("n"), "prefix").dropDuplicates(["id"])
+    named = made.join(reps, ["d1", "d2", "n"]).filter(
+        (F.col("k") == F.col("who.k")) & (F.col("h") == F.col("who.h")))
+    lists = named.select("id", F.col("n").cast("int").alias("n"), "prefix").dropDuplicates(["id"])
     entries = lists.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     n, pos, n2, pos2 = (F.col(c) for c in ("n", "pos", "n2", "pos2"))
     # A smaller set needs to be indexed by fewer shingles than it is probed with.
@@ -230,38 +247,67 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
         short2 = pos2 <= n2 - ceil_of(n2 * (2 * percent), 100 + percent)
         return short2 & (n2 <= n) & (100 * n2 >= percent * n) & (room >= overlap_needed(n, n2, percent))
 
-    def ask(rows: DataFrame, before: DataFrame | None) -> DataFrame:
-        """Answers for each entry and the leader that it meets in most lists."""
-        met = rows.filter((F.col("id") != F.col("id2")) & near(n, pos, n2, pos2)).groupBy("id", "id2").agg(
-            F.count(F.lit(1)).alias("c"), F.min("n2").alias("n2"))
+    marks = stored(named.select("id", "n", "mark").dropDuplicates(["id"]).join(
+        crowded.select("id").distinct(), "id", "left_semi"))
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose marks allow a link."""
+        both = pairs.join(marks.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("mark").alias("ma")), "a")
+        both = both.join(marks.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("mark").alias("mb")), "b")
+        differ = sum(
+            (F.bit_count(F.col("ma")[i].bitwiseXOR(F.col("mb")[i])) for i in range(MARK_BITS // 64)), F.lit(0))
+        room = F.col("na") + F.col("nb") - 2 * overlap_needed(F.col("na"), F.col("nb"), percent)
+        return both.filter(differ <= room).select(*pairs.columns)
+
+    def ask(met: DataFrame, by: list[str], before: DataFrame | None) -> DataFrame:
+        """Answers for each entry and the leader that it meets in most lists; ``met`` (a, b, c, ...)."""
         if before is not None:
-            met = met.join(before.select(F.col("a").alias("id"), F.col("b").alias("id2")), ["id", "id2"], "left_anti")
-        best = met.groupBy("id").agg(F.max(F.struct("c", -F.col("n2"), "id2")).alias("best"))
-        pairs = stored(best.select(F.col("id").alias("a"), F.col("best.id2").alias("b")))
+            met = met.join(before.select("a", "b"), ["a", "b"], "left_anti")
+        best = possible(met).groupBy(*by).agg(F.max(F.struct("c", "b", "a")).alias("best"))
+        pairs = stored(best.select(F.col("best.a").alias("a"), F.col("best.b").alias("b")).distinct())
         return stored(compared(pairs, texts, size))
 
-    def placed(group: DataFrame, leaders: bool) -> DataFrame:
-        """Entries with their groups; with ``leaders`` those that aren't in their leader's group."""
+    def mixed_rows(group: DataFrame) -> DataFrame:
+        """Entries with their groups, of lists whose entries are in several groups."""
         rows = crowded.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        if not leaders:
-            return rows
-        of_leader = group.select(F.col("id").alias("id2"), F.col("component").alias("component2"))
-        return rows.join(of_leader, "id2", "left").filter(
-            F.col("component") != F.coalesce("component2", "id2"))
-
-    answers = ask(crowded, None)
+        mixed = rows.groupBy("token").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+        return rows.join(mixed.select("token"), "token", "left_semi")
+
+    def other_leaders(rows: DataFrame, turn: int) -> DataFrame:
+        """(a, b, c, who, seed): entries and leaders, by a hash of the round, of other groups."""
+        entry = F.struct("id", "n", "pos", "component")
+        leads = rows.filter(short).groupBy("token").agg(F.array(*[
+            F.min_by(entry, F.xxhash64(F.lit(turn * SEEDS + i), "id")) for i in range(SEEDS)]).alias("leads"))
+        met = rows.drop("id2", "n2", "pos2").join(
+            leads.select("token", F.posexplode("leads").alias("seed", "lead")), "token")
+        met = met.select("id", "n", "pos", "component", "seed", F.col("lead.id").alias("id2"), F.col("lead.n").alias(
+            "n2"), F.col("lead.pos").alias("pos2"), F.col("lead.component").alias("component2"))
+        larger = (n > n2) | ((n == n2) & (F.col("id") > F.col("id2")))
+        return met.filter(
+            (F.col("component") != F.col("component2"))
+            & F.when(larger, near(n, pos, n2, pos2)).otherwise(near(n2, pos2, n, pos))
+        ).groupBy(
+            F.when(larger, F.col("id")).otherwise(F.col("id2")).alias("a"),
+            F.when(larger, F.col("id2")).otherwise(F.col("id")).alias("b"), F.col("id").alias("who"), "seed",
+        ).agg(F.count(F.lit(1)).alias("c"))
+
+    first = crowded.filter((F.col("id") != F.col("id2")) & near(n, pos, n2, pos2)).groupBy(
+        F.col("id").alias("a"), F.col("id2").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    answers = led = ask(first, ["a"], None)
     group = components(linked(answers, percent).select("a", "b"))
-    answers = stored(answers.union(ask(placed(group, leaders=True), answers)))
+    for turn in range(ROUNDS):
+        found = ask(other_leaders(mixed_rows(group), turn), ["who", "seed"], answers)
+        answers = stored(answers.union(found))
+        asked, links = found.count(), linked(found, percent).count()
+        if links:
+            group = components(linked(answers, percent).select("a", "b"))
+        if LINK_SHARE * links <= asked:
+            break
     first_links = linked(answers, percent).select("a", "b")
-    group = components(first_links)
-    # Lists whose entries are in one group by now need nothing more.
-    rows = placed(group, leaders=False)
-    mixed = rows.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("c"),
-    ).filter("low != high").select("token")
-    known = answers.select(F.col("a").alias("id"), F.col("b").alias("id2"), "o")
-    open_lists = stored(rows.select("token", "id", "n", "pos", "id2", "component").join(
-        mixed, "token", "left_semi").join(known, ["id", "id2"], "left").withColumn(
+    rows = mixed_rows(group)
+    known = led.select(F.col("a").alias("id"), F.col("b").alias("id2"), "o")
+    open_lists = stored(rows.select("token", "id", "n", "pos", "id2", "component").join(known, ["id", "id2"], "left").withColumn(
         "o", F.when(F.col("id") == F.col("id2"), F.col("n").cast("long")).otherwise(F.col("o"))))
     # Blocks by size: linked sets lie in the same block or in neighbours.
     block = F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
@@ -276,7 +322,7 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
         & near(n, pos, F.col("n_y"), F.col("pos_y"))
         & (most.isNull() | (most >= need))
     ).select(F.col("id").alias("a"), F.col("id_y").alias("b")).distinct()
-    left = stored(left.join(answers.select("a", "b"), ["a", "b"], "left_anti"))
+    left = stored(possible(left.join(answers.select("a", "b"), ["a", "b"], "left_anti")))
     if left.isEmpty():
         return first_links
     more = linked(compared(left, texts, size), percent).select("a", "b")
