@@ -52,13 +52,12 @@ PERCENT = 80
 SLOTS = 1 << 18
 PART = 1 << 13
 
-#: Bits of a set's mark; leaders that a list gets in each further round.
+#: Bits of a set's mark.
 MARK_BITS = 512
-SEEDS = 4
-#: Rounds of leaders go on while one answer in this many is a link, and at most ROUNDS times;
-#: what they leave open is compared pair by pair.
+#: Further leaders of a list in each round. Rounds end early once fewer than one answer in
+#: LINK_SHARE is a link; what they leave open is compared pair by pair.
+LEADERS = (4, 16, 64)
 LINK_SHARE = 50
-ROUNDS = 12
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -275,12 +274,16 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
         return rows.join(mixed.select("token"), "token", "left_semi")
 
     def other_leaders(rows: DataFrame, turn: int) -> DataFrame:
-        """(a, b, c, who, seed): entries and leaders, by a hash of the round, of other groups."""
-        entry = F.struct("id", "n", "pos", "component")
-        leads = rows.filter(short).groupBy("token").agg(F.array(*[
-            F.min_by(entry, F.xxhash64(F.lit(turn * SEEDS + i), "id")) for i in range(SEEDS)]).alias("leads"))
-        met = rows.drop("id2", "n2", "pos2").join(
-            leads.select("token", F.posexplode("leads").alias("seed", "lead")), "token")
+        """(a, b, who, seed, c): entries and leaders, by a hash of the round, of other groups.
+
+        Entries that are in the group of their list's first leader, mostly the largest, don't ask.
+        """
+        seed = F.pmod(F.xxhash64(F.lit(turn), "id"), F.lit(LEADERS[turn])).alias("seed")
+        by_hash = F.struct(F.xxhash64("id", F.lit(turn)).alias("o"), "id", "n", "pos", "component")
+        leads = rows.filter(short).groupBy("token", seed).agg(F.min(by_hash).alias("lead"))
+        main = leads.groupBy("token").agg(F.min(F.struct("lead.o", "lead.component")).alias("main"))
+        met = rows.drop("id2", "n2", "pos2").join(main, "token").filter(
+            F.col("component") != F.col("main.component")).join(leads, "token")
         met = met.select("id", "n", "pos", "component", "seed", F.col("lead.id").alias("id2"), F.col("lead.n").alias(
             "n2"), F.col("lead.pos").alias("pos2"), F.col("lead.component").alias("component2"))
         larger = (n > n2) | ((n == n2) & (F.col("id") > F.col("id2")))
@@ -296,7 +299,7 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
         F.col("id").alias("a"), F.col("id2").alias("b")).agg(F.count(F.lit(1)).alias("c"))
     answers = led = ask(first, ["a"], None)
     group = components(linked(answers, percent).select("a", "b"))
-    for turn in range(ROUNDS):
+    for turn in range(len(LEADERS)):
         found = ask(other_leaders(mixed_rows(group), turn), ["who", "seed"], answers)
         answers = stored(answers.union(found))
         asked, links = found.count(), linked(found, percent).count()
@@ -307,7 +310,8 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
     first_links = linked(answers, percent).select("a", "b")
     rows = mixed_rows(group)
     known = led.select(F.col("a").alias("id"), F.col("b").alias("id2"), "o")
-    open_lists = stored(rows.select("token", "id", "n", "pos", "id2", "component").join(known, ["id", "id2"], "left").withColumn(
+    open_lists = stored(rows.select("token", "id", "n", "pos", "id2", "component").join(
+        known, ["id", "id2"], "left").withColumn(
         "o", F.when(F.col("id") == F.col("id2"), F.col("n").cast("long")).otherwise(F.col("o"))))
     # Blocks by size: linked sets lie in the same block or in neighbours.
     block = F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")

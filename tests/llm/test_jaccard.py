@@ -2,6 +2,8 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
+
 from hilvan.llm import jaccard_join as J
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,3 +83,13 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r.id: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_marks_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 40, 700, 5000):
+        x = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[size // 4 :], rng.integers(0, 1 << 64, size // 3, dtype=np.uint64)]))
+        bits = sum(int(v).bit_count() for v in (J.mark_of(x) ^ J.mark_of(y)).view(np.uint64))
+        assert bits <= len(np.setxor1d(x, y))
+        assert not (J.mark_of(x) ^ J.mark_of(x)).any()
