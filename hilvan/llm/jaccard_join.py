@@ -56,7 +56,7 @@ PART = 1 << 13
 MARK_BITS = 512
 #: Further leaders of a list in each round. Rounds end early once fewer than one answer in
 #: LINK_SHARE is a link; what they leave open is compared pair by pair.
-LEADERS = (4, 16, 64)
+LEADERS = (8, 64)
 LINK_SHARE = 50
 
 
@@ -266,12 +266,16 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
         pairs = stored(best.select(F.col("best.a").alias("a"), F.col("best.b").alias("b")).distinct())
         return stored(compared(pairs, texts, size))
 
-    def mixed_rows(group: DataFrame) -> DataFrame:
-        """Entries with their groups, of lists whose entries are in several groups."""
-        rows = crowded.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = rows.groupBy("token").agg(
+    def mixed_rows(rows: DataFrame, group: DataFrame) -> DataFrame:
+        """Entries with their groups, of lists whose entries are in several groups.
+
+        Groups only grow, so a list that is left out once needn't be looked at again.
+        """
+        placed = rows.drop("component").join(group, "id", "left").withColumn(
+            "component", F.coalesce("component", "id"))
+        mixed = placed.groupBy("token").agg(
             F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-        return rows.join(mixed.select("token"), "token", "left_semi")
+        return stored(placed.join(mixed.select("token"), "token", "left_semi"))
 
     def other_leaders(rows: DataFrame, turn: int) -> DataFrame:
         """(a, b, who, seed, c): entries and leaders, by a hash of the round, of other groups.
@@ -299,16 +303,18 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
         F.col("id").alias("a"), F.col("id2").alias("b")).agg(F.count(F.lit(1)).alias("c"))
     answers = led = ask(first, ["a"], None)
     group = components(linked(answers, percent).select("a", "b"))
+    rows = mixed_rows(crowded, group)
     for turn in range(len(LEADERS)):
-        found = ask(other_leaders(mixed_rows(group), turn), ["who", "seed"], answers)
+        found = ask(other_leaders(rows, turn), ["who", "seed"], answers)
         answers = stored(answers.union(found))
         asked, links = found.count(), linked(found, percent).count()
         if links:
-            group = components(linked(answers, percent).select("a", "b"))
+            stars = group.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            group = components(stars.union(linked(found, percent).select("a", "b")))
+            rows = mixed_rows(rows, group)
         if LINK_SHARE * links <= asked:
             break
-    first_links = linked(answers, percent).select("a", "b")
-    rows = mixed_rows(group)
+    first_links = group.select(F.col("id").alias("a"), F.col("component").alias("b"))
     known = led.select(F.col("a").alias("id"), F.col("b").alias("id2"), "o")
     open_lists = stored(rows.select("token", "id", "n", "pos", "id2", "component").join(
         known, ["id", "id2"], "left").withColumn(
