@@ -6,6 +6,10 @@ worklist, is scanned again, and is unwrapped in turn until nothing new appears.
 was seen before at the same place isn't followed again, so cycles end. Spans found in a layer
 are mapped back to the code points of the text that it came from.
 
+Every decoded layer is scanned, whatever its bytes: all three kinds and all escapes are ASCII, so
+bytes are read as Latin-1, where ASCII stands as in UTF-8 and the one-byte code pages, and runs of
+ASCII in UTF-16 or UTF-32 (either byte order, at any place) are unwrapped as layers of their own.
+
 Defined cases: null and empty texts have no spans. A match that fails its kind's length is
 dropped and not tried at a later start, as for any leftmost scan without overlap. Spans that
 occur both in the text and in a layer are listed once. Compressed layers are unwrapped whole;
@@ -39,6 +43,17 @@ ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f
 ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
+#: Fewest characters that a secret of any kind has.
+LEAST = 12
+#: Runs of wide ASCII: pattern, place of the character in its unit, and size of the unit.
+WIDE = tuple(
+    (re.compile(f"(?:{unit}){{{LEAST},}}"), first, step)
+    for unit, first, step in (
+        (r"[\x01-\x7f]\0", 0, 2), (r"\0[\x01-\x7f]", 1, 2),
+        (r"[\x01-\x7f]\0\0\0", 0, 4), (r"\0\0\0[\x01-\x7f]", 3, 4),
+    )
+)
+
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
 
 
@@ -128,13 +143,15 @@ def inflated(raw: bytes) -> bytes | None:
     return None
 
 
-def readable(raw: bytes) -> str | None:
-    """The text in ``raw`` if it is UTF-8 without control characters."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def wide_layers(layer: Layer) -> Iterator[Layer]:
+    """ASCII runs that are written with one or three NULs to each character (UTF-16, UTF-32)."""
+    if "\0" not in layer.text:
+        return
+    for pattern, first, step in WIDE:
+        for m in pattern.finditer(layer.text):
+            at = range(m.start() + first, m.end(), step)
+            places = [layer.place(i - first, i - first + step) for i in at]
+            yield Layer("".join(layer.text[i] for i in at), [p[0] for p in places], [p[1] for p in places])
 
 
 def base64_layers(layer: Layer) -> Iterator[Layer]:
@@ -147,16 +164,16 @@ def base64_layers(layer: Layer) -> Iterator[Layer]:
         except binascii.Error:
             continue
         packed = inflated(raw)
-        text = readable(packed) if packed is not None else readable(raw)
-        while text is None and packed is not None and (again := inflated(packed)) is not None:
-            packed, text = again, readable(again)
-        if text:
-            low, high = layer.place(m.start(), m.end())
+        low, high = layer.place(m.start(), m.end())
+        while True:
+            text = (raw if packed is None else packed).decode("latin-1")
             yield Layer(text, [low] * len(text), [high] * len(text))
+            if packed is None or (packed := inflated(packed)) is None:
+                break
 
 
 def may_unwrap(text: str) -> bool:
-    return bool(("%" in text and URL.search(text)) or ("\\" in text and ESCAPE.search(text)) or BASE64.search(text))
+    return "\0" in text or bool(("%" in text and URL.search(text)) or ("\\" in text and ESCAPE.search(text)) or BASE64.search(text))
 
 
 def layer_spans(text: str) -> set[Span]:
@@ -170,7 +187,7 @@ def layer_spans(text: str) -> set[Span]:
     while work:
         layer = work.pop()
         pieces = [p for p in (url_pieces(layer), escape_pieces(layer)) if p]
-        for inner in [*(rewritten(layer, p) for p in pieces), *base64_layers(layer)]:
+        for inner in [*(rewritten(layer, p) for p in pieces), *wide_layers(layer), *base64_layers(layer)]:
             key = hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass"), digest_size=16)
             key.update(f":{inner.starts[0] if inner.starts else 0}:{len(inner.text)}".encode())
             if not inner.text or key.digest() in seen:

@@ -91,3 +91,23 @@ def test_empty_table_and_null_ids(docs):
     assert S.secret_spans(docs([])).collect() == []
     rows = S.secret_spans(docs([(None, "password=abcdefg"), (1 << 60 | 1, "x")])).collect()
     assert {r.doc_id for r in rows} == {None, 1 << 60 | 1}
+
+
+@pytest.mark.parametrize("char", ["\u00a0", "\u3000", "\ufeff", "\u200b", "\u00ad", "\u2028", "\f", "\0"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_no_character_hides_a_layer(char, pack):
+    text = f"go {b64(pack(f'user{char}x {SECRET}'.encode()))} end"
+    assert {k for _, k, _ in S.scan(text)[1]} == {0} and "[SECRET]" in S.masked(text, S.scan(text)[1], "[SECRET]")
+
+
+@pytest.mark.parametrize("coding", ["utf-16", "utf-16-le", "utf-16-be", "utf-32", "utf-32-le", "utf-32-be", "latin-1", "cp1252"])
+def test_no_coding_hides_a_layer(coding):
+    for inner in (SECRET, quote(SECRET, safe=""), b64(SECRET.encode())):
+        raw = f"é user {inner}".encode(coding)
+        for packed in (raw, gzip.compress(raw), b"\xff" + raw):
+            assert S.scan(f"go {b64(packed)} end")[1], (coding, inner)
+
+
+def test_wide_text_in_url_escapes_is_exact():
+    text = f"go {quote(SECRET.encode('utf-16-le'), safe='')} now"
+    assert S.written(S.scan(text)[1]) == f"assign:3:{len(text) - 4}"
