@@ -1,7 +1,11 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import io
+import lzma
 import re
+import zipfile
 import zlib
 from urllib.parse import quote
 
@@ -111,3 +115,54 @@ def test_no_coding_hides_a_layer(coding):
 def test_wide_text_in_url_escapes_is_exact():
     text = f"go {quote(SECRET.encode('utf-16-le'), safe='')} now"
     assert S.written(S.scan(text)[1]) == f"assign:3:{len(text) - 4}"
+
+
+def bare(raw):
+    packer = zlib.compressobj(wbits=-15)
+    return packer.compress(raw) + packer.flush()
+
+
+def zipped(raw):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.txt", b"no more than words")
+        z.writestr("b.txt", raw)
+    return out.getvalue()
+
+
+PACKS = {
+    "plain": bytes, "gzip": gzip.compress, "zlib": zlib.compress, "bare": bare, "bz2": bz2.compress, "xz": lzma.compress, "zip": zipped,
+    "lzma": lambda raw: lzma.compress(raw, format=lzma.FORMAT_ALONE),
+    "members": lambda raw: gzip.compress(b"words " * 9) + gzip.compress(raw[:9]) + b"\0\0" + gzip.compress(raw[9:]),
+    "bz2 members": lambda raw: bz2.compress(raw[:9]) + bz2.compress(raw[9:]), "xz members": lambda raw: lzma.compress(raw[:9]) + lzma.compress(raw[9:]),
+    "behind other bytes": lambda raw: b"\x01\x02\x03\x04\x05" + gzip.compress(raw), "nested": lambda raw: bz2.compress(bare(lzma.compress(raw))),
+}
+NOISE = "".join(hashlib.sha256(str(i).encode()).hexdigest()[:23] + "." for i in range(20))  # doesn't compress away
+
+
+@pytest.mark.parametrize("pack", PACKS)
+def test_every_form_is_unwrapped(pack):
+    for tail in ("", "é", "éé"):  # each length of padding
+        run = b64(PACKS[pack](f"{NOISE} user {SECRET} {tail}".encode()))
+        for text in (run, run.rstrip("="), run.replace("+", "-").replace("/", "_")):
+            for glue in ("", "https://h.org/v/", "a_", "x-y/", "key-", "abc_de/fgh-"):
+                assert S.scan(f"go {glue}{text} end")[1], (pack, glue)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n> ", "\\n"])
+@pytest.mark.parametrize("width", [64, 76, 7])
+@pytest.mark.parametrize("pack", PACKS)
+def test_wrapped_runs_are_joined(pack, width, end):
+    for at in range(0, 60, 21):
+        run = b64(PACKS[pack](f"{NOISE[:at]} {SECRET} {NOISE}".encode()))
+        text = end.join(run[i : i + width] for i in range(0, len(run), width))
+        for before, behind in (("", ""), ("see", "then words"), ("-----BEGIN X-----", "-----END X-----")):
+            whole = f"some words {before}{end}{text}{end}{behind}"
+            found = [(s, e) for s, _, e in S.scan(whole)[1]]
+            assert found, (at, before)
+            assert width < 64 or any(whole[s:e].strip("n") in text for s, e in found)
+
+
+def test_chance_bytes_show_nothing():
+    raw = b"".join(hashlib.sha256(bytes([i % 256, i // 256])).digest() for i in range(4000))
+    assert S.scan(b64(raw))[1] == [] == S.scan("\n".join(b64(raw[i : i + 57]) for i in range(0, len(raw), 57)))[1]
