@@ -114,3 +114,26 @@ def test_equal_rows_are_one_document(docs):
     assert sorted((str(r.doc_id), r.n_removed) for r in rows) == [("1", 0), ("1", 0), ("2", 0), ("None", 0)]
     copies = {r.doc_id: r.n_removed for r in C.dedup_chunks(docs([(1, text), (2, text)])).collect()}
     assert copies == {1: 0, 2: len(text)}
+
+
+def test_short_copies_and_whole_passages_go(docs, monkeypatch):
+    monkeypatch.setattr(C.grown, "__defaults__", (2,))  # several rounds
+    rng = random.Random(11)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+    texts, passages = ["a short text", "a short text", "tiny", "tiny", "tiny"], []
+    for _ in range(60):
+        passages.append(words(51))
+        texts += [f"{words(30)} {passages[-1]} {words(30)}", f"{words(40)} {passages[-1]} {words(20)}"]
+    got = {r.doc_id: r for r in C.dedup_chunks(docs(texts)).collect()}
+    assert [got[i].n_removed for i in range(5)] == [0, 12, 0, 4, 4] and all(got[i].repeats for i in range(5))
+    whole = 0
+    for at, passage in enumerate(passages):
+        first, second = got[5 + 2 * at], got[6 + 2 * at]
+        assert first.n_removed == 0 and first.repeats == second.repeats == (second.n_removed > 0)
+        # the blanks around go too, and bytes that agree by chance
+        assert second.n_removed == 0 or len(passage) + 2 <= second.n_removed == first.n_repeated <= len(passage) + 12
+        whole += second.n_removed > 0
+    assert whole >= 58
