@@ -4,13 +4,14 @@ The standard library's parser streams a page into lines, one for each block of t
 number of its characters, of its characters inside links, and of the tags around it. The
 text-to-tag ratios are smoothed by a Gaussian over neighbouring lines, and a threshold parts
 them into two clusters. A region is a run of lines in one container; a region that reaches
-the content cluster is kept whole, so that short lines inside an article stay. Menus, headers,
+the content cluster is kept whole, so that short lines inside an article stay; so is a region
+between kept ones of its container, unless most of it is links. Menus, headers,
 footers, sidebars, notices, adverts, forms, comments and whatever isn't shown have ratio
 nought and are never kept. Where a page has an article or main element, only its regions
 compete.
 
 Defined cases: a null, empty or text-free page gives empty text. Unclosed and crossed tags
-are allowed. White space (also the no-break space) inside a block becomes one space, and a
+are allowed; end tags that HTML lets out are implied by the next start tag or the container's end. White space (also the no-break space) inside a block becomes one space, and a
 line break element counts as white space. Repeated pages are extracted one by one. Each page
 is parsed by itself, whatever its size.
 """
@@ -42,6 +43,28 @@ FOLLOWED = frozenset(
     "main menu nav noscript object ol search section select span svg table template textarea title ul video audio "
     "canvas math".split()
 )
+#: Other blocks are followed as well, without a region of their own, so that ends left out are seen.
+PLAIN = BLOCKS - FOLLOWED - VOID - {"html"} | {"option", "optgroup"}
+HEAD = frozenset("base link meta noscript script style template title".split())
+ENDS_P = BLOCKS - frozenset("body caption dd dt frameset head html legend li option select tbody td tfoot th thead title tr".split())
+IN_LIST = (BLOCKS - {"address", "div", "p"}) | {"button", "object", "template"}
+IN_TABLE = frozenset(("table", "template"))
+IN_SELECT = frozenset(("select", "datalist"))
+PARTS = ("tbody", "thead", "tfoot", "caption")
+#: Start tag: what it ends if that is open, and the elements that shield it.
+ENDS = {
+    "li": (("li",), IN_LIST), "dd": (("dd", "dt"), IN_LIST), "dt": (("dd", "dt"), IN_LIST),
+    "td": (("td", "th"), IN_TABLE | {"tr"}), "th": (("td", "th"), IN_TABLE | {"tr"}), "tr": (("tr", "caption"), IN_TABLE),
+    **{x: (PARTS, IN_TABLE) for x in PARTS},
+    "option": (("option",), IN_SELECT), "optgroup": (("option", "optgroup"), IN_SELECT),
+}
+IN_P = frozenset("button caption object table td th template".split())
+#: What shields an element from an end tag that isn't its own.
+SHIELDS = {
+    "p": IN_P, "li": frozenset(("ol", "ul", "menu")) | IN_P, "dd": IN_P | {"dl"}, "dt": IN_P | {"dl"},
+    **{x: IN_TABLE for x in (*PARTS, "tr", "td", "th")},
+}
+
 DROPPED = frozenset(
     "aside audio button canvas datalist dialog fieldset footer form head header iframe math menu nav noscript object "
     "search select svg template textarea title video".split()
@@ -78,6 +101,8 @@ class Lines(HTMLParser):
         self.links = 0
         self.tags = 0
         self.regions = 0
+        #: The region that each region lies in.
+        self.within: dict[int, int] = {0: 0}
         #: Open followed elements: tag, dropped, inside an article, region.
         self.open: list[tuple[str, bool, bool, int]] = [("", False, False, 0)]
         self.hidden: str | None = None
@@ -104,12 +129,30 @@ class Lines(HTMLParser):
                     return True
         return "display:none" in attrs.get("style", "").replace(" ", "").lower()
 
+    def end(self, tags, shields=frozenset()) -> None:
+        """Ends the innermost open element of ``tags`` with all in it, unless a shield is in between."""
+        for at in range(len(self.open) - 1, 0, -1):
+            if self.open[at][0] in tags:
+                del self.open[at:]
+                return
+            if self.open[at][0] in shields:
+                return
+
+    def imply_ends(self, tag: str) -> None:
+        if tag not in HEAD and tag not in ("head", "html") and self.open[-1][0] == "head":
+            self.end(("head",))
+        if tag in ENDS:
+            self.end(*ENDS[tag])
+        if tag in ENDS_P or tag in ("li", "dd", "dt"):
+            self.end(("p",), IN_P)
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag in BLOCKS:
             self.finish_line()
         elif tag == "br":
             self.pieces.append(" ")
+        self.imply_ends(tag)
         if tag in ("script", "style"):
             self.hidden = tag
         if tag == "a":
@@ -118,6 +161,9 @@ class Lines(HTMLParser):
             return
         named = {k: v or "" for k, v in attrs}
         drops = self.drops(tag, named)
+        if tag in PLAIN and not drops:
+            self.open.append((tag, *self.open[-1][1:]))
+            return
         if tag not in FOLLOWED and not drops:
             return
         if tag == "span" and not drops:
@@ -130,6 +176,7 @@ class Lines(HTMLParser):
         elif not article and tag not in ("span",):
             self.regions += 1
             region = self.regions
+        self.within.setdefault(region, self.open[-1][3])
         self.open.append((tag, dropped or drops, article, region))
 
     def handle_endtag(self, tag):
@@ -140,10 +187,7 @@ class Lines(HTMLParser):
             self.hidden = None
         if tag == "a" and self.links:
             self.links -= 1
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at][0] == tag:
-                del self.open[at:]
-                break
+        self.end((tag,), SHIELDS.get(tag, frozenset()))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -169,6 +213,31 @@ def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(ratios, kernel / kernel.sum(), mode="full")[reach : reach + len(ratios)]
 
 
+def between(lines: list[Line], usable: np.ndarray, content: set[int], within: dict[int, int]) -> set[int]:
+    """Regions that aren't mostly links and have kept lines of their container before and behind them."""
+    kept: dict[int, list[int]] = {}  # container: first and last kept line in it
+    own: dict[int, list[int]] = {}  # other region: first and last line, characters, and those in links
+    for at, (x, ok) in enumerate(zip(lines, usable, strict=True)):
+        if not ok:
+            continue
+        if x.region not in content:
+            seen = own.setdefault(x.region, [at, at, 0, 0])
+            seen[1:] = [at, seen[2] + len(x.text), seen[3] + x.linked]
+            continue
+        region = x.region
+        while True:
+            kept.setdefault(region, [at, at])[1] = at
+            if within[region] == region:
+                break
+            region = within[region]
+    out = set()
+    for region, (first, last, size, linked) in own.items():
+        around = kept.get(within[region])
+        if around and around[0] < first and last < around[1] and 2 * linked < size:
+            out.add(region)
+    return out
+
+
 def main_text(html, sigma: float = SIGMA, threshold: float = THRESHOLD) -> str:
     if not isinstance(html, str) or not html:
         return ""
@@ -188,6 +257,7 @@ def main_text(html, sigma: float = SIGMA, threshold: float = THRESHOLD) -> str:
     smooth = smoothed(ratios, sigma)
     bar = threshold * smooth[usable].mean()
     content = {x.region for x, ok, s in zip(lines, usable, smooth, strict=True) if ok and s >= bar}
+    content |= between(lines, usable, content, parser.within)
     return "\n".join(x.text for x, ok in zip(lines, usable, strict=True) if ok and x.region in content)
 
 

@@ -27,6 +27,24 @@ def test_main_text(name):
     assert H.main_text(html) == text
 
 
+SHORT = "<div>short one</div>" * 4
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    (f"<article><p class=notice>Ad<p>{LONG}<p>two</article>", f"{LONG}\ntwo"),
+    (f"<article><p class=notice>Ad<h2>Head</h2>{LONG}</article>", f"Head\n{LONG}"),
+    (f"<article><ul><li class=share>Ad<li>one<ul><li class=ad>x</ul><li>two</ul><p>{LONG}</article>", f"one\ntwo\n{LONG}"),
+    (f"<article><ul><li><p class=ad>x</li><li>one</li></ul><p>{LONG}</article>", f"one\n{LONG}"),
+    (f"<article><table><tr class=ad><td>x<tr><td hidden>y<td>one</table><p>{LONG}</article>", f"one\n{LONG}"),
+    (f"<article><dl><dt>a<dd hidden>x<dt>b<dd>c</dl><p>{LONG}</article>", f"a\nb\nc\n{LONG}"),
+    (f"<article><p class=ad>x<blockquote><p class=ad>y</blockquote>{LONG}</article>", LONG),
+    (f"<head><title>t</title><body><p>{LONG}", LONG),
+    (f"<div>{LONG}</div>{SHORT}<div><a>link list</a></div>{SHORT}<div>{LONG}</div>", f"{LONG}\n{'short one\n' * 8}{LONG}"),
+])
+def test_ends_left_out_and_regions_between(html, text):
+    assert H.main_text(html) == text
+
+
 def test_pages_rows(spark):
     rows = [(i, f"http://x/{i}", html) for i, (html, _) in enumerate(PAGES.values())] + [(None, None, None), (0, "http://x/0", PAGES["article"][0])]
     table = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
