@@ -15,8 +15,12 @@ from hilvan.llm import (
     decontaminate,
     html_text,
     jaccard_join,
+    oracles,
+    piece_bpe,
     quality_rules,
+    ranked_search,
     secret_scan,
+    source_audit,
     suffix_dedup,
     token_counts,
 )
@@ -85,6 +89,18 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.encode_column(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")).drop("ids")
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -96,6 +112,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_jaccard": op10_jaccard,
+    "op11_sources": op11_sources,
+    "op12_pieces": op12_pieces,
+    "op13_search": op13_search,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_sources": oracles.OP11_SOURCES,
+    "op13_search": oracles.OP13_SEARCH,
+}
