@@ -29,21 +29,25 @@ def pooled(spark, d):
     return out.select("l_suppkey", "majority", "votes", "total", "kinds", F.round("percent", 6).alias("percent"))
 
 
+#: Small parts, so that the lists of the given tables have several.
+PART_BYTES = 20
+
+
 def duplicates(spark, d):
     parts = table(spark, d, "part").select("p_name", "p_partkey")
     key = F.col("p_partkey")
-    return G.duplicate_keys(parts, "p_name", "p_partkey", [key], F.floor(key / G.CELL_ENTRIES))
+    return G.duplicate_keys(parts, "p_name", "p_partkey", [key])
 
 
 def duplicates_in_parts(spark, d):
     parts = table(spark, d, "part").select("p_name", "p_partkey")
     key = F.col("p_partkey")
-    return G.duplicate_keys(parts, "p_name", "p_partkey", [key], F.floor(key / 64), limit=5)
+    return G.duplicate_keys(parts, "p_name", "p_partkey", [key], part_bytes=PART_BYTES)
 
 
 def similar(spark, d):
     rows = shape(spark, d, "part", NAMES)
-    return G.similar_names(rows, "name", "p_partkey", ["p_partkey"], F.floor(F.col("p_partkey") / G.CELL_ENTRIES))
+    return G.similar_names(rows, "name", "p_partkey", ["p_partkey"])
 
 
 def last_status(spark, d):
@@ -103,8 +107,8 @@ m AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, f) AS
 SELECT l_suppkey, v AS majority, n AS votes, total, kinds, round(n / total * 100, 6) AS percent FROM m WHERE rn = 1""",
     "duplicate_keys": """SELECT p_name, CAST(0 AS BIGINT) AS part, string_agg(CAST(p_partkey AS VARCHAR), ' , ' ORDER BY p_partkey) AS ids,
 count(*) AS total FROM part GROUP BY p_name HAVING count(*) > 1""",
-    "duplicate_keys_parts": """WITH r AS (SELECT *, (row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) - 1) // 5 AS part,
-  count(*) OVER (PARTITION BY p_name) AS total FROM part)
+    "duplicate_keys_parts": f"""WITH r AS (SELECT *, coalesce(sum(strlen(CAST(p_partkey AS VARCHAR)) + 3) OVER (PARTITION BY p_name ORDER BY p_partkey
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // {PART_BYTES} AS part, count(*) OVER (PARTITION BY p_name) AS total FROM part)
 SELECT p_name, part, string_agg(CAST(p_partkey AS VARCHAR), ' , ' ORDER BY p_partkey) AS ids, total
 FROM r WHERE total > 1 GROUP BY p_name, part, total""",
     "similar_names": f"""WITH {_NAMED}

@@ -82,8 +82,13 @@ def patches(s, d):
     return M.patch_rows(sheets(s, d), inventory(s, d))
 
 
+#: Small parts, so that the lists of the given tables have several.
+PART_BYTES = 6
+
+
 def patches_in_parts(s, d):
-    return M.patch_rows(sheets(s, d), inventory(s, d), F.floor(F.col("seq") / 100), limit=2)
+    """List table of the patched rows, cut into short parts."""
+    return M.patch_lists(sheets(s, d), inventory(s, d), part_bytes=PART_BYTES)
 
 
 def _sides(s, d):
@@ -191,10 +196,13 @@ op AS (SELECT {', '.join('g.' + k for k in _K)}, coalesce(a.t, '') AS pos_token,
        LEFT JOIN {_firsts('cab', _KS, 'pr', '°')} e ON {_same('g', 'e')})"""
 
 
-def _parts_of(column: str, sep: str) -> str:
+def _parts_of(column: str, name: str, sep: str) -> str:
+    """List table of the values of a column, each once in first-seen order, cut by bytes."""
     inner = f"SELECT {_KS}, {column} AS x, min((seq, tn)) AS o FROM pr WHERE {column} IS NOT NULL GROUP BY ALL"
-    ranked = f"SELECT *, (row_number() OVER (PARTITION BY {_KS} ORDER BY o) - 1) // 2 AS parte FROM ({inner})"
-    return f"(SELECT {_KS}, parte, string_agg(x, '{sep}' ORDER BY o) AS t FROM ({ranked}) GROUP BY ALL)"
+    placed = f"""SELECT *, coalesce(sum(strlen(x) + {len(sep.encode())}) OVER (PARTITION BY {_KS} ORDER BY o, x
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // {PART_BYTES} AS part FROM ({inner})"""
+    return f"""SELECT {_KS}, '{name}' AS lista, part, count(*) AS entries, string_agg(x, '{sep}' ORDER BY o, x) AS texto
+FROM ({placed}) GROUP BY ALL"""
 
 
 _CHANGE = f"""ch AS (SELECT coalesce(trim(cable), '') AS cable, coalesce(trim(anillo), '') AS anillo, coalesce(trim(anillo_actual), '') AS actual, iluminacion,
@@ -275,10 +283,8 @@ _FAULT = """ REPLACE (CASE WHEN fault = 'F (sin PATCHEO)' THEN fault WHEN fault
 SQL = {
     "port_backbone": f"WITH {_SHEET} SELECT seq, archivo, backbone AS id_port_cabecera FROM cb",
     "port_patch_rows": f"WITH {_PATCHED} SELECT * FROM op",
-    "port_patch_rows_parts": f"""WITH {_PATCH_ROWS}, a AS {_parts_of('pos_token', '+')}, b AS {_parts_of('pid', '°')}, e AS {_parts_of('cab', '°')},
-k AS (SELECT {_KS}, parte FROM a UNION SELECT {_KS}, parte FROM b UNION SELECT {_KS}, parte FROM e)
-SELECT k.*, coalesce(a.t, '') AS pos_token, coalesce(b.t, '') AS id_port_pacheo, coalesce(e.t, '') AS id_port_cabecera FROM k
-LEFT JOIN a ON {_same('k', 'a')} AND k.parte = a.parte LEFT JOIN b ON {_same('k', 'b')} AND k.parte = b.parte LEFT JOIN e ON {_same('k', 'e')} AND k.parte = e.parte""",
+    "port_patch_rows_parts": f"""WITH {_PATCH_ROWS} {_parts_of('pos_token', 'pos_token', '+')}
+UNION ALL {_parts_of('pid', 'id_port_pacheo', '°')} UNION ALL {_parts_of('cab', 'id_port_cabecera', '°')}""",
     "port_match_cables": f"""WITH {_matched(_CABLE_ROWS, 'F (ID no coincide[93XX-C12])')},
 m2 AS (SELECT {_RENAMED.format(_FAULT)} FROM m1),
 {_MIXED.format('m2')} {_final(_CABLE_KEYS, 'mk')}""",

@@ -85,7 +85,7 @@ _O = ", ".join(ORDER)
 _R = f"""r AS (SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY {_O}) AS n FROM ({select('lineitem', LINES)})),
 t AS (SELECT *, trim(line) AS x,
   CASE WHEN contains(line, 'Edificio') THEN 'B' WHEN contains(line, 'Empalme') THEN 'S' WHEN contains(line, 'Port (') THEN 'P' ELSE 'F' END AS k FROM r),
-g AS (SELECT *, NULLIF(regexp_extract(x, '^[^:]*:\\s*(\\d+)', 1), '') AS num, CASE WHEN k = 'F' THEN '(48h) | ' || regexp_extract(x, '''([^'']*)''', 1) END AS cab,
+g AS MATERIALIZED (SELECT *, NULLIF(regexp_extract(x, '^[^:]*:\\s*(\\d+)', 1), '') AS num, CASE WHEN k = 'F' THEN '(48h) | ' || regexp_extract(x, '''([^'']*)''', 1) END AS cab,
   CASE WHEN k = 'B' THEN CASE WHEN contains(x, 'NODO') THEN '' ELSE '(ED) ' END || regexp_extract(x, '''([^'']*)''', 1) END AS nm,
   CASE WHEN contains(x, 'Cliente') THEN '(EM CL) | ' || regexp_extract(x, '''([^'']*)''', 1)
        WHEN k = 'S' THEN '(EM ' || regexp_extract(x, 'Tipo (\\d*)', 1) || ') | ' || regexp_extract(x, '''([^'']*)''', 1) END AS sp,
@@ -93,7 +93,7 @@ g AS (SELECT *, NULLIF(regexp_extract(x, '^[^:]*:\\s*(\\d+)', 1), '') AS num, CA
   FROM t)"""
 _W = "PARTITION BY file_path ORDER BY n"
 _ELEMENTS = f"""{_R},
-h AS (SELECT *,
+h AS MATERIALIZED (SELECT *,
   coalesce(last_value(num IGNORE NULLS) OVER ({_W}), '') AS fb, coalesce(last_value(cab IGNORE NULLS) OVER ({_W}), '') AS cb,
   max(CASE WHEN k = 'F' THEN 1 END) OVER ({_W}) IS NOT NULL AS seen,
   last_value(CASE WHEN k IN ('B', 'S') THEN n END IGNORE NULLS) OVER ({_W}) AS mk,
@@ -101,18 +101,18 @@ h AS (SELECT *,
   last_value(CASE WHEN k IN ('B', 'S') THEN n END IGNORE NULLS) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pk,
   last_value(CASE WHEN k IN ('B', 'S') THEN k END IGNORE NULLS) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pkk,
   first_value(CASE WHEN k = 'B' THEN n END IGNORE NULLS) OVER ({_W} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nb FROM g),
-b AS (SELECT file_path, n AS bn, nm, 'H' || fb AS bs, contains(nm, 'NODO') AS nodo FROM h WHERE k = 'B'),
-i AS (SELECT file_path, nb, string_agg(line, chr(10) ORDER BY n) AS t FROM h WHERE k = 'P' AND NOT seen GROUP BY ALL),
-w AS (SELECT h.file_path, mk, CASE WHEN nodo THEN string_agg(line, chr(10) ORDER BY n) ELSE string_agg(pl, ', ' ORDER BY n) END AS t
+b AS MATERIALIZED (SELECT file_path, n AS bn, nm, 'H' || fb AS bs, contains(nm, 'NODO') AS nodo FROM h WHERE k = 'B'),
+i AS MATERIALIZED (SELECT file_path, nb, string_agg(line, chr(10) ORDER BY n) AS t FROM h WHERE k = 'P' AND NOT seen GROUP BY ALL),
+w AS MATERIALIZED (SELECT h.file_path, mk, CASE WHEN nodo THEN string_agg(line, chr(10) ORDER BY n) ELSE string_agg(pl, ', ' ORDER BY n) END AS t
       FROM h JOIN b ON h.file_path = b.file_path AND mk = bn WHERE k = 'P' AND seen AND mkk = 'B' GROUP BY h.file_path, mk, nodo),
-p AS (SELECT b.*, nm || ' | ' || CASE WHEN nodo THEN concat_ws(chr(10), i.t, w.t) ELSE concat_ws(', ', i.t, w.t) END AS el
+p AS MATERIALIZED (SELECT b.*, nm || ' | ' || CASE WHEN nodo THEN concat_ws(chr(10), i.t, w.t) ELSE concat_ws(', ', i.t, w.t) END AS el
       FROM b LEFT JOIN i ON b.file_path = i.file_path AND bn = i.nb LEFT JOIN w ON b.file_path = w.file_path AND bn = w.mk WHERE i.t IS NOT NULL OR w.t IS NOT NULL),
 s0 AS (SELECT *, coalesce(lag(fb) OVER ({_W}), '') AS lf, pkk = 'B' AS waiting FROM h WHERE k = 'S'),
-s AS (SELECT *, contains(sp, '(EM CL)') OR coalesce(waiting, false) OR fb <> lf AS wr FROM s0),
+s AS MATERIALIZED (SELECT *, contains(sp, '(EM CL)') OR coalesce(waiting, false) OR fb <> lf AS wr FROM s0),
 e AS (SELECT h.file_path, h.n, 0 AS step, el AS elemento, cb AS cable, bs AS hilo FROM h JOIN p ON h.file_path = p.file_path AND h.pk = p.bn AND h.pkk = 'B' WHERE k IN ('B', 'S')
       UNION ALL SELECT file_path, n, 2, sp, cb, 'H' || fb FROM s WHERE wr),
 e2 AS (SELECT *, lag((elemento, cable, hilo)) OVER (PARTITION BY file_path ORDER BY n, step) AS prev FROM e),
-m AS (SELECT * FROM e2 WHERE prev IS NULL OR prev <> (elemento, cable, hilo)),
+m AS MATERIALIZED (SELECT * FROM e2 WHERE prev IS NULL OR prev <> (elemento, cable, hilo)),
 z AS (SELECT file_path, arg_max(cb, n) AS ec, arg_max(mk, n) AS em, arg_max(mkk, n) AS emk FROM h GROUP BY file_path),
 ls AS (SELECT file_path, max(n) AS sn, arg_max((sp, cb, 'H' || fb), n) AS row FROM s GROUP BY file_path),
 lm AS (SELECT file_path, max(CASE WHEN step = 2 THEN n END) AS wn, arg_max((elemento, cable, hilo), (n, step)) AS row FROM m GROUP BY file_path),
@@ -123,7 +123,7 @@ x AS (SELECT file_path, n, step, elemento, cable, hilo FROM m
       UNION ALL SELECT file_path, NULL, 10, row[1], row[2], row[3] FROM fo
       UNION ALL SELECT file_path, NULL, 11, elemento, cable, hilo FROM op WHERE prev IS NULL OR prev <> (elemento, cable, hilo)
       UNION ALL SELECT file_path, NULL, 12, 'NODO INICIAL | ' || t, '', '' FROM i WHERE nb IS NULL),
-el AS (SELECT x.file_path, {', '.join('r.' + c for c in ORDER)}, step, CAST(0 AS BIGINT) AS part, elemento, cable, hilo, coalesce(x.n, 1000000000) * 100 + step AS pos
+el AS MATERIALIZED (SELECT x.file_path, {', '.join('r.' + c for c in ORDER)}, step, CAST(0 AS BIGINT) AS part, elemento, cable, hilo, coalesce(x.n, 1000000000) * 100 + step AS pos
        FROM x LEFT JOIN r ON x.file_path = r.file_path AND x.n = r.n)"""
 _ANOMALIES = f"""{_ELEMENTS},
 kd AS (SELECT *, CASE WHEN contains(elemento, 'ED:') OR contains(elemento, '(ED)') THEN 'ED' WHEN contains(elemento, '(EM CL)') THEN 'OB'

@@ -1,8 +1,8 @@
 """Group operators that stay safe when one group holds a large share of all rows.
 
 Counts, winners and first/last values are plain aggregates, so every map task reduces
-its rows before the shuffle. A cell that lists the entries of a group is the one result
-that grows with the group; see :func:`ordered_text`.
+its rows before the shuffle. A text that lists the entries of a group is the one result
+that grows with the group; it has a table of its own, see :func:`ordered_text`.
 """
 
 from __future__ import annotations
@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from hilvan.functions.text import as_column, comparison_key, normalise_id, strip
 from hilvan.session import cut_lineage
 
-# Most entries that one text cell lists. A longer list continues in further rows,
-# numbered by ``part`` (0 for the first): nothing is dropped.
-CELL_ENTRIES = 100_000
+# Bytes of a list after which its next part begins.
+PART_BYTES = 1 << 20
 
 
 def nulls_last(*columns: Column | str) -> list[Column]:
@@ -101,15 +100,6 @@ def pooled_majority(
     return won.withColumn("percent", F.col("votes") / F.col("total") * 100)
 
 
-def has_group_over(
-    df: DataFrame, keys: Sequence[str], limit: int, weight: Column | None = None
-) -> bool:
-    """True if some group has more than ``limit`` rows (one slim pass over the keys)."""
-    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    sizes = df.groupBy(*keys).agg(size.alias("_n"))
-    return not sizes.filter(F.col("_n") > limit).isEmpty()
-
-
 def position_within(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column, name: str
 ) -> DataFrame:
@@ -140,26 +130,34 @@ def position_within(
     )
 
 
-def with_part(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column, limit: int
-) -> DataFrame:
-    """Adds ``part``: 0 unless the group has more than ``limit`` rows."""
-    if not has_group_over(df, keys, limit):
-        return df.withColumn("part", F.lit(0).cast("bigint"))
-    ranked = position_within(df, keys, order, bucket, "_pos")
-    return ranked.withColumn("part", F.floor((F.col("_pos") - 1) / limit)).drop("_pos")
-
-
-def ordered_list(order: Sequence[Column], **entries: Column) -> Column:
-    """Aggregate: entries of a group as structs in the given order."""
-    fields = [c.alias(f"o{i}") for i, c in enumerate(order)]
-    return F.sort_array(F.collect_list(F.struct(*fields, *[v.alias(k) for k, v in entries.items()])))
-
+def running_bytes(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: str, name: str) -> DataFrame:
+    """Sum of ``size`` over the rows of the group that come earlier, without one task per group.
 
-def joined(ordered: Column, field: str, separator: str | Column) -> Column:
-    """Text of one field of an ordered list; nulls are skipped."""
-    between = F.lit(separator) if isinstance(separator, str) else separator
-    return F.call_function("array_join", ordered.getField(field), between)
+    Spark's range partitioner cuts all groups into chunks along (keys, order), also in the
+    middle of a group or of a day. Rows are summed inside their chunk, and a slim table with
+    one row per group and chunk carries the sums across. The chunks are written once, because
+    a second run of the partitioner could draw them elsewhere.
+    """
+    chunked = cut_lineage(
+        df.repartitionByRange(*keys, *order).withColumn("_chunk", F.spark_partition_id())
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = (
+        chunked.groupBy(*keys, "_chunk").agg(F.sum(size).alias("_sum"))
+        .select(
+            *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"),
+            F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carried"),
+        )
+    )
+    same = F.col("_chunk") == F.col("_k_chunk")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        chunked.join(sums, same)
+        .withColumn(name, F.col("_carried") + F.coalesce(F.sum(size).over(inside), F.lit(0)))
+        .drop("_chunk", "_k_chunk", "_carried", *[f"_k_{k}" for k in keys])
+    )
 
 
 def ordered_text(
@@ -167,38 +165,45 @@ def ordered_text(
     keys: Sequence[str],
     entry: Column,
     order: Sequence[Column],
-    bucket: Column,
     separator: str | Column,
-    limit: int = CELL_ENTRIES,
+    part_bytes: int = PART_BYTES,
     name: str = "text",
-    cut: bool = True,
 ) -> DataFrame:
-    """Entries of each group joined in order: keys, ``part``, ``entries``, ``name``.
+    """List table: keys, ``part``, ``entries`` and ``name``, the entries joined in order.
 
-    A cell cannot hold a third of all rows. Groups up to ``limit`` entries give one row
-    with part 0. Larger groups give one row per ``limit`` entries, so the parts joined in
-    order are the whole text and no task holds more than ``limit`` entries of a group.
-    The sizes are looked at first; ``cut`` writes the slim rows once, so that what they
-    come from is not run again for it. Rows read straight from a table need no cut.
+    A cell cannot hold a third of all rows, so a list continues in rows with part 1, 2, ...
+    An entry belongs to the part in which its first byte lies, counting the bytes of all
+    entries and separators before it; it is never divided, and a part that lies within one
+    long entry is absent. The texts of the parts, joined with the separator, are the whole
+    list whatever ``part_bytes``. Null entries are left out, and a group of nulls has no row.
     """
-    slim = df.select(
-        *keys, entry.alias("_entry"), bucket.alias("_bucket"),
-        *[c.alias(f"_o{i}") for i, c in enumerate(order)],
+    between = F.lit(separator) if isinstance(separator, str) else separator
+    slim = df.select(*keys, entry.alias("_entry"), *[c.alias(f"_o{i}") for i, c in enumerate(order)])
+    sized = slim.filter("_entry IS NOT NULL").withColumn(
+        "_size", (F.octet_length("_entry") + F.octet_length(between)).cast("bigint")
     )
-    at = [F.col(f"_o{i}") for i in range(len(order))]
-    slim = cut_lineage(slim) if cut else slim
-    parted = with_part(slim, keys, at, F.col("_bucket"), limit)
-    grouped = parted.groupBy(*keys, "part").agg(
-        F.count(F.lit(1)).alias("entries"), ordered_list(at, e=F.col("_entry")).alias("_list")
+    at = [*[f"_o{i}" for i in range(len(order))], "_entry"]
+    placed = running_bytes(sized, keys, at, "_size", "_start")
+    return (
+        placed.groupBy(*keys, F.expr(f"_start div {part_bytes}").alias("part"))
+        .agg(
+            F.count(F.lit(1)).alias("entries"),
+            F.sort_array(F.collect_list(F.struct("_start", *at))).alias("_list"),
+        )
+        .select(*keys, "part", "entries", F.call_function("array_join", F.col("_list._entry"), between).alias(name))
     )
-    return grouped.select(*keys, "part", "entries", joined(F.col("_list"), "e", separator).alias(name))
+
+
+def first_part(lists: DataFrame) -> DataFrame:
+    """The cells of a list table that fit a table with one row per key: each list's part 0."""
+    return lists.filter("part = 0").drop("part", "entries")
 
 
 def duplicate_keys(
-    df: DataFrame, key: str, id_column: str, order: Sequence[Column], bucket: Column,
-    separator: str = " , ", limit: int = CELL_ENTRIES,
+    df: DataFrame, key: str, id_column: str, order: Sequence[Column], separator: str = " , ",
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """Keys carried by several rows with their ids in row order: key, part, ids, total.
+    """List table of the keys carried by several rows: key, part, ids in row order, total.
 
     Keys are counted first and only the repeated ones keep their ids.
     """
@@ -206,24 +211,21 @@ def duplicate_keys(
         df.groupBy(key).agg(F.count(F.lit(1)).alias("total")).filter("total > 1")
     )
     rows = df.join(repeated.select(key), key, "left_semi")
-    ids = ordered_text(
-        rows, [key], F.col(id_column).cast("string"), order, bucket, separator, limit, "ids"
-    )
+    ids = ordered_text(rows, [key], F.col(id_column).cast("string"), order, separator, part_bytes, "ids")
     return ids.drop("entries").join(repeated, key)
 
 
 def similar_names(
-    df: DataFrame, name: str, id_column: str, order: Sequence[str], bucket: Column,
-    limit: int = CELL_ENTRIES,
+    df: DataFrame, name: str, id_column: str, order: Sequence[str], part_bytes: int = PART_BYTES
 ) -> DataFrame:
     """Names that differ from the best spelling only by case, marks or spaced letters.
 
-    Best: most rows, then the tidiest spelling, then the first seen. Yields ``name``,
+    Best: most rows, then the tidiest spelling, then the first seen. A list table: ``name``,
     ``best``, ``part`` and ``ids``.
     """
     rows = df.select(
         strip(name).alias("name"), normalise_id(F.col(id_column).cast("string")).alias("_id"),
-        bucket.alias("_bucket"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
     ).filter("_id <> '' AND name <> ''")
     at = [F.col(f"_o{i}") for i in range(len(order))]
     low = F.lower("name")
@@ -247,9 +249,7 @@ def similar_names(
         .drop("_spellings")
     )
     others = spellings.join(best, "_key").filter("name <> best").select("name", "best")
-    ids = ordered_text(
-        rows.join(others, "name"), ["name", "best"], F.col("_id"), at, F.col("_bucket"), ", ", limit, "ids"
-    )
+    ids = ordered_text(rows.join(others, "name"), ["name", "best"], F.col("_id"), at, ", ", part_bytes, "ids")
     return ids.drop("entries")
 
 

@@ -28,7 +28,7 @@ from hilvan.functions.text import (
     tray_letter,
     trunk_panel_parts,
 )
-from hilvan.operators.groups import CELL_ENTRIES, first_wins, has_group_over, last_wins, ordered_text
+from hilvan.operators.groups import PART_BYTES, first_part, first_wins, last_wins, ordered_text
 from hilvan.session import cut_lineage
 
 NO_POSITION = "SIN_POS"
@@ -346,72 +346,69 @@ def mark_mixed_rings(rows: DataFrame, fibre: str, strand: str, ring: str, status
     )
 
 
-def consolidate(
+def consolidated_lists(
     rows: DataFrame, lists: Mapping[str, str], order: Sequence[str], numeric: str | None = None,
-    exclude: Sequence[str] = (), bucket: Column | None = None, limit: int = CELL_ENTRIES,
-) -> DataFrame:
-    """Rows that are equal but for the ``lists`` columns become one row.
-
-    ``lists`` maps a column to its separator. Values are joined once each in first-seen
-    order; those of ``numeric`` keep repeats, drop what is not digits and are sorted as
-    numbers. Nulls of the equal columns group together. Copies of a row are counted
-    before the shuffle and written once; a group above ``limit`` rows continues in rows
-    with ``parte`` 1, 2, ... (see ``ordered_text``; ``bucket`` is an expression over the
-    order columns).
+    exclude: Sequence[str] = (), part_bytes: int = PART_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that are equal but for the ``lists`` columns, and the list table of those columns.
+
+    The first table has ``_key`` and the equal columns, the second ``_key``, ``lista``,
+    ``part``, ``entries`` and ``texto``. ``lists`` maps a column to its separator. Values are
+    listed once each in first-seen order; those of ``numeric`` keep repeats, drop what is not
+    digits and are sorted as numbers. Nulls of the equal columns group together.
     """
     keys = [c for c in rows.columns if c not in lists and c not in order and c not in exclude]
+    # Copies of a row are counted before the shuffle, and what was grouped is written once.
     once = cut_lineage(
         rows.groupBy(*keys, *lists).agg(F.min(F.struct(*order)).alias("_at"), F.count(F.lit(1)).alias("_n"))
+        .withColumn("_key", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
+    )
+    whole = once.select("_key", *keys).dropDuplicates(["_key"])
+    digits = lambda c: F.when(c.rlike(r"^\d+$"), c.cast("decimal(38,0)"))
+    each = []
+    for name in lists:
+        value = F.col(name).cast("string")
+        number = digits(value) if name == numeric else F.lit(None).cast("decimal(38,0)")
+        each.append(F.struct(
+            F.lit(name).alias("lista"), number.alias("number"),
+            (number.cast("string") if name == numeric else value).alias("value"),
+            (F.col("_n") if name == numeric else F.lit(1).cast("bigint")).alias("copies"),
+        ))
+    values = (
+        once.select("_key", "_at", F.explode(F.array(*each)).alias("_e")).select("_key", "_at", "_e.*")
+        .filter("value IS NOT NULL")
+        .groupBy("_key", "lista", "number", "value")
+        .agg(F.min("_at").alias("_at"), F.sum("copies").alias("_copies"))
+        .withColumn("_copy", F.explode(F.expr(
+            f"sequence(1L, if(lista = '{numeric}', _copies, 1L))" if numeric else "sequence(1L, 1L)"
+        )))
+    )
+    separator = F.lit("")
+    for name, sep in lists.items():
+        separator = F.when(F.col("lista") == name, sep).otherwise(separator)
+    texts = ordered_text(
+        values, ["_key", "lista"], F.col("value"), [F.col("number"), F.col("_at"), F.col("_copy")],
+        separator, part_bytes, "texto",
     )
+    return whole, texts
 
-    def distinct_text(values: Column, sep: str) -> Column:
-        return F.array_join(F.array_distinct(F.array_compact(values)), sep)
 
-    def sorted_numbers(name: str, sep: str) -> Column:
-        digits = F.filter("_rows", lambda r: r[name].rlike(r"^\d+$"))
-        repeated = F.flatten(
-            F.transform(digits, lambda r: F.array_repeat(r[name].cast("decimal(38,0)"), r["_n"].cast("int")))
-        )
-        return F.array_join(F.sort_array(repeated).cast("array<string>"), sep)
+def consolidate(
+    rows: DataFrame, lists: Mapping[str, str], order: Sequence[str], numeric: str | None = None,
+    exclude: Sequence[str] = (), part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """Rows that are equal but for the ``lists`` columns become one row.
 
-    if not has_group_over(once, keys, limit, F.col("_n")):
-        grouped = once.groupBy(*keys).agg(
-            F.sort_array(F.collect_list(F.struct("_at", "_n", *lists))).alias("_rows")
-        )
-        texts = [
-            (sorted_numbers(name, sep) if name == numeric else distinct_text(F.col("_rows").getField(name), sep)).alias(name)
-            for name, sep in lists.items()
-        ]
-        return grouped.select(*keys, *texts, F.lit(0).cast("bigint").alias("parte"))
-
-    if bucket is None:
-        raise ValueError("a group is too large for one cell: give a bucket along the order")
-    marked = once.select(
-        "*", "_at.*", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_key")
-    ).withColumn("_b", bucket)
-    whole = marked.select("_key", *keys).dropDuplicates(["_key"])
-    parts = None
-    for name, sep in lists.items():
-        value = F.col(name).cast("string")
-        if name == numeric:
-            slim = (
-                marked.filter(value.rlike(r"^\d+$")).withColumn("_v", value.cast("decimal(38,0)"))
-                .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-            )
-            cell = ordered_text(
-                slim, ["_key"], F.col("_v").cast("string"), [F.col("_v"), F.col("_at"), F.col("_copy")],
-                F.struct("_v", F.floor(F.col("_copy") / limit)), sep, limit, name,
-            )
-        else:
-            seen = marked.filter(value.isNotNull()).groupBy("_key", name).agg(
-                F.min("_at").alias("_at"), F.min("_b").alias("_b")
-            )
-            cell = ordered_text(seen, ["_key"], value, [F.col("_at")], F.col("_b"), sep, limit, name)
-        cell = cell.drop("entries")
-        parts = cell if parts is None else parts.join(cell, ["_key", "part"], "full")
-    return whole.join(parts, "_key", "left").select(
-        *keys, *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in lists],
-        F.coalesce("part", F.lit(0)).alias("parte"),
+    Each list cell holds part 0 of its list (``parte`` says so); :func:`consolidated_lists`
+    has all parts.
+    """
+    whole, texts = consolidated_lists(rows, lists, order, numeric, exclude, part_bytes)
+    cells = first_part(texts).groupBy("_key").agg(
+        *[F.max(F.when(F.col("lista") == n, F.col("texto"))).alias(n) for n in lists]
+    )
+    return whole.join(cells, "_key", "left").select(
+        *[c for c in whole.columns if c != "_key"], *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in lists],
+        F.lit(0).cast("bigint").alias("parte"),
     )
 
 
@@ -448,30 +445,38 @@ def fill_from_sheets(
     )
 
 
-def append_remarks(
-    rows: DataFrame, remarks: DataFrame, fibre: str, status: str, limit: int = CELL_ENTRIES
-) -> DataFrame:
-    """Prefixes OM and BULK and the remarks of a fibre around the status, joined ' | '.
-
-    ``remarks`` has fibra, estado, observacion and seq. Remarks above ``limit`` per fibre
-    continue on further rows, numbered by ``parte``.
-    """
+def tagged_remarks(remarks: DataFrame) -> DataFrame:
     state = F.lower(text_or_empty("estado"))
-    tagged = (
+    return (
         remarks.select(
             text_or_empty("fibra").alias("_f"), text_or_empty("observacion").alias("_obs"), "seq",
             F.when(state.contains("error"), "OM").when(state.contains("bulk file"), "BULK").alias("_tag"),
         )
         .filter("_f <> '' AND _tag IS NOT NULL")
     )
-    tags = tagged.groupBy("_f").agg(
+
+
+def remark_lists(remarks: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """List table of the remarks of every fibre in row order: fibra, part, entries, observacion."""
+    rows = tagged_remarks(remarks).filter("_obs <> ''").withColumnRenamed("_f", "fibra")
+    return ordered_text(rows, ["fibra"], F.col("_obs"), [F.col("seq")], " | ", part_bytes, "observacion")
+
+
+def append_remarks(
+    rows: DataFrame, remarks: DataFrame, fibre: str, status: str, part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """Prefixes OM and BULK and the remarks of a fibre around the status, joined ' | '.
+
+    ``remarks`` has fibra, estado, observacion and seq. The status takes part 0 of the
+    remarks (``parte`` says so); :func:`remark_lists` has all parts. Rows stay as many.
+    """
+    tags = tagged_remarks(remarks).groupBy("_f").agg(
         F.max(F.when(F.col("_tag") == "OM", "OM")).alias("_om"),
         F.max(F.when(F.col("_tag") == "BULK", "BULK")).alias("_bulk"),
     )
-    texts = ordered_text(
-        tagged.filter("_obs <> ''"), ["_f"], F.col("_obs"), [F.col("seq")], F.floor(F.col("seq") / limit),
-        " | ", limit, "_text",
-    ).select("_f", "part", "_text")
+    texts = first_part(remark_lists(remarks, part_bytes)).select(
+        F.col("fibra").alias("_f"), F.col("observacion").alias("_text")
+    )
     info = tags.join(texts, "_f", "left")
     return (
         rows.join(info, strip(fibre) == F.col("_f"), "left")
@@ -481,8 +486,8 @@ def append_remarks(
                     F.col("_f").isNotNull(),
                     F.concat_ws(" | ", "_om", "_bulk", F.when(~blank(status), F.col(status)), "_text"),
                 ).otherwise(F.col(status)),
-                "parte": F.coalesce("part", F.lit(0)).cast("bigint"),
+                "parte": F.lit(0).cast("bigint"),
             }
         )
-        .drop("_f", "_om", "_bulk", "part", "_text")
+        .drop("_f", "_om", "_bulk", "_text")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hilvan.functions import rules as R
 from hilvan.functions.text import normalise_id, strip, text_or_empty
-from hilvan.operators.groups import CELL_ENTRIES, majority, similar_names
+from hilvan.operators.groups import PART_BYTES, majority, similar_names
 from hilvan.plans.findings import NO_BUILDING_OWNER, findings, one, together, usable_rows
 
 # Logical column and headers of a building export.
@@ -28,7 +28,7 @@ COLUMNS = {
 
 def audit_buildings(
     buildings: DataFrame, owners: DataFrame, excluded: DataFrame | None = None,
-    exempt: DataFrame | None = None, limit: int = CELL_ENTRIES,
+    exempt: DataFrame | None = None, part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """All findings of buildings and structures. ``exempt`` has the column name."""
     return reduce(
@@ -36,7 +36,7 @@ def audit_buildings(
         [
             building_findings(buildings, owners, excluded, exempt),
             structure_findings(buildings, owners, excluded),
-            similar_findings(buildings, limit),
+            similar_findings(buildings, part_bytes),
         ],
     )
 
@@ -94,8 +94,8 @@ def structure_findings(buildings: DataFrame, owners: DataFrame, excluded: DataFr
     )
 
 
-def similar_findings(buildings: DataFrame, limit: int = CELL_ENTRIES) -> DataFrame:
-    names = similar_names(buildings, "nombre", "id", ["seq"], F.floor(F.col("seq") / limit), limit)
+def similar_findings(buildings: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    names = similar_names(buildings, "nombre", "id", ["seq"], part_bytes)
     return findings(
         names.withColumn("seq", F.lit(0)), "EDIFICIO", 34,
         one(R.text("NOMBRE (Corregir a (", F.col("best"), ")")), id="ids", value="name", owner=F.lit("..."),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hilvan.functions import rules as R
 from hilvan.functions.text import company_name, normalise_id, report_text, strip, text_or_empty
-from hilvan.operators.groups import CELL_ENTRIES, first_wins, last_wins, ordered_text
+from hilvan.operators.groups import PART_BYTES, first_wins, last_wins, ordered_text
 from hilvan.operators.sequence import state_sequence
 from hilvan.plans.findings import findings, one, together, usable_rows
 from hilvan.session import cut_lineage
@@ -131,7 +131,7 @@ def port_messages() -> Column:
 
 
 def audit_ports(
-    ports: DataFrame, buildings: DataFrame, excluded: DataFrame | None = None, limit: int = CELL_ENTRIES
+    ports: DataFrame, buildings: DataFrame, excluded: DataFrame | None = None, part_bytes: int = PART_BYTES
 ) -> DataFrame:
     """All findings of ports, shelves and bays.
 
@@ -162,7 +162,7 @@ def audit_ports(
         sequence_rows(client, central)
     )
     return (
-        group_by_shelf(raw, limit)
+        group_by_shelf(raw, part_bytes)
         .unionByName(shelf_findings(checked, central, excluded))
         .unionByName(bay_findings(checked, excluded))
     )
@@ -193,25 +193,23 @@ def sequence_rows(client: DataFrame, central: DataFrame) -> DataFrame:
     return _port_rows(broken, F.col("desc"), one(message), 42)
 
 
-def group_by_shelf(raw: DataFrame, limit: int = CELL_ENTRIES) -> DataFrame:
+def group_by_shelf(raw: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """Ports of a shelf with the same message as one finding; ids joined ' , '.
 
-    A port without shelf stands alone.
+    A port without shelf stands alone. A further part of a list of ids is a further
+    finding, and ``pos`` is the part.
     """
     # Ids and first rows both come from it: the whole port audit is run once.
     raw = cut_lineage(raw)
     keyed = raw.withColumn("_group", F.when(F.col("shelf_id") == "", F.concat(F.lit("\0"), "id")).otherwise(F.col("shelf_id")))
     keys = ["_group", "message"]
-    ids = ordered_text(
-        keyed, keys, F.col("id"), [F.col("stage"), F.col("seq")],
-        F.struct("stage", F.floor(F.col("seq") / limit)), " , ", limit, "ids", cut=False,
-    )
+    ids = ordered_text(keyed, keys, F.col("id"), [F.col("stage"), F.col("seq")], " , ", part_bytes, "ids")
     first = keyed.groupBy(*keys).agg(
         F.min(F.struct("stage", "seq", "shown")).alias("_first")
     ).select(*keys, "_first.*")
     return ids.join(first, keys).select(
         F.lit("PORT").alias("entity"), F.col("ids").alias("id"), F.col("shown").alias("value"), F.lit("").alias("owner"),
-        "message", F.lit(40).alias("stage"), F.col("seq").cast("bigint"), F.lit(0).alias("pos"),
+        "message", F.lit(40).alias("stage"), F.col("seq").cast("bigint"), F.col("part").cast("int").alias("pos"),
     )
 
 

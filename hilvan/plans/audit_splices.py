@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hilvan.functions import rules as R
 from hilvan.functions.text import construction_status, expected_splice_type, text_or_empty
-from hilvan.operators.groups import CELL_ENTRIES, duplicate_keys, first_wins, majority, minority_rows
+from hilvan.operators.groups import PART_BYTES, duplicate_keys, first_wins, majority, minority_rows
 from hilvan.operators.sequence import first_two, repeated_numbers, sequence_gaps
 from hilvan.plans.findings import findings, one, usable_rows
 
@@ -49,7 +49,7 @@ def prepare(splices: DataFrame, excluded: DataFrame | None = None, decode: bool
 
 def audit_splices(
     splices: DataFrame, owners: DataFrame, valid_owner: str, excluded: DataFrame | None = None,
-    decode: bool = True, limit: int = CELL_ENTRIES,
+    decode: bool = True, part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """All findings of splices. ``splices`` has the columns of ``COLUMNS`` and seq."""
     rows = prepare(splices, excluded, decode)
@@ -57,7 +57,7 @@ def audit_splices(
         DataFrame.unionByName,
         [
             attribute_findings(rows, owners, valid_owner),
-            repeat_findings(rows, owners, limit),
+            repeat_findings(rows, owners, part_bytes),
             group_findings(rows, owners),
             sequence_findings(rows, owners),
             cable_findings(rows, owners),
@@ -88,9 +88,9 @@ def repeated_names(rows: DataFrame) -> DataFrame:
     return rows.filter(~F.col("chained"))
 
 
-def repeat_findings(rows: DataFrame, owners: DataFrame, limit: int = CELL_ENTRIES) -> DataFrame:
+def repeat_findings(rows: DataFrame, owners: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     single = repeated_names(rows)
-    repeats = duplicate_keys(single, "nombre", "id", [F.col("seq")], F.floor(F.col("seq") / limit), limit=limit)
+    repeats = duplicate_keys(single, "nombre", "id", [F.col("seq")], part_bytes=part_bytes)
     first = single.groupBy("nombre").agg(F.min("seq").alias("seq"), F.first("corto").alias("corto"))
     named = repeats.join(first, "nombre")
     return findings(

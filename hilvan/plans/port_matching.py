@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hilvan.functions.text import blank, clean_port, null_if_empty, strip, text_or_empty
@@ -20,8 +20,11 @@ def match_sheets(sheets: DataFrame, ports: DataFrame) -> DataFrame:
     return P.with_backbone(sheets, P.backbone_lookup(ports), "equipo", "puerto", "id_port_cabecera")
 
 
-def patch_rows(matched: DataFrame, ports: DataFrame, bucket: Column | None = None, **consolidation) -> DataFrame:
-    """One row per sheet row and position, positions of equal rows joined."""
+PATCHES = {"pos_token": "+", "id_port_pacheo": "°", "id_port_cabecera": "°"}
+
+
+def patched_positions(matched: DataFrame, ports: DataFrame) -> DataFrame:
+    """One row per sheet row and position, with its patch port and backbone port."""
     rows = matched.select(
         "archivo", strip("equipo").alias("equipo"), strip("odf").alias("odf"),
         F.upper(strip("cassetera")).alias("cassetera"), clean_port("puerto").alias("puerto"),
@@ -34,11 +37,19 @@ def patch_rows(matched: DataFrame, ports: DataFrame, bucket: Column | None = Non
         F.when(F.col("pos_original").isNotNull(), F.col("pos_token")), "id_port_pacheo",
     )
     guarded = P.same_bay_id(patched, P.bay_lookup(ports), "_backbone", "id_port_pacheo", "id_port_cabecera")
-    return P.consolidate(
-        guarded.drop("pos", "pos2", "_backbone"),
-        {"pos_token": "+", "id_port_pacheo": "°", "id_port_cabecera": "°"},
-        order=["seq", "token_no"], bucket=bucket, **consolidation,
-    )
+    return guarded.drop("pos", "pos2", "_backbone")
+
+
+def patch_rows(matched: DataFrame, ports: DataFrame, **consolidation) -> DataFrame:
+    """Positions of equal sheet rows joined in one row."""
+    return P.consolidate(patched_positions(matched, ports), PATCHES, order=["seq", "token_no"], **consolidation)
+
+
+def patch_lists(matched: DataFrame, ports: DataFrame, **consolidation) -> DataFrame:
+    """List table of the patched rows: the columns that are equal, lista, part, entries, texto."""
+    rows = patched_positions(matched, ports)
+    whole, texts = P.consolidated_lists(rows, PATCHES, order=["seq", "token_no"], **consolidation)
+    return whole.join(texts, "_key").drop("_key")
 
 
 def _matched_trays(
@@ -60,7 +71,7 @@ def _matched_trays(
 
 def match_cable_rows(
     cables: DataFrame, op: DataFrame, trunk: DataFrame, ports: DataFrame, changes: DataFrame,
-    bucket: Column | None = None, **consolidation,
+    **consolidation,
 ) -> DataFrame:
     """Cable sheet rows with patch value, one row per patch group.
 
@@ -87,13 +98,13 @@ def match_cable_rows(
     ).drop("fault")
     marked = P.mark_mixed_rings(ruled, "fibra", "hilo", "anillo", "sincroniza")
     return P.consolidate(
-        marked, PLACEMENTS, order=["seq", "tray_no"], numeric="bandeja", bucket=bucket, **consolidation
+        marked, PLACEMENTS, order=["seq", "tray_no"], numeric="bandeja", **consolidation
     )
 
 
 def match_ring_rows(
     rings: DataFrame, op: DataFrame, trunk: DataFrame, ports: DataFrame, changes: DataFrame,
-    bucket: Column | None = None, **consolidation,
+    **consolidation,
 ) -> DataFrame:
     """Ring sheet rows: fibra, ec, port_ec, odf_patcheo, cassetera, port_pacheo, odf_troncal, hilo, anillo, seq."""
     rows = rings.select(
@@ -107,5 +118,5 @@ def match_ring_rows(
     done = _matched_trays(exploded, op, trunk, ports, changes, separate_missing=True)
     marked = P.mark_mixed_rings(done, "fibra", "hilo", "anillo", "sincroniza")
     return P.consolidate(
-        marked, PLACEMENTS, order=["seq", "tray_no"], numeric="bandeja", bucket=bucket, **consolidation
+        marked, PLACEMENTS, order=["seq", "tray_no"], numeric="bandeja", **consolidation
     )

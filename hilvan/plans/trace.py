@@ -17,13 +17,11 @@ from pyspark.sql import functions as F
 from hilvan.functions import rules as R
 from hilvan.functions.text import blank, loose_date, null_if_empty, strip, text_or_empty
 from hilvan.operators.groups import (
-    CELL_ENTRIES,
-    joined,
+    PART_BYTES,
+    first_part,
     majority,
     order_struct,
-    ordered_list,
     ordered_text,
-    with_part,
 )
 from hilvan.operators.ordered import carry_forward, collapse_repeats, previous_value
 from hilvan.session import cut_lineage
@@ -100,15 +98,42 @@ def trace_elements(
     file: str = "file_path",
     order: Sequence[str] = ("line_no",),
     chunk: Sequence[Column] | None = None,
-    limit: int = CELL_ENTRIES,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Rows ``(file, order…, step, part, elemento, cable, hilo)`` of every trace.
 
     ``lines`` has the file, the order columns and ``line``. ``chunk`` never decreases
     along the order and defaults to ranges of line numbers. Rows that close a trace have
-    null order columns and steps from 10 on. Port lists above ``limit`` entries continue
-    in rows with ``part`` 1, 2, ...
+    null order columns and steps from 10 on. A row lists the ports of its building up to
+    part 0 of their list (``part`` says so); :func:`trace_port_lists` has all parts.
+    """
+    return _trace(lines, file, order, chunk, part_bytes)[0]
+
+
+def trace_port_lists(
+    lines: DataFrame,
+    file: str = "file_path",
+    order: Sequence[str] = ("line_no",),
+    chunk: Sequence[Column] | None = None,
+    part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """List table of the ports of every building of a trace.
+
+    ``(file, building order…, before_strands, part, entries, puertos)``: the order columns are
+    those of the building's line, null for ports that no building follows;
+    ``before_strands`` marks the ports before the first strand, which come first in a cell.
     """
+    order = list(order)
+    lists = _trace(lines, file, order, chunk, part_bytes)[1]
+    return lists.select(
+        file, *[F.col("_b_at")[f"o{i}"].alias(c) for i, c in enumerate(order)],
+        F.col("_is_first").alias("before_strands"), "part", "entries", "puertos",
+    )
+
+
+def _trace(
+    lines: DataFrame, file: str, order: Sequence[str], chunk: Sequence[Column] | None, part_bytes: int
+) -> tuple[DataFrame, DataFrame]:
     order = list(order)
     cuts = chunk or [F.floor(F.col(order[0]) / LINES_PER_CHUNK)]
     cut_names = [f"_chunk{i}" for i in range(len(cuts))]
@@ -196,17 +221,14 @@ def trace_elements(
         .filter("_entry IS NOT NULL")
     )
     slot = [*keys, "_b_at", "_name", "_b_strand", "_node"]
-    parted = with_part(entries, [*keys, "_b_at"], [F.col("_at")], F.struct(*cut_names), limit)
-    listed = parted.groupBy(*slot, "part").agg(
-        ordered_list([F.col("_at")], first=F.when(F.col("_is_first"), F.col("_entry")),
-                     own=F.when(~F.col("_is_first"), F.col("_entry"))).alias("_list")
-    )
-    first_text = null_if_empty(joined(F.col("_list"), "first", "\n"))
-    own_text = null_if_empty(
-        joined(F.col("_list"), "own", F.when(F.coalesce("_node", F.lit(True)), "\n").otherwise(", "))
+    # Of the ports before the first strand, and of a node's, whole lines are listed.
+    separator = F.when(F.col("_is_first") | F.coalesce("_node", F.lit(True)), "\n").otherwise(", ")
+    lists = ordered_text(
+        entries, [*slot, "_is_first"], F.col("_entry"), [F.col("_at")], separator, part_bytes, "puertos"
     )
     between = F.when(F.col("_node"), "\n").otherwise(", ")
-    texts = listed.select(*slot, "part", first_text.alias("_first"), own_text.alias("_own")).withColumn(
+    of = lambda first: null_if_empty(F.max(F.when(F.col("_is_first") == first, F.col("puertos"))))
+    texts = first_part(lists).groupBy(*slot).agg(of(True).alias("_first"), of(False).alias("_own")).withColumn(
         "_ports",
         F.coalesce(F.concat("_first", between, "_own"), F.col("_first"), F.col("_own")),
     )
@@ -220,10 +242,10 @@ def trace_elements(
     no_order = [F.lit(None).cast(t).alias(n) for n, t in carried.select(*order).dtypes]
     placed = [*keys, *cut_names, *order]
 
-    def event(rows: DataFrame, where: list, step: int, part, element, cable, hilo, write=True) -> DataFrame:
+    def event(rows: DataFrame, where: list, step: int, element, cable, hilo, write=True) -> DataFrame:
         as_col = lambda c: c if isinstance(c, Column) else F.lit(c)
         return rows.select(
-            *where, F.lit(step).alias("step"), as_col(part).cast("bigint").alias("part"),
+            *where, F.lit(step).alias("step"), F.lit(0).cast("bigint").alias("part"),
             as_col(element).alias("elemento"), as_col(cable).alias("cable"), as_col(hilo).alias("hilo"),
             as_col(write).alias("write"),
         )
@@ -249,28 +271,28 @@ def trace_elements(
     )
     at_end = [*keys, *no_cut, *no_order]
     events = cut_lineage(
-        event(closing.join(texts, [*keys, "_b_at"]), placed, CLOSED, c("part"), whole, c("_cable"), c("_b_strand"))
+        event(closing.join(texts, [*keys, "_b_at"]), placed, CLOSED, whole, c("_cable"), c("_b_strand"))
         .unionByName(
             event(at_once.join(texts.filter("_first IS NOT NULL"), [*keys, "_b_at"]), placed, CLOSED_AT_ONCE,
-                  c("part"), only_first, c("_cable"), c("_b_strand"))
+                  only_first, c("_cable"), c("_b_strand"))
         )
-        .unionByName(event(splices, placed, SPLICE, 0, c("_splice"), c("_cable"), strand, write))
+        .unionByName(event(splices, placed, SPLICE, c("_splice"), c("_cable"), strand, write))
         .unionByName(
-            event(still_open.join(texts, [*keys, "_b_at"]), at_end, OPEN_AT_END, c("part"), whole, c("_cable"), c("_b_strand"))
+            event(still_open.join(texts, [*keys, "_b_at"]), at_end, OPEN_AT_END, whole, c("_cable"), c("_b_strand"))
         )
         .unionByName(
-            event(texts.filter("_b_at IS NULL"), at_end, INITIAL, c("part"),
+            event(texts.filter("_b_at IS NULL"), at_end, INITIAL,
                   F.concat(F.lit("NODO INICIAL | "), "_first"), "", "")
         )
     )
     row = ["elemento", "cable", "hilo"]
     met = collapse_repeats(
-        events.filter(c("write") & (c("step") <= SPLICE)), keys, cut_names, [*order, "step", "part"], [*row, "part"]
+        events.filter(c("write") & (c("step") <= SPLICE)), keys, cut_names, [*order, "step"], row
     )
 
     # The last splice is written at the end if it was not, and the open building unless
     # it repeats the row before. One row per trace on every side of these joins.
-    when = F.struct(*order, "step", "part")
+    when = F.struct(*order, "step")
     last_met = met.groupBy(*keys).agg(
         F.max_by(F.struct(*row), when).alias("_last"),
         F.max(F.when(c("step") == SPLICE, at)).alias("_written_at"),
@@ -282,18 +304,18 @@ def trace_elements(
         "_forced", ~c("_splice_at").eqNullSafe(c("_written_at"))
     )
     forced = event(
-        ends.filter("_forced").select(*keys, *no_order, "_spl.*"), [*keys, *order], FORCED_SPLICE, 0, *map(c, row)
+        ends.filter("_forced").select(*keys, *no_order, "_spl.*"), [*keys, *order], FORCED_SPLICE, *map(c, row)
     )
     before = last_met.join(ends.select(*keys, "_forced", "_spl"), keys, "full").select(
         *keys, F.when(c("_forced"), c("_spl")).otherwise(c("_last")).alias("_before")
     )
     final = (
         events.filter(c("step") > SPLICE).join(before, keys, "left")
-        .filter((c("step") != OPEN_AT_END) | (c("part") > 0) | ~c("_before").eqNullSafe(F.struct(*row)))
+        .filter((c("step") != OPEN_AT_END) | ~c("_before").eqNullSafe(F.struct(*row)))
         .drop("_before")
     )
     out = [*keys, *order, "step", "part", *row]
-    return met.select(*out).unionByName(forced.select(*out)).unionByName(final.select(*out))
+    return met.select(*out).unionByName(forced.select(*out)).unionByName(final.select(*out)), lists
 
 
 # --- anomalies -------------------------------------------------------------------------
@@ -384,13 +406,43 @@ def ring_owners(sheet: DataFrame) -> DataFrame:
 
 def trace_report(
     files: DataFrame, elements: DataFrame, owners: DataFrame, order: Sequence[str] = ("line_no", "step", "part"),
-    limit: int = CELL_ENTRIES, only_faults: bool = True,
+    part_bytes: int = PART_BYTES, only_faults: bool = True,
 ) -> DataFrame:
-    """``(archivo, hoja, estado, parte)`` per trace that is not OK.
+    """``(archivo, hoja, estado, parte)``, one row per trace that is not OK.
 
     ``files``: file_path, folder, stem, one row per trace. The file name carries the most
-    frequent owner of the folder's rings (ties by name; an empty owner can win).
+    frequent owner of the folder's rings (ties by name; an empty owner can win). The state
+    holds part 0 of the trace's messages (``parte`` says so); :func:`state_lists` has all.
     """
+    whole, both = _states(files, elements, owners, order)
+    state = first_part(state_lists(both, part_bytes))
+    name = F.when(F.col("_usual") == "", F.concat("folder", F.lit(".xlsx"))).otherwise(
+        F.concat("folder", F.lit("_"), "_usual", F.lit(".xlsx"))
+    )
+    rows = whole.join(state, "file_path", "left").select(
+        name.alias("archivo"), F.col("stem").alias("hoja"),
+        F.coalesce("estado", F.lit("OK")).alias("estado"), F.lit(0).cast("bigint").alias("parte"),
+    )
+    return rows.filter("estado <> 'OK'") if only_faults else rows
+
+
+def state_lists(messages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """List table of the messages of every trace in order: file_path, part, entries, estado."""
+    return ordered_text(
+        messages, ["file_path"], F.col("message"), [F.col("level"), F.col("first")], " | ", part_bytes, "estado"
+    )
+
+
+def trace_messages(
+    files: DataFrame, elements: DataFrame, owners: DataFrame, order: Sequence[str] = ("line_no", "step", "part")
+) -> DataFrame:
+    """(file_path, level, first, message) of every trace, its own messages and its strands'."""
+    return _states(files, elements, owners, order)[1]
+
+
+def _states(
+    files: DataFrame, elements: DataFrame, owners: DataFrame, order: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
     elements = cut_lineage(elements)  # counted per trace and per strand below
     placed = files.withColumn("anillo", ring_of_file("stem")).join(owners, "anillo", "left").withColumns(
         {"responsable": F.coalesce("responsable", F.lit("")), "total_clientes": F.coalesce("total_clientes", F.lit(""))}
@@ -419,19 +471,7 @@ def trace_report(
         "message IS NOT NULL"
     )
     found = strand_anomalies(elements, "file_path", order)
-    both = found.unionByName(own, allowMissingColumns=True)
-    state = ordered_text(
-        both, ["file_path"], F.col("message"), [F.col("level"), F.col("first"), F.col("message")],
-        F.struct("level", F.floor(F.col("first")["o0"] / LINES_PER_CHUNK)), " | ", limit, "_state",
-    )
-    name = F.when(F.col("_usual") == "", F.concat("folder", F.lit(".xlsx"))).otherwise(
-        F.concat("folder", F.lit("_"), "_usual", F.lit(".xlsx"))
-    )
-    rows = whole.join(state, "file_path", "left").select(
-        name.alias("archivo"), F.col("stem").alias("hoja"),
-        F.coalesce("_state", F.lit("OK")).alias("estado"), F.coalesce("part", F.lit(0)).cast("bigint").alias("parte"),
-    )
-    return rows.filter("estado <> 'OK'") if only_faults else rows
+    return whole, found.unionByName(own, allowMissingColumns=True)
 
 
 def missing_files(files: DataFrame, owners: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hilvan.functions import rules as R
-from hilvan.operators.prioritize import prioritise
+from hilvan.operators.prioritize import leading_findings, message_lists, prioritise
 from hilvan.plans import audit, audit_cables, audit_ports, audit_splices
 from hilvan.plans.findings import cable_owners
 
@@ -71,9 +71,11 @@ def test_prioritise(spark):
     ]
     columns = ("entity", "id", "value", "owner", "message", "priority", "field")
     assert found(prioritise(df, "R"), *columns) == expected
-    split = prioritise(df, "R", limit=1)
-    messages = {m for r in split.filter("id = '1'").collect() for m in r.message.split(" | ")}
-    assert messages == {"TIPO DE GRUPO b", "actual: a"}
+    short = prioritise(df, "R", part_bytes=5).collect()
+    assert len(short) == len(expected)
+    assert {r.message for r in short if r.id == "1"} == {"TIPO DE GRUPO b"}
+    lists = message_lists(leading_findings(df, "R"), part_bytes=5).filter("id = '1'").collect()
+    assert [(r.part, r.message) for r in sorted(lists, key=lambda r: r.part)] == [(0, "TIPO DE GRUPO b"), (3, "actual: a")]
 
 
 def test_splice_chain_rules(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hilvan.operators import groups as G
 from hilvan.operators import ordered as O
 from hilvan.operators import sequence as S
-from hilvan.operators.ports import consolidate
+from hilvan.operators.ports import consolidate, consolidated_lists
 
 
 def skewed(n=900, seed=3):
@@ -45,12 +45,14 @@ def test_minority_rows(df, rows):
     assert sorted(r.seq for r in G.minority_rows(df, ["k"], "v", ["seq"]).collect()) == expected
 
 
-@pytest.mark.parametrize("limit", [7, 100_000])
-def test_ordered_text_is_whole(df, rows, limit):
-    out = G.ordered_text(df, ["k"], F.col("v"), [F.col("seq")], F.floor(F.col("seq") / 50), "-", limit)
+@pytest.mark.parametrize("part_bytes", [1, 7, 100, 1 << 20])
+def test_ordered_text_is_whole_for_any_part_size(df, rows, part_bytes):
+    out = G.ordered_text(df, ["k"], F.col("v"), [F.col("seq")], "-", part_bytes)
     got = defaultdict(list)
     for r in sorted(out.collect(), key=lambda r: (r.k, r.part)):
-        assert r.entries <= limit
+        start = len("-".join(got[r.k]).encode()) + (len(got[r.k]) > 0)
+        assert r.part == start // part_bytes
+        assert len(r.text.encode()) < part_bytes + max(len(v) for _, v, *_ in rows) + 1
         got[r.k].append(r.text)
     expected = defaultdict(list)
     for k, v, *_ in rows:
@@ -58,6 +60,24 @@ def test_ordered_text_is_whole(df, rows, limit):
     assert {k: "-".join(parts) for k, parts in got.items()} == {k: "-".join(vs) for k, vs in expected.items()}
 
 
+def test_ordered_text_cases(spark):
+    """Nulls leave no trace, null keys and equal rows are kept, a long entry isn't divided."""
+    rows = [(None, "a", 1), (None, "a", 1), ("k", None, 1), ("k", "é" * 30, 2), ("k", "", 3), ("k", "z", 4), ("n", None, 1)]
+    df = spark.createDataFrame(rows, "k string, v string, seq int")
+    got = G.ordered_text(df, ["k"], F.col("v"), [F.col("seq")], ", ", 10).collect()
+    assert {(r.k, r.part, r.entries, r.text) for r in got} == {
+        (None, 0, 2, "a, a"), ("k", 0, 1, "é" * 30), ("k", 6, 2, ", z"),
+    }
+    assert G.ordered_text(df.limit(0), ["k"], F.col("v"), [F.col("seq")], ", ").collect() == []
+
+
+def test_running_bytes_splits_a_hot_group(spark):
+    """One group of equal dates lies in several chunks, and the sums run through them."""
+    df = spark.range(5000).selectExpr("'hot' AS k", "DATE '2024-01-01' AS day", "id", "id % 3 AS size")
+    out = G.running_bytes(df.repartition(7), ["k"], ["day", "id"], "size", "at").collect()
+    assert [r["at"] for r in sorted(out, key=lambda r: r.id)] == [sum(i % 3 for i in range(n % 3)) + n // 3 * 3 for n in range(5000)]
+
+
 def test_position_within(df, rows):
     out = G.position_within(df, ["k"], [F.col("n"), F.col("seq")], F.floor(F.col("n") / 7), "p")
     got = {r.seq: r.p for r in out.collect()}
@@ -148,7 +168,7 @@ def test_state_sequence(spark):
 def test_similar_names(spark):
     names = ["ACME SAS", "ACME SAS", "Acme S.A.S.", "acme s a s", "OTRA", "otra.", "x sede", "X SEDE", None, ""]
     df = spark.createDataFrame([(str(i), n, i) for i, n in enumerate(names)], "id string, name string, seq int")
-    got = {r.name: (r.best, r.ids) for r in G.similar_names(df, "name", "id", ["seq"], F.lit(0)).collect()}
+    got = {r.name: (r.best, r.ids) for r in G.similar_names(df, "name", "id", ["seq"]).collect()}
     assert got == {"Acme S.A.S.": ("ACME SAS", "2"), "acme s a s": ("ACME SAS", "3"), "otra.": ("OTRA", "5")}
 
 
@@ -157,9 +177,10 @@ def test_consolidate_copies_and_hot_group(spark):
     df = spark.createDataFrame(rows, "k string, v string, n string, seq bigint")
     one = consolidate(df, {"v": "°", "n": "+"}, ["seq"], numeric="n")
     assert {(r.k, r.v, r.n, r.parte) for r in one.collect()} == {("a", "x°y", "3+3+10", 0), (None, "q°r", "2", 0)}
-    parts = consolidate(df, {"v": "°", "n": "+"}, ["seq"], numeric="n", bucket=F.col("seq"), limit=2)
-    assert {(r.k, r.v, r.n, r.parte) for r in parts.collect()} == {
-        ("a", "x°y", "3+3", 0), ("a", "", "10", 1), (None, "q°r", "2", 0),
+    short = consolidate(df, {"v": "°", "n": "+"}, ["seq"], numeric="n", part_bytes=2)
+    assert {(r.k, r.v, r.n, r.parte) for r in short.collect()} == {("a", "x", "3", 0), (None, "q", "2", 0)}
+    whole, lists = consolidated_lists(df, {"v": "°", "n": "+"}, ["seq"], numeric="n", part_bytes=4)
+    got = whole.join(lists, "_key").collect()
+    assert {(r.k, r.lista, r.part, r.entries, r.texto) for r in got} == {
+        ("a", "v", 0, 2, "x°y"), ("a", "n", 0, 2, "3+3"), ("a", "n", 1, 1, "10"), (None, "v", 0, 2, "q°r"), (None, "n", 0, 1, "2"),
     }
-    with pytest.raises(ValueError):
-        consolidate(df, {"v": "°", "n": "+"}, ["seq"], numeric="n", limit=2)

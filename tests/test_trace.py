@@ -91,11 +91,15 @@ def test_each_named_building_with_ports_appears_once(spark):
         assert named == [f"(ED) {x[10:-1]}" for x in traces[name] if x.startswith("Edificio")]
 
 
-def test_long_port_list_continues(spark):
-    lines = ["Fibre (1: 1) Cable de FO (Ductado 12h, 'C')", "Edificio 'X'"] + [f"Port ({i})" for i in range(7)]
+def test_long_port_list_continues_in_its_table(spark):
+    lines = ["Port (8)", "Fibre (1: 1) Cable de FO (Ductado 12h, 'C')", "Edificio 'X'"] + [f"Port ({i})" for i in range(7)]
     df = spark.createDataFrame([("f", i, x) for i, x in enumerate(lines)], "file_path string, line_no bigint, line string")
-    parts = T.trace_elements(df, limit=3).orderBy("part").collect()
-    assert [p.elemento for p in parts] == ["(ED) X | 0, 1, 2", "(ED) X | 3, 4, 5", "(ED) X | 6"]
+    rows = T.trace_elements(df, part_bytes=9).collect()
+    assert [(r.elemento, r.part) for r in rows] == [("(ED) X | Port (8), 0, 1, 2", 0)]
+    lists = T.trace_port_lists(df, part_bytes=9).orderBy("before_strands", "part").collect()
+    assert [(r.line_no, r.before_strands, r.puertos) for r in lists] == [
+        (2, False, "0, 1, 2"), (2, False, "3, 4, 5"), (2, False, "6"), (2, True, "Port (8)"),
+    ]
 
 
 def test_report_and_missing(spark):
