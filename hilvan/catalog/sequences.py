@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hilvan.catalog.base import LINE_ORDER, select, shape, table
 from hilvan.operators import ordered as O
 from hilvan.operators import sequence as S
+from hilvan.plans import history
 
 ROWS = [*LINE_ORDER, "l_linestatus", "l_returnflag", "l_linenumber * 3 AS number"]
 
@@ -89,11 +90,34 @@ def as_of(spark, d):
         "user_id", "ts AS at", "event_id AS version_id", "event_type AS version_type", "value AS version_value"
     )
     return O.as_of(
-        objects, versions, ["user_id"], "at", F.to_date("at"),
-        ["version_id", "version_type", "version_value"],
+        objects, versions, ["user_id"], "at", ["version_id", "version_type", "version_value"]
     ).drop("at")
 
 
+OBJECTS = ["l_orderkey * 10 + l_linenumber AS id", "CASE WHEN l_quantity = 7 THEN NULL ELSE l_partkey * 3 END AS version"]
+ALTERNATIVES = [
+    "CASE WHEN o_orderkey % 5 = 0 THEN 'design' ELSE 'gis' END AS dataset_name", "o_orderkey % 4000 + 90 AS version",
+    "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey END AS scheme_id", "o_orderpriority AS alternative_name",
+    "o_orderkey AS seq",
+]
+SCHEMES = [
+    "CASE WHEN c_custkey % 7 = 0 THEN -c_custkey ELSE c_custkey END AS scheme_id", "c_name AS name", "c_mktsegment AS owner",
+    "'U' || CAST(c_custkey % 9 AS STRING) AS modified_by", "CAST(c_custkey % 28 AS STRING) AS modified_at",
+    "CASE WHEN c_acctbal > 0 THEN 'open' ELSE 'closed' END AS status", "c_nationkey AS project_id",
+]
+PROJECTS = [
+    "CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE n_nationkey END AS project_id", "n_name AS name",
+    "'job ' || n_name AS job_title", "CAST(n_regionkey AS STRING) AS owning_group", "'P' AS modified_by",
+    "CAST(n_nationkey AS STRING) AS modified_at",
+]
+
+
+def responsible(spark, d):
+    """Alternative, scheme and project behind the version of every line item."""
+    tables = (("lineitem", OBJECTS), ("orders", ALTERNATIVES), ("customer", SCHEMES), ("nation", PROJECTS))
+    return history.responsible(*[shape(spark, d, name, columns) for name, columns in tables])
+
+
 QUERIES = {
     "sequence_dups": repeats,
     "sequence_gaps": gaps,
@@ -104,6 +128,7 @@ QUERIES = {
     "running_total": counted,
     "first_open_block": open_block,
     "version_asof": as_of,
+    "version_responsible": responsible,
 }
 
 _REST = "l_partkey, l_suppkey, l_extendedprice, l_shipdate"
@@ -151,4 +176,18 @@ WHERE n >= s AND (e IS NULL OR n < e) AND value < 5""",
   arg_min(value, event_id) AS version_value FROM events WHERE event_type <> 'purchase' GROUP BY user_id, ts)
 SELECT o.user_id, o.event_id, v.version_id, v.version_type, v.version_value
 FROM (SELECT * FROM events WHERE event_type = 'purchase') o ASOF LEFT JOIN v ON o.user_id = v.user_id AND v.ts <= o.ts""",
+    "version_responsible": f"""WITH o AS ({select('lineitem', OBJECTS)}),
+a AS (SELECT version, arg_min({{'scheme': scheme_id, 'name': alternative_name}}, seq) AS alt
+      FROM ({select('orders', ALTERNATIVES)}) WHERE dataset_name = 'gis' GROUP BY version),
+s AS ({select('customer', SCHEMES)}), p AS ({select('nation', PROJECTS)}),
+f AS (SELECT o.id, o.version, a.alt FROM o ASOF LEFT JOIN a ON a.version <= o.version)
+SELECT f.id, f.version,
+       CASE WHEN alt IS NULL THEN 'SIN ALTERNATIVA' WHEN s.scheme_id IS NULL THEN 'SIN SCHEME'
+            WHEN p.project_id IS NULL THEN 'SIN PROYECTO' ELSE 'COMPLETO' END AS estado,
+       CASE WHEN alt IS NULL THEN 'No se encontro alternativa para ds!version: ' || coalesce(CAST(f.version AS VARCHAR), 'unset')
+            WHEN s.scheme_id IS NULL THEN 'Scheme no encontrado para id: ' || coalesce(CAST(alt.scheme AS VARCHAR), 'unset') END AS mensaje,
+       alt.name AS alternative_name, s.name AS diseno, s.owner, s.modified_by AS modificado_por, s.modified_at AS fecha_modif,
+       s.status, p.name AS proyecto, p.job_title AS proyecto_job, p.owning_group AS grupo_dueno,
+       p.modified_by AS proyecto_mod_por, p.modified_at AS fecha_mod_proy
+FROM f LEFT JOIN s ON s.scheme_id = alt.scheme LEFT JOIN p ON p.project_id = s.project_id""",
 }

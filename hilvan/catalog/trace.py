@@ -72,6 +72,24 @@ def labels(spark, d):
     )
 
 
+#: Lines with brackets nested to eleven levels, some left open.
+NESTED = [
+    "l_orderkey", "l_linenumber",
+    "'Fibre (1: 1) Cable de FO (Ductado ' || CAST(l_partkey % 90 AS STRING) || 'h' || repeat('(x', CAST(l_partkey % 12 AS INT)) "
+    "|| repeat(')', CAST(l_partkey % 12 - CASE WHEN l_suppkey % 9 = 4 THEN 1 ELSE 0 END AS INT)) || ', ''C' || CAST(l_suppkey AS STRING) "
+    "|| ''') y (''Z'') ' AS fibre",
+    "'at Empalme de Fibra (Tipo 2' || repeat('(', CAST(l_suppkey % 11 AS INT)) || 'a' || repeat(')', CAST(l_suppkey % 11 AS INT)) "
+    "|| ', ''ET' || CAST(l_partkey AS STRING) || '''' || CASE WHEN l_linenumber = 5 THEN '' ELSE ')' END || ' ''W''' AS splice",
+]
+
+
+def nested(spark, d):
+    """Cable and splice labels of lines with deeply nested brackets."""
+    return shape(spark, d, "lineitem", NESTED).select(
+        "l_orderkey", "l_linenumber", T.cable_label(F.col("fibre")).alias("cable"), T.splice_label(F.col("splice")).alias("splice")
+    )
+
+
 QUERIES = {
     "trace_labels": labels,
     "trace_elements": lambda s, d: elements(s, d).withColumn("l_shipdate", F.col("l_shipdate").cast("date")),
@@ -79,6 +97,7 @@ QUERIES = {
     "trace_owners": owners,
     "trace_report": report,
     "trace_missing_files": missing,
+    "trace_labels_nested": nested,
 }
 
 _O = ", ".join(ORDER)
@@ -141,6 +160,14 @@ ow AS (SELECT ring AS anillo, arg_max(responsable, (dt, -seq)) AS responsable, a
 _FILES = f"""fl AS (SELECT *, upper(string_split(stem, '_')[3]) AS anillo FROM ({select('supplier', FILES)}))"""
 
 SQL = {
+    "trace_labels_nested": f"""WITH r AS (SELECT *, row_number() OVER () AS n FROM ({select('lineitem', NESTED)})),
+x AS (SELECT n, 'c' AS kind, split_part(fibre, 'Cable de FO (', 2) AS t FROM r UNION ALL SELECT n, 's', split_part(splice, 'Fibra (', 2) FROM r),
+c AS (SELECT n, kind, t, unnest(string_split(t, '')) AS ch, generate_subscripts(string_split(t, ''), 1) AS i FROM x),
+d AS (SELECT n, kind, t, i, 1 + sum(CASE ch WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER (PARTITION BY n, kind ORDER BY i) AS depth FROM c),
+e AS (SELECT n, kind, left(any_value(t), min(i) - 1) AS inner_text FROM d WHERE depth = 0 GROUP BY n, kind),
+l AS (SELECT n, kind, regexp_extract(inner_text, '''([^'']*)''', 1) AS id, inner_text FROM e WHERE contains(inner_text, chr(39)))
+SELECT l_orderkey, l_linenumber, '(' || regexp_extract(a.inner_text, 'Ductado ([^h]*)h', 1) || 'h) | ' || a.id AS cable, '(EM 2) | ' || b.id AS splice
+FROM r LEFT JOIN l a ON r.n = a.n AND a.kind = 'c' LEFT JOIN l b ON r.n = b.n AND b.kind = 's'""",
     "trace_labels": f"WITH {_R} SELECT file_path, {_O}, num AS fibre, cab AS cable, nm AS building, sp AS splice, pl AS port FROM g",
     "trace_elements": f"WITH {_ELEMENTS} SELECT * EXCLUDE (pos) REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM el",
     "trace_anomalies": f"WITH {_ANOMALIES} SELECT file_path, level, message FROM an WHERE message IS NOT NULL",

@@ -130,17 +130,24 @@ def position_within(
     )
 
 
+def in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "_chunk") -> DataFrame:
+    """Adds ``name``, a chunk number that never decreases along (keys, order).
+
+    Spark's range partitioner draws the chunks from a sample, also in the middle of a group
+    or of a day, so one hot key is as good as many. They are written once, because a second
+    run of the partitioner could draw them elsewhere. Rows with equal keys and order share
+    a chunk: end the order with a column that tells them apart.
+    """
+    return cut_lineage(df.repartitionByRange(*keys, *order).withColumn(name, F.spark_partition_id()))
+
+
 def running_bytes(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: str, name: str) -> DataFrame:
     """Sum of ``size`` over the rows of the group that come earlier, without one task per group.
 
-    Spark's range partitioner cuts all groups into chunks along (keys, order), also in the
-    middle of a group or of a day. Rows are summed inside their chunk, and a slim table with
-    one row per group and chunk carries the sums across. The chunks are written once, because
-    a second run of the partitioner could draw them elsewhere.
+    Rows are summed inside their chunk (:func:`in_chunks`), and a slim table with one row
+    per group and chunk carries the sums across.
     """
-    chunked = cut_lineage(
-        df.repartitionByRange(*keys, *order).withColumn("_chunk", F.spark_partition_id())
-    )
+    chunked = in_chunks(df, keys, order)
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = (
         chunked.groupBy(*keys, "_chunk").agg(F.sum(size).alias("_sum"))

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hilvan.operators.groups import order_struct
+from hilvan.operators.groups import in_chunks, order_struct
 
 
 def carry_forward(
@@ -125,30 +125,31 @@ def first_open_block(
 
 
 def as_of(
-    objects: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, chunk: Column,
+    objects: DataFrame, versions: DataFrame, keys: Sequence[str], at: str,
     values: Sequence[str], order: Sequence[str] = (),
 ) -> DataFrame:
     """For each object the values of the greatest version not above its own.
 
-    Both tables have the key columns and ``at``. Objects keep all their rows; versions
-    with equal ``at`` give the first by ``order``. Rows of both tables are merged and
-    the last version is carried forward per chunk, so there is no range join.
+    Both tables have the key columns (there may be none) and ``at``. Objects keep all their
+    rows; versions with equal ``at`` give the first by ``order``. Rows of both tables are
+    merged, cut into chunks along (keys, version) by Spark's range partitioner, and the last
+    version is carried forward inside a chunk and, by one row per chunk, across: no range
+    join, and neither one dataset nor one version is a hot key.
     """
     unique = versions.groupBy(*keys, at).agg(
         F.min_by(F.struct(*values), order_struct([F.col(c) for c in (order or values)])).alias("_value")
     )
     own = [c for c in objects.columns if c not in (*keys, at)]
     merged = objects.select(
-        *keys, at, F.struct(*own).alias("_object"), F.lit(1).alias("_kind")
+        *keys, at, F.struct(*own).alias("_object"), F.lit(1).alias("_kind"), F.xxhash64(*own).alias("_spread")
     ).unionByName(unique.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
-    # Rows without a key or version match nothing; they must not meet in one chunk.
+    # Rows without a key or version match nothing.
     usable = F.col(at).isNotNull()
     for k in keys:
         usable = usable & F.col(k).isNotNull()
-    carried = carry_forward(
-        merged.filter(usable).withColumn("_chunk", chunk), keys, ["_chunk"], [at, "_kind"],
-        {"_found": F.col("_value")},
-    )
+    along = [at, "_kind", "_spread"]
+    chunked = in_chunks(merged.filter(usable).na.fill(0, ["_spread"]), keys, along)
+    carried = carry_forward(chunked, keys, ["_chunk"], along, {"_found": F.col("_value")})
     found = carried.filter("_kind = 1").select(
         *keys, at, "_object.*", *[F.col("_found")[v].alias(v) for v in values]
     )

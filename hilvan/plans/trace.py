@@ -32,11 +32,31 @@ LINES_PER_CHUNK = 50_000
 CLOSED, CLOSED_AT_ONCE, SPLICE = 0, 1, 2
 FORCED_SPLICE, OPEN_AT_END, INITIAL = 10, 11, 12
 
-# Text between balanced parentheses, up to two levels deep; possessive, so that a long
-# line is read once.
-_FLAT = r"[^()]*+"
-_ONE = rf"{_FLAT}(?:\({_FLAT}\){_FLAT})*+"
-_INSIDE = rf"\(({_FLAT}(?:\({_ONE}\){_FLAT})*+)\)"
+def inside_brackets(line: Column, marker: str) -> Column:
+    """Text from the bracket right after the first ``marker`` to the one that closes it.
+
+    Brackets may be nested to any depth: the depth is a running sum over the brackets of the
+    line, which is read once. '' without the marker or without a closing bracket.
+    """
+    opening = marker + "("
+    at = F.locate(opening, line)
+    rest = F.substring(line, at + len(opening), F.length(line))
+    # Brackets in order, and the lengths of the texts before each of them.
+    marks = F.regexp_extract_all(rest, F.lit("([()])"), F.lit(1))
+    texts = F.transform(F.split(rest, "[()]", -1), F.length)
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("length"), F.lit(-1).alias("end"))
+
+    def step(state: Column, one: Column) -> Column:
+        depth = state["depth"] + F.when(one["mark"] == "(", 1).otherwise(-1)
+        length = state["length"] + one["text"]
+        return F.struct(
+            depth.alias("depth"), (length + 1).alias("length"),
+            F.when((state["end"] < 0) & (depth == 0), length).otherwise(state["end"]).alias("end"),
+        )
+
+    brackets = F.filter(F.arrays_zip(marks.alias("mark"), texts.alias("text")), lambda one: one["mark"].isNotNull())
+    end = F.aggregate(brackets, start, step)["end"]
+    return F.when((at > 0) & (end >= 0), F.substring(rest, F.lit(1), end)).otherwise("")
 
 
 def _pick(line: Column, pattern: str, group: int = 1) -> Column:
@@ -50,7 +70,7 @@ def fibre_number(line: Column) -> Column:
 
 def cable_label(line: Column) -> Column:
     """'(48h) | id' of a 'Cable de FO (Ductado 48h, 'id')', null unless both are there."""
-    content = F.regexp_extract(line, r"Cable de FO " + _INSIDE, 1)
+    content = inside_brackets(line, "Cable de FO ")
     strands = null_if_empty(strip(F.regexp_extract(content, r"Ductado ([^h]*)h", 1)))
     cable = _pick(content, r"^[^']*'([^']*)'")
     return F.concat(F.lit("("), strands, F.lit("h) | "), cable)
@@ -68,7 +88,7 @@ def building_label(line: Column) -> Column:
 
 def splice_label(line: Column) -> Column:
     """'(EM 2) | id' or '(EM CL) | id'."""
-    content = F.regexp_extract(line, r"at Empalme de Fibra " + _INSIDE, 1)
+    content = inside_brackets(line, "at Empalme de Fibra ")
     client = r"^[^,]*,[^']*'([^']*)'"
     typed = r"Tipo (\d*)[^,]*,[^']*'([^']*)'"
     return (

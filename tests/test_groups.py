@@ -10,6 +10,7 @@ from hilvan.operators import groups as G
 from hilvan.operators import ordered as O
 from hilvan.operators import sequence as S
 from hilvan.operators.ports import consolidate, consolidated_lists
+from hilvan.plans.history import responsible
 
 
 def skewed(n=900, seed=3):
@@ -140,10 +141,40 @@ def test_first_open_block(spark):
 def test_as_of(spark):
     objects = spark.createDataFrame([("d", 5, "o1"), ("d", 0, "o2"), ("d", 9, "o3"), (None, 4, "o4")], "k string, at int, id string")
     versions = spark.createDataFrame([("d", 5, "b", 2), ("d", 5, "a", 1), ("d", 2, "c", 3), ("e", 1, "z", 4)], "k string, at int, v string, seq int")
-    got = O.as_of(objects, versions, ["k"], "at", F.floor(F.col("at") / 2), ["v"], ["seq"])
+    got = O.as_of(objects, versions, ["k"], "at", ["v"], ["seq"])
     assert {r.id: r.v for r in got.collect()} == {"o1": "a", "o2": None, "o3": "a", "o4": None}
 
 
+def test_as_of_one_hot_version(spark):
+    """Without keys, and with most objects on one version."""
+    objects = spark.range(3000).selectExpr("id", "if(id < 2500, 40, id % 100) AS at")
+    versions = spark.range(10).selectExpr("id * 10 + 5 AS at", "'v' || id AS v")
+    got = O.as_of(objects.repartition(9), versions, [], "at", ["v"]).collect()
+    assert len(got) == 3000
+    assert all(r.v == (f"v{(r['at'] - 5) // 10}" if r["at"] >= 5 else None) for r in got)
+
+
+def test_responsible(spark):
+    objects = spark.createDataFrame([(1, 5), (2, 0), (3, 9), (4, 20), (5, 30), (6, None)], "id long, version long")
+    alternatives = spark.createDataFrame(
+        [("gis", 5, 10, "b", 2), ("gis", 5, 11, "a", 1), ("other", 6, 99, "x", 3), ("gis", 9, 12, "c", 4), ("gis", 20, 77, "d", 5),
+         ("gis", 30, None, "e", 6), ("gis", -1, 10, "never", 0)],
+        "dataset_name string, version long, scheme_id long, alternative_name string, seq int")
+    schemes = spark.createDataFrame(
+        [(11, "n11", "o", "m", "t", "s", 1), (11, "n99", "o", "m", "t", "s", 2), (12, "n12", None, "m", "t", "s", 5)],
+        "scheme_id long, name string, owner string, modified_by string, modified_at string, status string, project_id long")
+    projects = spark.createDataFrame(
+        [(1, "p1", "j", "g", "m", "t"), (None, "p", "j", "g", "m", "t")],
+        "project_id long, name string, job_title string, owning_group string, modified_by string, modified_at string")
+    got = {r.id: r for r in responsible(objects, alternatives, schemes, projects).collect()}
+    assert {i: (r.estado, r.alternative_name, r.diseno, r.proyecto) for i, r in got.items()} == {
+        1: ("COMPLETO", "a", "n11", "p1"), 2: ("SIN ALTERNATIVA", None, None, None), 3: ("SIN PROYECTO", "c", "n12", None),
+        4: ("SIN SCHEME", "d", None, None), 5: ("SIN SCHEME", "e", None, None), 6: ("SIN ALTERNATIVA", None, None, None),
+    }
+    assert got[2].mensaje == "No se encontro alternativa para ds!version: 0"
+    assert got[4].mensaje == "Scheme no encontrado para id: 77" and got[1].mensaje is None
+
+
 def test_sequence(spark):
     numbers = {"A": [1, 2, 4, 9, 20], "B": [1, 1, 1, 5], "C": [7]}
     rows = [(g, n, i, f"{g}{i}") for g, ns in numbers.items() for i, n in enumerate(ns)]

@@ -1,6 +1,7 @@
 """Trace elements of known traces, and properties that hold for any trace."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -120,3 +121,20 @@ def test_report_and_missing(spark):
     assert got["x_y_r1"] == ("cab.xlsx", "(FALTA OB C, H1)")
     assert got["x_y_r2"] == ("cab.xlsx", "SIN RESPONSABLE")
     assert [r.archivo for r in T.missing_files(files, owners).collect()] == ["R9"]
+
+
+def test_brackets_at_any_depth(spark):
+    deep = lambda n, text: "(" * n + text + ")" * n
+    rows = [
+        (f"Cable de FO (Ductado 4h {deep(4, 'x')}, 'A') z", "(4h) | A"), (f"Cable de FO (Ductado 9h {deep(10, 'x')}, 'B')", "(9h) | B"),
+        ("Cable de FO (Ductado 4h ((x), 'A'", None), ("Cable de FO ()", None), ("Cable de FO (Ductado 1h) 'C'", None),
+        ("no marker (Ductado 1h, 'C')", None), (f"Cable de FO (Ductado 8h {deep(100_000, '')} 'L')", "(8h) | L"), (None, None),
+        ("Cable de FO (Ductado 2h, 'é(漢)')) x)", "(2h) | é(漢)"),
+    ]
+    df = spark.createDataFrame([(i, line) for i, (line, _) in enumerate(rows)], "i int, line string")
+    start = time.monotonic()
+    got = df.select("i", T.cable_label(F.col("line")).alias("c")).orderBy("i").collect()
+    assert [r.c for r in got] == [c for _, c in rows]
+    assert time.monotonic() - start < 20
+    line = F.lit(f"at Empalme de Fibra (Tipo 3 {deep(7, 'y')}, 'ET9') 'no'")
+    assert spark.range(1).select(T.splice_label(line).alias("s")).first().s == "(EM 3) | ET9"
