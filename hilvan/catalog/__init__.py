@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 NAMES = (
-    "reconcile", "groups", "sequences", "text", "rules", "bulk", "inventory", "ports", "trace", "audits",
+    "reconcile", "groups", "sequences", "text", "rules", "bulk", "inventory", "ports", "trace", "audits", "sheets",
 )
 
 

@@ -75,17 +75,26 @@ def read_trace(
     )
 
 
-def cells(line: Column, width: int) -> Column:
-    """Cells of one CSV line as an array of trimmed text, '' read as null."""
-    schema = ", ".join(f"c{i} STRING" for i in range(width))
-    row = F.from_csv(line, schema, {"mode": "PERMISSIVE"})
-    return F.array(*[null_if_empty(strip(row[f"c{i}"])) for i in range(width)])
+#: One CSV cell and the comma after it; a quoted cell may hold commas and doubled quotes.
+CELL = r'([ \t]*+"[^"]*+(?:""[^"]*+)*+"[ \t]*+|[^,]*+),'
 
 
-# Rows above the data, rows searched for headers, header words by column.
+def cells(line: Column) -> Column:
+    """Raw cells of one CSV line, as many as it has."""
+    return F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(CELL), F.lit(1))
+
+
+def cell_text(cell: Column) -> Column:
+    """Trimmed text of a raw cell without its quotes; null when empty."""
+    trimmed = strip(cell)
+    inner = F.replace(F.regexp_extract(trimmed, r'(?s)^"(.*)"$', 1), F.lit('""'), F.lit('"'))
+    return null_if_empty(F.when(trimmed.startswith('"') & trimmed.endswith('"') & (F.length(trimmed) > 1), strip(inner)).otherwise(trimmed))
+
+
+# First row of data, rows and columns searched for headers, header words by column.
 DATA_STARTS_AT = 7
 HEADER_ROWS = 10
-SHEET_WIDTH = 6
+SEARCHED_COLUMNS = 6
 HEADER_WORDS = (
     ("puerto", ("puerto", "interfaz", "port")),
     ("odf", ("odf",)),
@@ -126,14 +135,19 @@ def _positional_places(first: Column) -> Column:
     return F.struct(*[F.get(places, i).alias(k) for i, (k, _) in enumerate(HEADER_WORDS)])
 
 
-def central_sheets(lines: DataFrame) -> DataFrame:
+def central_sheets(
+    lines: DataFrame, data_starts_at: int = DATA_STARTS_AT, header_rows: int = HEADER_ROWS,
+    searched_columns: int = SEARCHED_COLUMNS,
+) -> DataFrame:
     """Equipment sheets: port, panel, tray and position columns found by header or place.
 
-    ``lines`` come from :func:`read_lines`; all files of a folder at once. Only the first
-    ten lines per file are grouped; the data rows are joined with one row per file.
+    ``lines`` come from :func:`read_lines`; all files of a folder at once. Headers are
+    searched in the first rows and columns that the layout has for them, and only these are
+    grouped; the data rows are joined with one row per file.
     """
-    rows = lines.filter(~blank("line")).withColumn("cells", cells(F.col("line"), SHEET_WIDTH))
-    head = rows.filter(F.col("line_no") <= HEADER_ROWS)
+    first_cells = F.transform(F.slice(cells(F.col("line")), 1, searched_columns), cell_text)
+    rows = lines.filter(~blank("line")).withColumn("cells", first_cells)
+    head = rows.filter(F.col("line_no") <= header_rows)
     cell = F.posexplode("cells").alias("at", "text")
     seen = (
         head.select("file_path", "line_no", cell)
@@ -146,7 +160,7 @@ def central_sheets(lines: DataFrame) -> DataFrame:
         )
         .select("file_path", _header_places(F.col("seen")).alias("_by_header"))
     )
-    data = rows.filter(F.col("line_no") >= DATA_STARTS_AT)
+    data = rows.filter(F.col("line_no") >= data_starts_at)
     first = (
         data.filter(F.get("cells", 1).isNotNull())
         .groupBy("file_path")
@@ -187,25 +201,23 @@ CABLE_HEADERS = {
     "ec": "EC", "port_ec": "PORT_EC", "patcheo": "PATCHEO", "port_ot": "PORT_OT",
     "hilo": "HILO", "anillo_origen": "ANILLO ORIGEN", "bul": "BUL",
 }
-CABLE_WIDTH = 40
 
 
 def cable_sheets(lines: DataFrame, headers: Mapping[str, str] = CABLE_HEADERS) -> DataFrame:
-    """Cable sheets: rows marked ``BUL = 1`` with equipment, port or patch; fibre = file stem."""
-    rows = (
-        lines.filter(~F.col("file").startswith("~$") & ~blank("line"))
-        .withColumn("cells", cells(F.col("line"), CABLE_WIDTH))
-    )
-    place = lambda name: F.when(
-        F.array_contains("_head", name),
-        F.size("_head") - F.array_position(F.reverse("_head"), name),
-    ).cast("int")
+    """Cable sheets: rows marked ``BUL = 1`` with equipment, port or patch; fibre = file stem.
+
+    A sheet may have any number of columns. The places of its headers, the last of equal
+    ones, come from its first line that isn't blank, one row per file.
+    """
+    rows = lines.filter(~F.col("file").startswith("~$") & ~blank("line")).withColumn("cells", cells(F.col("line")))
+    head = rows.groupBy("file_path").agg(F.min_by("cells", "line_no").alias("_cells"))
+    place = lambda name: F.max(F.when(cell_text(F.col("_cell")) == name, F.col("_at")))
     heads = (
-        rows.groupBy("file_path").agg(F.min_by("cells", "line_no").alias("_head"))
-        .select("file_path", *[place(v).alias(f"_p_{k}") for k, v in headers.items()])
+        head.select("file_path", F.posexplode("_cells").alias("_at", "_cell"))
+        .groupBy("file_path").agg(*[place(v).alias(f"_p_{k}") for k, v in headers.items()])
         .filter("_p_ec IS NOT NULL AND _p_port_ec IS NOT NULL AND _p_patcheo IS NOT NULL")
     )
-    value = lambda k: F.get("cells", F.col(f"_p_{k}"))
+    value = lambda k: cell_text(F.get("cells", F.col(f"_p_{k}")))
     return (
         rows.filter("line_no >= 2")
         .join(heads, "file_path")

@@ -134,3 +134,23 @@ def test_failed_rename_leaves_the_old_table(spark, monkeypatch):
     tables.replace_from_self(spark.createDataFrame([(3,)], "a int"), "kept_rows")
     assert [r.a for r in spark.table("kept_rows").collect()] == [3]
     spark.sql("DROP TABLE kept_rows")
+
+
+def test_cells_of_a_line(spark):
+    lines = ['a,b', 'a,', '', '"x, ""y""" , z', '"open,b', '"",c', '"a"b,c', '"a ""b", c', None, "x," * 5000]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    got = df.select("i", F.transform(L.cells(F.col("line")), L.cell_text).alias("c")).orderBy("i").collect()
+    assert [r.c for r in got] == [
+        ["a", "b"], ["a", None], [None], ['x, "y"', "z"], ['"open', "b"], [None, "c"], ['"a"b', "c"], ['a "b', "c"], None,
+        ["x"] * 5000 + [None],
+    ]
+
+
+@pytest.mark.parametrize("width", [60, 600])
+def test_wide_cable_sheets(spark, tmp_path, width):
+    names = [f"c{i}" for i in range(width)]
+    names[width - 7 :] = ["EC", "PORT_EC", "PATCHEO", "PORT_OT", "HILO", "ANILLO ORIGEN", "BUL"]
+    body = [",".join([*([""] * (width - 7)), f"E{i}", "1/1", "T-1/2", "OT", "3", "R", str(i % 2)]) for i in range(4)]
+    (tmp_path / "wide.csv").write_text("\n".join([",".join(names), *body]))
+    rows = L.cable_sheets(L.read_lines(spark, str(tmp_path), "*.csv")).collect()
+    assert {(r.fibra, r.ec, r.patcheo, r.hilo) for r in rows} == {("wide", "E1", "T-1/2", "3"), ("wide", "E3", "T-1/2", "3")}
