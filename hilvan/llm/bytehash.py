@@ -88,7 +88,9 @@ LOWER[65:91] += 32
 class Words:
     """Words of a block of texts: where they lie, whose they are, and their hashes.
 
-    ``is_word`` marks the bytes of words; a gap byte outside them parts the texts.
+    ``is_word`` marks the bytes of words; a gap byte outside them parts the texts. A word's hash
+    is the sum of well-mixed values of its (place, byte) pairs: unlike powers of one base, these
+    have no structure that different words could share.
     """
 
     def __init__(self, texts: list[bytes], is_word: np.ndarray):
@@ -98,7 +100,12 @@ class Words:
         edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
         self.starts, self.ends = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.starts, self.text_starts)  # first word of each text
-        self.hashes = Ranges(self.block).hash(self.starts, self.ends)
+        sizes = self.ends - self.starts
+        at = np.flatnonzero(inside)
+        place = (at - np.repeat(self.starts, sizes)).astype(np.uint64)
+        values = mix((place << np.uint64(8) | self.block[at]) * M1 + M2)
+        sums = np.add.reduceat(values, np.cumsum(sizes) - sizes) if len(at) else values
+        self.hashes = mix(sums + sizes.astype(np.uint64) * M2)
 
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))

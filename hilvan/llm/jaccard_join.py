@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from hilvan.llm.bytehash import M1, M2, SPACED, Words, as_bytes, blocks, mix
 from hilvan.llm.groups import components, stored
-from hilvan.llm.spans import NO_ID, rows_of
+from hilvan.llm.spans import NO_ID, row_name, rows_of
 
 SHINGLE = 5
 PERCENT = 80
@@ -57,6 +57,8 @@ MARK_BITS = 512
 #: Further leaders of a list in each round. Rounds end early once fewer than one answer in
 #: LINK_SHARE is a link; what they leave open is compared pair by pair.
 LEADERS = (8, 64)
+#: Pairs with one leader that a task compares, on average, and texts unpacked at a time.
+FAMILY, SOME_TEXTS = 2_000, 64
 LINK_SHARE = 50
 
 
@@ -185,30 +187,39 @@ def packed_texts(docs: DataFrame, who: DataFrame) -> DataFrame:
 
 
 def compared(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(a, b, o, na, nb): the overlap of each pair, from whole texts (id, packed)."""
+    """(a, b, o, na, nb): the overlap of each pair, from whole texts (id, packed).
+
+    Every ``b`` is sent once to each task that compares it, ahead of its pairs, however many
+    they are; a large family is dealt over several tasks.
+    """
     asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     held = texts.join(asked, "id", "left_semi")
-    one = pairs.join(held.select(F.col("id").alias("a"), F.col("packed").alias("ta")), "a")
-    two = one.join(held.select(F.col("id").alias("b"), F.col("packed").alias("tb")), "b")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    turns = pairs.groupBy("b").agg(F.expr(f"1 + count(1) div {FAMILY}").alias("turns"))
+    dealt = pairs.select("a", "b").join(turns, "b").withColumn("turn", F.expr("pmod(xxhash64(a), turns)"))
+    leaders = dealt.select("b", "turn").distinct().join(held.withColumnRenamed("id", "b"), "b")
+    others = dealt.select("b", "turn", "a").join(held.withColumnRenamed("id", "a"), "a")
+    rows = leaders.select("b", "turn", F.lit(None).cast("long").alias("a"), "packed").unionByName(others)
+    rows = rows.repartition("b", "turn").sortWithinPartitions("b", "turn", F.col("a").asc_nulls_first())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         press = zstandard.ZstdDecompressor()
+        leader, own = None, None
         for batch in batches:
-            out = []
-            rows = list(zip(batch["a"], batch["b"], batch["ta"], batch["tb"], strict=True))
-            for at in range(0, len(rows), 256):
-                some = rows[at : at + 256]
-                packed: dict[object, bytes] = {}
-                for a, b, ta, tb in some:
-                    packed[a], packed[b] = ta, tb
-                place = {k: i for i, k in enumerate(packed)}
-                sets = [s for _, s in batch_sets_of([press.decompress(t) for t in packed.values()], size)]
-                for a, b, _, _ in some:
-                    x, y = sets[place[a]], sets[place[b]]
-                    out.append((a, b, len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
-            yield pd.DataFrame(out, columns=["a", "b", "o", "na", "nb"])
-
-    return two.mapInPandas(run, "a long, b long, o long, na long, nb long")
+            for at in range(0, batch.num_rows, SOME_TEXTS):
+                part = batch.slice(at, SOME_TEXTS)
+                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
+                raw = [press.decompress(t.as_buffer()) for t in part.column("packed")]
+                out = []
+                for i, s in batch_sets_of(raw, size):
+                    if a[i] is None:
+                        leader, own = b[i], s
+                    else:
+                        assert leader == b[i]
+                        out.append((a[i], leader, len(np.intersect1d(s, own, assume_unique=True)), len(s), len(own)))
+                yield pa.RecordBatch.from_pandas(
+                    pd.DataFrame(out, columns=["a", "b", "o", "na", "nb"], dtype="int64"), preserve_index=False)
+
+    return rows.select("b", "a", "packed").mapInArrow(run, "a long, b long, o long, na long, nb long")
 
 
 def batch_sets_of(texts: list[bytes], size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -220,12 +231,9 @@ def linked(table: DataFrame, percent: int) -> DataFrame:
     return table.filter(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o")))
 
 
-def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int, size: int) -> DataFrame:
+def class_links(docs: DataFrame, reps: DataFrame, percent: int, size: int) -> DataFrame:
     """Links (a, b) between class ids that connect every group of classes."""
-    named = made.join(reps, ["d1", "d2", "n"]).filter(
-        (F.col("k") == F.col("who.k")) & (F.col("h") == F.col("who.h")))
-    lists = named.select("id", F.col("n").cast("int").alias("n"), "prefix").dropDuplicates(["id"])
-    entries = lists.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
+    entries = reps.select("id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     n, pos, n2, pos2 = (F.col(c) for c in ("n", "pos", "n2", "pos2"))
     # A smaller set needs to be indexed by fewer shingles than it is probed with.
     short = pos <= n - ceil_of(n * (2 * percent), 100 + percent)
@@ -246,8 +254,7 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
         short2 = pos2 <= n2 - ceil_of(n2 * (2 * percent), 100 + percent)
         return short2 & (n2 <= n) & (100 * n2 >= percent * n) & (room >= overlap_needed(n, n2, percent))
 
-    marks = stored(named.select("id", "n", "mark").dropDuplicates(["id"]).join(
-        crowded.select("id").distinct(), "id", "left_semi"))
+    marks = stored(reps.select("id", "n", "mark").join(crowded.select("id").distinct(), "id", "left_semi"))
 
     def possible(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose marks allow a link."""
@@ -339,32 +346,48 @@ def class_links(docs: DataFrame, made: DataFrame, reps: DataFrame, percent: int,
     return first_links.union(more)
 
 
-def jaccard_components(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE,
-) -> DataFrame:
-    """Every row with its set size and ``component_id``, the least key reachable by links."""
-    base = rows_of(docs, id_column, text)
+def placed_rows(base: DataFrame, percent: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (k, h, n, d1, d2) of ``base``, and per set (d1, d2, n) the first row ``name`` of its group."""
     named = F.struct((F.col("h") < NO_ID).alias("has"), "key")
     made = stored(classes(base, percent, size).withColumn("k", named).drop("key"))
+    who = F.struct("k", "h")
+    # One row per class carries its prefix and mark; what follows never reads them from all rows again.
     reps = stored(made.filter("n > 0").groupBy("d1", "d2", "n").agg(
-        F.min(F.struct("k", "h")).alias("who")).withColumn("id", F.monotonically_increasing_id()))
-    links = class_links(base, made, reps, percent, size)
+        F.min(who).alias("who"), F.min_by(F.struct("prefix", "mark"), who).alias("own")).select(
+        "d1", "d2", "n", "who", "own.*", F.monotonically_increasing_id().alias("id")))
+    links = class_links(base, reps, percent, size)
     group = components(links)
-    placed = reps.select("id", "d1", "d2", "n", F.col("who.k").alias("k")).join(group, "id", "left").withColumn(
+    placed = reps.select("id", "d1", "d2", "n", "who").join(group, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
-    names = placed.groupBy("component").agg(F.min("k").alias("name"))
-    named_classes = placed.join(names, "component").select("d1", "d2", "n", "name")
-    return made.select("k", "n", "d1", "d2").join(named_classes, ["d1", "d2", "n"], "left").select(
+    names = placed.groupBy("component").agg(F.min("who").alias("name"))
+    return made.select("k", "h", "n", "d1", "d2"), placed.join(names, "component").select("d1", "d2", "n", "name")
+
+
+def jaccard_components(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE,
+) -> DataFrame:
+    """Every row with its set size and ``component_id``, the least key reachable by links."""
+    made, sets = placed_rows(rows_of(docs, id_column, text), percent, size)
+    name = F.coalesce("name.k", "k")  # rows without words name themselves
+    return made.join(sets, ["d1", "d2", "n"], "left").select(
         F.when(F.col("k.has"), F.col("k.key")).alias(id_column), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.when(F.col("name.has"), F.col("name.key"))).otherwise(
-            F.when(F.col("k.has"), F.col("k.key"))).alias("component_id"),
+        F.when(name["has"], name["key"]).alias("component_id"),
     )
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT,
              size: int = SHINGLE) -> DataFrame:
-    """One document of each group, the one that ``component_id`` names; rows without words stay."""
-    found = jaccard_components(docs, id_column, text, percent, size)
-    gone = found.filter(~F.col(id_column).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_column).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_column].eqNullSafe(gone["__gone"]), "left_anti")
+    """One row of each group, its first by id; rows without words stay.
+
+    Rows are told apart by id and text, so a repeated id loses only the texts that have a copy
+    elsewhere, and of rows equal in both one stays.
+    """
+    made, sets = placed_rows(rows_of(docs, id_column, text), percent, size)
+    same = (F.col("name.k") == F.col("k")) & (F.col("name.h") == F.col("h"))
+    stays = made.join(sets, ["d1", "d2", "n"], "left").filter((F.col("n") == 0) | same).select(
+        F.col("k.key").alias("__key"), F.col("h").alias("__h"), (F.col("n") == 0).alias("__bare")).distinct()
+    key, h = row_name(docs, id_column, text)
+    marked = docs.select(F.struct(*docs.columns).alias("__row"), key.alias("__key"), h.alias("__h")).join(
+        stays, ["__key", "__h"])
+    once = marked.filter("NOT __bare").dropDuplicates(["__key", "__h"])
+    return marked.filter("__bare").unionByName(once).select("__row.*")

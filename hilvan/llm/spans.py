@@ -16,19 +16,22 @@ from hilvan.llm.bytehash import as_bytes
 NO_ID = 1 << 32
 
 
-def rows_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(key, h, text): the id and a hash of the text together name a row; equal rows share them.
+def row_name(docs: DataFrame, id_column: str, text: str) -> tuple[Column, Column]:
+    """Key and hash that together name a row; equal rows share them.
 
-    Neither is null: a null id is written as nought or nothing, and marked in ``h``, so that
+    Neither is null: a null id is written as nought or nothing, and marked in the hash, so that
     ids pass through pandas unchanged.
     """
     key = F.col(id_column)
     zero = F.lit("0").cast(docs.schema[id_column].dataType)
-    return docs.select(
-        F.coalesce(key, zero).alias("key"),
-        (F.hash(text).cast("long").bitwiseAND(F.lit(NO_ID - 1)) + F.when(key.isNull(), NO_ID).otherwise(0)).alias("h"),
-        F.col(text).alias("text"),
-    )
+    h = F.hash(text).cast("long").bitwiseAND(F.lit(NO_ID - 1)) + F.when(key.isNull(), NO_ID).otherwise(0)
+    return F.coalesce(key, zero), h
+
+
+def rows_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(key, h, text): the name of each row (:func:`row_name`) and its text."""
+    key, h = row_name(docs, id_column, text)
+    return docs.select(key.alias("key"), h.alias("h"), F.col(text).alias("text"))
 
 
 def id_of(key: str = "key", h: str = "h") -> Column:

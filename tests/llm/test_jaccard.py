@@ -93,3 +93,31 @@ def test_marks_differ_in_no_more_bits_than_sets_in_elements():
         bits = sum(int(v).bit_count() for v in (J.mark_of(x) ^ J.mark_of(y)).view(np.uint64))
         assert bits <= len(np.setxor1d(x, y))
         assert not (J.mark_of(x) ^ J.mark_of(x)).any()
+
+
+def test_words_of_equal_structure_differ():
+    """Words that powers of one base mod 2**64 can't tell apart."""
+    from hilvan.llm.bytehash import SPACED, Words
+
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    one, two, again = Words([f"{word} {other}".encode(), word.encode()], SPACED).hashes
+    assert one != two and one == again
+
+
+def test_keep_one_keeps_rows_not_ids(docs):
+    far = [" ".join(f"{c}{i}" for i in range(9)) for c in "abcd"]
+    rows = [(3, far[0]), (5, far[0]), (5, far[1]), (7, far[2]), (7, far[2]), (None, far[3]), (9, far[3]), (8, None), (8, None), (8, "")]
+    got = J.keep_one(docs(rows))
+    assert got.columns == docs(rows).columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    assert kept == sorted([(3, far[0]), (5, far[1]), (7, far[2]), (None, far[3]), (8, None), (8, None), (8, "")], key=repr)
+
+
+def test_large_family_is_dealt_over_tasks(docs, monkeypatch):
+    monkeypatch.setattr(J, "FAMILY", 3)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words[:i], f"x{i}", *words[i:]])) for i in range(40)]
+    assert {r.component_id for r in J.jaccard_components(docs(rows)).collect()} == {0}

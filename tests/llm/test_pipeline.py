@@ -41,5 +41,5 @@ def test_stages_keep_the_columns_and_take_nulls(spark):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
