@@ -136,6 +136,18 @@ def mark_of(s: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(places, minlength=MARK_BITS) & 1).astype(np.uint8)).view(np.int64)
 
 
+def wide_mark_of(s: np.ndarray) -> np.ndarray:
+    """Parities by low bits, at least two places an element; halves laid over each other give half the size."""
+    bits = max(MARK_BITS, 1 << (2 * len(s) - 1).bit_length() if len(s) else 0)
+    places = (s & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+
+
+#: Bits in which two wide marks (columns big and small) differ; linked sets differ in size by less than 2.
+WIDE_BITS = """aggregate(sequence(0, size(small) - 1), 0L, (sum, i) -> sum + bit_count(
+    big[i] ^ small[i] ^ if(size(big) > size(small), big[i + size(small)], 0L)))"""
+
+
 def ceil_of(x: Column, by: int) -> Column:
     """ceil(x / by) of whole numbers."""
     up = x.cast("long") + (by - 1)
@@ -160,12 +172,12 @@ def classes(docs: DataFrame, percent: int, size: int) -> DataFrame:
                 d2 = int(np.bitwise_xor.reduce(mix(s ^ M2))) if n else 0
                 keep = n - -(-n * percent // 100) + 1 if n else 0
                 prefix = ordered(s, shared.value)[:keep].view(np.int64)
-                out.append((key[0], key[1], n, d1 - (1 << 64) * (d1 >> 63), d2 - (1 << 64) * (d2 >> 63), prefix, mark_of(s)))
-            table = pd.DataFrame(out, columns=["key", "h", "n", "d1", "d2", "prefix", "mark"])
-            yield table
+                out.append((key[0], key[1], n, d1 - (1 << 64) * (d1 >> 63), d2 - (1 << 64) * (d2 >> 63), prefix, mark_of(s), wide_mark_of(s)))
+            yield pd.DataFrame(out, columns=["key", "h", "n", "d1", "d2", "prefix", "mark", "wide"])
 
     kind = docs.schema["key"].dataType.simpleString()
-    return docs.mapInPandas(run, f"key {kind}, h long, n long, d1 long, d2 long, prefix array<long>, mark array<long>")
+    return docs.mapInPandas(run, f"key {kind}, h long, n long, d1 long, d2 long, "
+                               "prefix array<long>, mark array<long>, wide array<long>")
 
 
 def packed_texts(docs: DataFrame, who: DataFrame) -> DataFrame:
@@ -254,7 +266,7 @@ def class_links(docs: DataFrame, reps: DataFrame, percent: int, size: int) -> Da
         short2 = pos2 <= n2 - ceil_of(n2 * (2 * percent), 100 + percent)
         return short2 & (n2 <= n) & (100 * n2 >= percent * n) & (room >= overlap_needed(n, n2, percent))
 
-    marks = stored(reps.select("id", "n", "mark").join(crowded.select("id").distinct(), "id", "left_semi"))
+    marks = stored(reps.select("id", "n", "mark", "wide").join(crowded.select("id").distinct(), "id", "left_semi"))
 
     def possible(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose marks allow a link."""
@@ -265,12 +277,22 @@ def class_links(docs: DataFrame, reps: DataFrame, percent: int, size: int) -> Da
         room = F.col("na") + F.col("nb") - 2 * overlap_needed(F.col("na"), F.col("nb"), percent)
         return both.filter(differ <= room).select(*pairs.columns)
 
+    def likely(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose wide marks allow a link; the marks of long sets are wide enough to tell."""
+        both = pairs.join(marks.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")), "a")
+        both = both.join(marks.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb")), "b")
+        larger = F.size("wa") >= F.size("wb")
+        both = both.withColumn("big", F.when(larger, F.col("wa")).otherwise(F.col("wb"))).withColumn(
+            "small", F.when(larger, F.col("wb")).otherwise(F.col("wa")))
+        room = F.col("na") + F.col("nb") - 2 * overlap_needed(F.col("na"), F.col("nb"), percent)
+        return both.filter(F.expr(WIDE_BITS) <= room).select("a", "b")
+
     def ask(met: DataFrame, by: list[str], before: DataFrame | None) -> DataFrame:
         """Answers for each entry and the leader that it meets in most lists; ``met`` (a, b, c, ...)."""
         if before is not None:
             met = met.join(before.select("a", "b"), ["a", "b"], "left_anti")
         best = possible(met).groupBy(*by).agg(F.max(F.struct("c", "b", "a")).alias("best"))
-        pairs = stored(best.select(F.col("best.a").alias("a"), F.col("best.b").alias("b")).distinct())
+        pairs = stored(likely(best.select(F.col("best.a").alias("a"), F.col("best.b").alias("b")).distinct()))
         return stored(compared(pairs, texts, size))
 
     def mixed_rows(rows: DataFrame, group: DataFrame) -> DataFrame:
@@ -339,7 +361,7 @@ def class_links(docs: DataFrame, reps: DataFrame, percent: int, size: int) -> Da
         & near(n, pos, F.col("n_y"), F.col("pos_y"))
         & (most.isNull() | (most >= need))
     ).select(F.col("id").alias("a"), F.col("id_y").alias("b")).distinct()
-    left = stored(possible(left.join(answers.select("a", "b"), ["a", "b"], "left_anti")))
+    left = stored(likely(possible(left.join(answers.select("a", "b"), ["a", "b"], "left_anti"))))
     if left.isEmpty():
         return first_links
     more = linked(compared(left, texts, size), percent).select("a", "b")
@@ -353,7 +375,7 @@ def placed_rows(base: DataFrame, percent: int, size: int) -> tuple[DataFrame, Da
     who = F.struct("k", "h")
     # One row per class carries its prefix and mark; what follows never reads them from all rows again.
     reps = stored(made.filter("n > 0").groupBy("d1", "d2", "n").agg(
-        F.min(who).alias("who"), F.min_by(F.struct("prefix", "mark"), who).alias("own")).select(
+        F.min(who).alias("who"), F.min_by(F.struct("prefix", "mark", "wide"), who).alias("own")).select(
         "d1", "d2", "n", "who", "own.*", F.monotonically_increasing_id().alias("id")))
     links = class_links(base, reps, percent, size)
     group = components(links)

@@ -93,6 +93,10 @@ def test_marks_differ_in_no_more_bits_than_sets_in_elements():
         bits = sum(int(v).bit_count() for v in (J.mark_of(x) ^ J.mark_of(y)).view(np.uint64))
         assert bits <= len(np.setxor1d(x, y))
         assert not (J.mark_of(x) ^ J.mark_of(x)).any()
+        big, small = sorted((J.wide_mark_of(x), J.wide_mark_of(y)), key=len, reverse=True)
+        while len(big) > len(small):
+            big = big[: len(big) // 2] ^ big[len(big) // 2 :]
+        assert sum(int(v).bit_count() for v in (big ^ small).view(np.uint64)) <= len(np.setxor1d(x, y))
 
 
 def test_words_of_equal_structure_differ():
@@ -121,3 +125,18 @@ def test_large_family_is_dealt_over_tasks(docs, monkeypatch):
     words = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join([*words[:i], f"x{i}", *words[i:]])) for i in range(40)]
     assert {r.component_id for r in J.jaccard_components(docs(rows)).collect()} == {0}
+
+
+def test_long_texts_by_wide_marks(docs):
+    """Long sets around the limit, also where the marks of two sets differ in size."""
+    rng, rows = random.Random(9), []
+    for i, n in enumerate((1000, 1020, 1040, 2040, 2060)):
+        words = [f"v{rng.randrange(10**6)}" for _ in range(n)]
+        for j, (changes, cut) in enumerate(((0, 0), (15, 0), (21, 10), (25, 0), (0, 180), (200, 0))):
+            other = list(words[cut:])
+            for at in range(changes):
+                other[at * len(other) // max(1, changes)] = f"c{rng.randrange(10**6)}"
+            rows.append((10 * i + j, " ".join(other)))
+    want = brute(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(docs(rows)).collect()}
+    assert got == want
