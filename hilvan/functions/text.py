@@ -99,11 +99,14 @@ def clean_port(c: Column | str) -> Column:
 
 
 def port_parts(c: Column | str) -> Column:
-    """'XG 3/0/12' -> struct(slot, mid, number); null unless three integers."""
+    """'XG 3/0/12' -> struct(slot, mid, number); null unless three integers.
+
+    A number beyond 64 bits is null in its field, the others stay.
+    """
     text = strip(F.regexp_replace(as_column(c), r"^[A-Z]+[\s-]?", ""))
     parts = F.split(text, "/")
     # The pattern comes first: casting text that is no number costs an exception per row.
-    integer = r"\s*[+-]?\d{1,18}\s*"
+    integer = r"\s*[+-]?\d+\s*"
     return F.when(
         text.rlike(f"^{integer}/{integer}/{integer}$"),
         F.struct(
