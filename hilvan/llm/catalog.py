@@ -118,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_decontaminate": oracles.OP4_DECONTAMINATE,
+    "op9_quality": oracles.OP9_QUALITY,
+    "op10_jaccard": oracles.OP10_JACCARD,
     "op11_sources": oracles.OP11_SOURCES,
     "op13_search": oracles.OP13_SEARCH,
 }

@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 def stored(df: DataFrame) -> DataFrame:
     """Writes ``df`` as a table in the folder of ``spark.checkpoint.dir`` and reads it back.
 
-    As durable as a checkpoint, compressed, and read column by column. Where the setting is
-    absent, ``spark.sql.warehouse.dir`` is used, which a cluster shares as well.
+    As durable as a checkpoint, compressed, and read column by column. Only a local session
+    without the setting uses its warehouse folder; a cluster without one is an error, because
+    a folder of one machine isn't seen by the others.
     """
     spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set on this cluster")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     path = f"{shared.rstrip('/')}/hilvan-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
