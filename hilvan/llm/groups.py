@@ -3,14 +3,44 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-def stored(df: DataFrame) -> DataFrame:
+
+@contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query go when the query ends, not when the driver collects garbage.
+
+    For jobs that write a table after each step, so that no later step reads those files.
+    """
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that :func:`stored` wrote, once their successors are written."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("hilvan-"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, *more: DataFrame) -> DataFrame:
     """Writes ``df`` as a table in the folder of ``spark.checkpoint.dir`` and reads it back.
 
+    Further parts with the same columns are written one after the other to the same table.
+
     As durable as a checkpoint, compressed, and read column by column. Only a local session
     without the setting uses its warehouse folder; a cluster without one is an error, because
     a folder of one machine isn't seen by the others.
@@ -22,7 +52,8 @@ def stored(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir is not set on this cluster")
         shared = spark.conf.get("spark.sql.warehouse.dir")
     path = f"{shared.rstrip('/')}/hilvan-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    for part in (df, *more):
+        part.write.mode("append").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -50,7 +81,8 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").union(
             least.select("u", F.col("m").alias("v"))).distinct()
-        edges = stored(small)
+        edges, old = stored(small), edges
+        dropped(old)
         after = _sum_of(edges)
         if after == before:
             break

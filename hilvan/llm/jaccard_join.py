@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hilvan.llm.bytehash import M1, M2, SPACED, Words, as_bytes, blocks, mix
-from hilvan.llm.groups import components, stored
+from hilvan.llm.groups import components, dropped, short_lived_shuffles, stored
 from hilvan.llm.spans import NO_ID, row_name, rows_of
 
 SHINGLE = 5
@@ -60,6 +60,8 @@ LEADERS = (8, 64)
 #: Pairs with one leader that a task compares, on average, and texts unpacked at a time.
 FAMILY, SOME_TEXTS = 2_000, 64
 LINK_SHARE = 50
+#: Passes over the index entries, each of a share of the shingles; the shuffle of one goes before the next.
+PASSES = 4
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -244,19 +246,20 @@ def linked(table: DataFrame, percent: int) -> DataFrame:
 
 
 def class_links(docs: DataFrame, reps: DataFrame, percent: int, size: int) -> DataFrame:
-    """Links (a, b) between class ids that connect every group of classes."""
+    """Links (a, b) between class ids that connect every group of classes; deletes the table ``reps``."""
     entries = reps.select("id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     n, pos, n2, pos2 = (F.col(c) for c in ("n", "pos", "n2", "pos2"))
     # A smaller set needs to be indexed by fewer shingles than it is probed with.
     short = pos <= n - ceil_of(n * (2 * percent), 100 + percent)
     lane = Window.partitionBy("token").orderBy(F.when(short, 0).otherwise(1), "n", "id")
-    crowded = entries.select(
+    indexed = entries.select(
         "*", F.first(F.struct("id", "n", "pos")).over(lane).alias("lead"), F.lead("id").over(lane).alias("next"),
     ).filter((F.col("lead.id") != F.col("id")) | F.col("next").isNotNull()).select(
         "token", "id", "n", "pos", F.col("lead.id").alias("id2"), F.col("lead.n").alias("n2"),
         F.col("lead.pos").alias("pos2"),
     )
-    crowded = stored(crowded)
+    # The filter on the share is on the window's key, so it goes below the window and its shuffle.
+    crowded = stored(*[indexed.filter(F.pmod("token", F.lit(PASSES)) == turn) for turn in range(PASSES)])
     texts = packed_texts(docs, reps.join(crowded.select("id").distinct(), "id", "left_semi").select(
         "id", F.col("who.k.key").alias("key"), F.col("who.h").alias("h")))
 
@@ -267,6 +270,7 @@ def class_links(docs: DataFrame, reps: DataFrame, percent: int, size: int) -> Da
         return short2 & (n2 <= n) & (100 * n2 >= percent * n) & (room >= overlap_needed(n, n2, percent))
 
     marks = stored(reps.select("id", "n", "mark", "wide").join(crowded.select("id").distinct(), "id", "left_semi"))
+    dropped(reps)
 
     def possible(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose marks allow a link."""
@@ -293,7 +297,9 @@ def class_links(docs: DataFrame, reps: DataFrame, percent: int, size: int) -> Da
             met = met.join(before.select("a", "b"), ["a", "b"], "left_anti")
         best = possible(met).groupBy(*by).agg(F.max(F.struct("c", "b", "a")).alias("best"))
         pairs = stored(likely(best.select(F.col("best.a").alias("a"), F.col("best.b").alias("b")).distinct()))
-        return stored(compared(pairs, texts, size))
+        found = stored(compared(pairs, texts, size))
+        dropped(pairs)
+        return found
 
     def mixed_rows(rows: DataFrame, group: DataFrame) -> DataFrame:
         """Entries with their groups, of lists whose entries are in several groups.
@@ -330,17 +336,22 @@ def class_links(docs: DataFrame, reps: DataFrame, percent: int, size: int) -> Da
 
     first = crowded.filter((F.col("id") != F.col("id2")) & near(n, pos, n2, pos2)).groupBy(
         F.col("id").alias("a"), F.col("id2").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    answers = led = ask(first, ["a"], None)
+    answers = led = ask(first, ["a"], None)  # led has the overlaps, answers what was asked so far
     group = components(linked(answers, percent).select("a", "b"))
     rows = mixed_rows(crowded, group)
+    dropped(crowded)
     for turn in range(len(LEADERS)):
         found = ask(other_leaders(rows, turn), ["who", "seed"], answers)
-        answers = stored(answers.union(found))
         asked, links = found.count(), linked(found, percent).count()
         if links:
             stars = group.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            group = components(stars.union(linked(found, percent).select("a", "b")))
-            rows = mixed_rows(rows, group)
+            group, old = components(stars.union(linked(found, percent).select("a", "b"))), group
+            dropped(old)
+            rows, old = mixed_rows(rows, group), rows
+            dropped(old)
+        both = stored(answers.select("a", "b").union(found.select("a", "b")))
+        dropped(found, *([] if answers is led else [answers]))
+        answers = both
         if LINK_SHARE * links <= asked:
             break
     first_links = group.select(F.col("id").alias("a"), F.col("component").alias("b"))
@@ -362,10 +373,10 @@ def class_links(docs: DataFrame, reps: DataFrame, percent: int, size: int) -> Da
         & (most.isNull() | (most >= need))
     ).select(F.col("id").alias("a"), F.col("id_y").alias("b")).distinct()
     left = stored(likely(possible(left.join(answers.select("a", "b"), ["a", "b"], "left_anti"))))
-    if left.isEmpty():
-        return first_links
     more = linked(compared(left, texts, size), percent).select("a", "b")
-    return first_links.union(more)
+    links = stored(first_links.union(more))
+    dropped(texts, marks, rows, led, answers, group, open_lists, left)
+    return links
 
 
 def placed_rows(base: DataFrame, percent: int, size: int) -> tuple[DataFrame, DataFrame]:
@@ -377,19 +388,23 @@ def placed_rows(base: DataFrame, percent: int, size: int) -> tuple[DataFrame, Da
     reps = stored(made.filter("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(who).alias("who"), F.min_by(F.struct("prefix", "mark", "wide"), who).alias("own")).select(
         "d1", "d2", "n", "who", "own.*", F.monotonically_increasing_id().alias("id")))
+    slim, sets = stored(made.select("k", "h", "n", "d1", "d2")), stored(reps.select("id", "d1", "d2", "n", "who"))
+    dropped(made)
     links = class_links(base, reps, percent, size)
     group = components(links)
-    placed = reps.select("id", "d1", "d2", "n", "who").join(group, "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
+    placed = sets.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
     names = placed.groupBy("component").agg(F.min("who").alias("name"))
-    return made.select("k", "h", "n", "d1", "d2"), placed.join(names, "component").select("d1", "d2", "n", "name")
+    named = stored(placed.join(names, "component").select("d1", "d2", "n", "name"))
+    dropped(links, group, sets)
+    return slim, named
 
 
 def jaccard_components(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE,
 ) -> DataFrame:
     """Every row with its set size and ``component_id``, the least key reachable by links."""
-    made, sets = placed_rows(rows_of(docs, id_column, text), percent, size)
+    with short_lived_shuffles(docs.sparkSession):
+        made, sets = placed_rows(rows_of(docs, id_column, text), percent, size)
     name = F.coalesce("name.k", "k")  # rows without words name themselves
     return made.join(sets, ["d1", "d2", "n"], "left").select(
         F.when(F.col("k.has"), F.col("k.key")).alias(id_column), F.col("n").alias("n_shingles"),
@@ -404,7 +419,8 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", per
     Rows are told apart by id and text, so a repeated id loses only the texts that have a copy
     elsewhere, and of rows equal in both one stays.
     """
-    made, sets = placed_rows(rows_of(docs, id_column, text), percent, size)
+    with short_lived_shuffles(docs.sparkSession):
+        made, sets = placed_rows(rows_of(docs, id_column, text), percent, size)
     same = (F.col("name.k") == F.col("k")) & (F.col("name.h") == F.col("h"))
     stays = made.join(sets, ["d1", "d2", "n"], "left").filter((F.col("n") == 0) | same).select(
         F.col("k.key").alias("__key"), F.col("h").alias("__h"), (F.col("n") == 0).alias("__bare")).distinct()
