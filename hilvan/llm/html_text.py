@@ -7,8 +7,10 @@ them into two clusters. A region is a run of lines in one container; a region th
 the content cluster is kept whole, so that short lines inside an article stay; so is a region
 between kept ones of its container, unless most of it is links. Menus, headers,
 footers, sidebars, notices, adverts, forms, comments and whatever isn't shown have ratio
-nought and are never kept. Where a page has an article or main element, only its regions
-compete.
+nought and are never kept; headings in the header of an article are part of it. Where a page
+has an article or main element, only its regions compete. Class and id names that speak of a
+state ("comments-enabled") drop nothing, and a page that would be left without any text is
+read again without regard to names.
 
 Defined cases: a null, empty or text-free page gives empty text. Unclosed and crossed tags
 are allowed; end tags that HTML lets out are implied by the next start tag or the container's end. White space (also the no-break space) inside a block becomes one space, and a
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -79,7 +82,11 @@ DROPPED_NAMES = frozenset(
     "related replies respond share sharing sidebar sidebars signup social sponsor sponsored subscribe "
     "subscription toolbar widget widgets".split()
 )
-LAYOUT_NAMES = frozenset(("no", "has", "with", "without"))
+#: Beside these, a name tells how something is set, not what it holds.
+LAYOUT_NAMES = frozenset("closed disabled enabled free has no off on open with without".split())
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: How an open element is dropped: whole, or but for its headings.
+SHOWN, NOT_HEADINGS, WHOLE = range(3)
 NAME = re.compile(r"[a-z]+")
 
 
@@ -93,8 +100,9 @@ class Line:
 class Lines(HTMLParser):
     """Turns parser events into lines. Region -1 is never kept."""
 
-    def __init__(self):
+    def __init__(self, by_name: bool = True):
         super().__init__(convert_charrefs=True)
+        self.by_name = by_name
         self.lines: list[Line] = []
         self.pieces: list[str] = []
         self.linked = 0
@@ -103,8 +111,9 @@ class Lines(HTMLParser):
         self.regions = 0
         #: The region that each region lies in.
         self.within: dict[int, int] = {0: 0}
-        #: Open followed elements: tag, dropped, inside an article, region.
-        self.open: list[tuple[str, bool, bool, int]] = [("", False, False, 0)]
+        #: Open followed elements: tag, how dropped, inside an article, region; and how many there are of each tag.
+        self.open: list[tuple[str, int, bool, int]] = [("", SHOWN, False, 0)]
+        self.counts: Counter[str] = Counter()
         self.hidden: str | None = None
 
     def finish_line(self) -> None:
@@ -120,8 +129,8 @@ class Lines(HTMLParser):
             return True
         if attrs.get("role", "").lower() in DROPPED_ROLES:
             return True
-        if tag in ("html", "body", "main"):
-            return False
+        if tag in ("html", "body", "main") or not self.by_name:
+            return "display:none" in attrs.get("style", "").replace(" ", "").lower()
         for key in ("class", "id"):
             for name in attrs.get(key, "").lower().split():
                 words = set(NAME.findall(name))
@@ -131,13 +140,20 @@ class Lines(HTMLParser):
 
     def end(self, tags, shields=frozenset()) -> None:
         """Ends the innermost open element of ``tags`` with all in it, unless a shield is in between."""
+        if not any(self.counts[tag] for tag in tags):
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at][0] in tags:
+                self.counts.subtract(x[0] for x in self.open[at:])
                 del self.open[at:]
                 return
             if self.open[at][0] in shields:
                 return
 
+    def begin(self, tag: str, *state) -> None:
+        self.open.append((tag, *state))
+        self.counts[tag] += 1
+
     def imply_ends(self, tag: str) -> None:
         if tag not in HEAD and tag not in ("head", "html") and self.open[-1][0] == "head":
             self.end(("head",))
@@ -160,9 +176,12 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         named = {k: v or "" for k, v in attrs}
-        drops = self.drops(tag, named)
+        drops = WHOLE if self.drops(tag, named) else SHOWN
+        if tag == "header" and self.open[-1][2] and not self.drops("div", named):
+            drops = NOT_HEADINGS
         if tag in PLAIN and not drops:
-            self.open.append((tag, *self.open[-1][1:]))
+            _, dropped, article, region = self.open[-1]
+            self.begin(tag, SHOWN if tag in HEADINGS and dropped == NOT_HEADINGS else dropped, article, region)
             return
         if tag not in FOLLOWED and not drops:
             return
@@ -177,7 +196,7 @@ class Lines(HTMLParser):
             self.regions += 1
             region = self.regions
         self.within.setdefault(region, self.open[-1][3])
-        self.open.append((tag, dropped or drops, article, region))
+        self.begin(tag, max(dropped, drops), article, region)
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -241,7 +260,12 @@ def between(lines: list[Line], usable: np.ndarray, content: set[int], within: di
 def main_text(html, sigma: float = SIGMA, threshold: float = THRESHOLD) -> str:
     if not isinstance(html, str) or not html:
         return ""
-    parser = Lines()
+    return selected(html, True, sigma, threshold) or selected(html, False, sigma, threshold)
+
+
+def selected(html: str, by_name: bool, sigma: float, threshold: float) -> str:
+    """Text of the kept regions; names of classes and ids drop elements only if ``by_name``."""
+    parser = Lines(by_name)
     parser.feed(html)
     parser.close()
     lines = parser.lines

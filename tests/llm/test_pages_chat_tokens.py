@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import numpy as np
 import pytest
@@ -45,6 +46,24 @@ def test_ends_left_out_and_regions_between(html, text):
     assert H.main_text(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    (f"<main><div class='content comments-enabled'><p>{LONG}</p></div></main>", LONG),
+    (f"<article class=ad-free><p>{LONG}</article><div class=ad><p>{LONG}</div>", LONG),
+    (f"<div id=widget><p>{LONG}</p></div>", LONG),
+    (f"<div id=widget style='display:none'><p>{LONG}</p></div>", ""),
+    (f"<article><header><h1>Head</h1><p>by x</p></header><p>{LONG}</article>", f"Head\n{LONG}"),
+    (f"<header><h1>Site</h1></header><article><p>{LONG}<div class=comments><header><h2>x</h2></header></div></article>", LONG),
+])
+def test_names_and_headlines(html, text):
+    assert H.main_text(html) == text
+
+
+def test_deep_nesting_takes_linear_time():
+    began = time.process_time()
+    assert H.main_text("<div>" * 100_000 + LONG) == LONG
+    assert time.process_time() - began < 10
+
+
 def test_pages_rows(spark):
     rows = [(i, f"http://x/{i}", html) for i, (html, _) in enumerate(PAGES.values())] + [(None, None, None), (0, "http://x/0", PAGES["article"][0])]
     table = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
