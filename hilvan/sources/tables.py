@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,15 +50,39 @@ def load_table(df: DataFrame, table: str, if_exists: str = "replace", text: bool
 
 
 def load_many(
-    spark: SparkSession, paths: Sequence[str], prefix: str = "", fmt: str = "csv", if_exists: str = "replace"
+    spark: SparkSession, paths: Sequence[str], prefix: str = "", fmt: str = "csv", if_exists: str = "replace",
+    at_once: int = 8,
 ) -> DataFrame:
-    """One table per file; ``(table, rows)``. Each load is its own Spark job."""
-    counts = []
-    for path in paths:
+    """One table per file; ``(table, rows)``, in the order of ``paths``.
+
+    Each load is its own Spark job; ``at_once`` of them run side by side, each in a scheduler
+    pool of its own (pools share the executors evenly where the scheduler's mode is FAIR).
+    Files of one table are loaded one after the other. All files are tried; those that fail are
+    named together in one error.
+    """
+    by_table: dict[str, list[int]] = {}
+    for place, path in enumerate(paths):
         stem = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
-        table = f"{prefix}{loader_name(stem)}"
-        counts.append((table, load_table(read_text_table(spark, path, fmt=fmt), table, if_exists)))
-    return spark.createDataFrame(counts, "table string, rows bigint")
+        by_table.setdefault(f"{prefix}{loader_name(stem)}", []).append(place)
+    counts: dict[int, tuple[str, int]] = {}
+    failed: dict[int, Exception] = {}
+
+    def load(table: str) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
+        for place in by_table[table]:
+            try:
+                counts[place] = table, load_table(read_text_table(spark, paths[place], fmt=fmt), table, if_exists)
+            except Exception as e:  # told below, with the others
+                failed[place] = e
+
+    with ThreadPoolExecutor(at_once) as pool:
+        # A wrapper for each task: it carries the caller's local properties, which no two tasks share.
+        for done in [pool.submit(inheritable_thread_target(spark)(load), table) for table in by_table]:
+            done.result()
+    if failed:
+        raise RuntimeError("not loaded: " + "; ".join(f"{paths[at]}: {e}" for at, e in sorted(failed.items()))
+                           ) from failed[min(failed)]
+    return spark.createDataFrame([counts[at] for at in sorted(counts)], "table string, rows bigint")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append", batch_size: int = 10_000, **options) -> None:

@@ -82,6 +82,21 @@ def test_loads(spark, tmp_path):
     assert spark.table("raw_mi_tabla_1").count() == 4
 
 
+def test_loads_side_by_side(spark, tmp_path):
+    paths = [str(write(tmp_path / "many" / f"t{i}.csv", "Id\n" + "x\n" * i)) for i in range(1, 6)]
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    assert [tuple(r) for r in T.load_many(spark, paths, "side_").collect()] == [(f"side_t{i}", i) for i in range(1, 6)]
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    twice = [paths[0], str(write(tmp_path / "other" / "t1.csv", "Id\ny\nz\n"))]
+    assert [r.rows for r in T.load_many(spark, twice, "side_", if_exists="append").collect()] == [1, 2]
+    assert spark.table("side_t1").count() == 4
+    missing = [str(tmp_path / "no1.csv"), str(tmp_path / "no2.csv")]
+    with pytest.raises(RuntimeError, match=r"no1\.csv.*no2\.csv"):
+        T.load_many(spark, [missing[0], paths[1], missing[1]], "late_")
+    assert spark.table("late_t2").count() == 2
+    assert T.load_many(spark, []).collect() == []
+
+
 def test_incremental_load(spark, tmp_path):
     src = write(tmp_path / "datos.csv", "Clave,Valor\na,1\nb,2\n")
     args = (spark, str(src), "inc_table", "inc_control", ["clave"])

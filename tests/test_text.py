@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hilvan.functions import text as T
+from hilvan.functions.sql import register_functions
 from hilvan.sources.columns import (
     ascii_name,
     find_by_part,
@@ -94,3 +95,18 @@ def test_select_aliases(spark):
     assert [tuple(r) for r in got.collect()] == [("1", "n", None)]
     with pytest.raises(ValueError):
         select_aliases(df, {"id": ["nope"]}, required=["id"])
+
+
+def test_sql_functions(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS clean")
+    for schema in (None, "clean"):
+        own = spark.newSession()  # without the temporary functions of others
+        register_functions(own, schema)
+        at = "" if schema is None else f"{schema}."
+        row = own.sql(f"""SELECT {at}extraer_equipo_central(t) AS e, {at}extraer_port_ec(t) AS p, {at}sin_cero(' 0 ') AS z,
+            {at}sin_blancos(' ') AS b, {at}extraer_equipo_central('ABCDEF12') AS few, {at}extraer_port_ec(NULL) AS n
+            FROM VALUES ('x ABCDEFG1 LIMAPE1234 1/2/3 4/5') AS v(t)""").first()
+        assert tuple(row) == ("LIMAPE1234", "1/2/3", None, None, None, None)
+        own.catalog.setCurrentDatabase(schema or "default")
+        rows = own.sql(r"SELECT cable FROM cables_en_lista('a\n\nb') ORDER BY cable").collect()
+        assert [r.cable for r in rows] == ["a", "b"]
