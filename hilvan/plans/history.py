@@ -37,14 +37,12 @@ def responsible(
     first row of equal versions. ``estado`` names the step at which the look-up ended, and
     ``mensaje`` says what was not found; a missing project has no text. What was found before
     a step that failed stays, later columns are null. Each table is reduced to one row per id
-    before it is joined.
+    or version before it is joined.
     """
     known = alternatives.filter((F.col("dataset_name") == dataset) & (F.col("version") >= 0)).select(
         "version", "scheme_id", "alternative_name", "seq", F.lit(True).alias("_alternative")
     )
-    found = as_of(
-        objects.select("id", "version"), known, [], "version", ["scheme_id", "alternative_name", "_alternative"], ["seq"]
-    )
+    used = first_wins(known, ["version"], ["seq"], ["scheme_id", "alternative_name", "_alternative"])
     named = _one_per_id(schemes, "scheme_id", {
         "name": "diseno", "owner": "owner", "modified_by": "modificado_por", "modified_at": "fecha_modif",
         "status": "status", "project_id": "project_id",
@@ -53,9 +51,12 @@ def responsible(
         "name": "proyecto", "job_title": "proyecto_job", "owning_group": "grupo_dueno",
         "modified_by": "proyecto_mod_por", "modified_at": "fecha_mod_proy",
     })
-    rows = found.join(named, F.col("scheme_id") == F.col("_scheme_id"), "left").join(
+    # Schemes and projects join the versions, one row each: joined with the objects, the scheme of
+    # the last version would be the key of nearly all rows.
+    versions = used.join(named, F.col("scheme_id") == F.col("_scheme_id"), "left").join(
         owned, F.col("project_id") == F.col("_project_id"), "left"
     )
+    rows = as_of(objects.select("id", "version"), versions, [], "version", [c for c in versions.columns if c != "version"])
     state = (
         F.when(F.col("_alternative").isNull(), NO_ALTERNATIVE).when(F.col("_scheme_id").isNull(), NO_SCHEME)
         .when(F.col("_project_id").isNull(), NO_PROJECT).otherwise(COMPLETE)

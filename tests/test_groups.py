@@ -215,3 +215,19 @@ def test_consolidate_copies_and_hot_group(spark):
     assert {(r.k, r.lista, r.part, r.entries, r.texto) for r in got} == {
         ("a", "v", 0, 2, "x°y"), ("a", "n", 0, 2, "3+3"), ("a", "n", 1, 1, "10"), (None, "v", 0, 2, "q°r"), (None, "n", 0, 1, "2"),
     }
+
+
+def test_responsible_joins_versions_not_objects(spark):
+    """The objects' rows meet only the carried versions: one scheme may stand behind nearly all of them."""
+    objects = spark.createDataFrame([(i, 100 + i) for i in range(50)], "id long, version long")
+    alternatives = spark.createDataFrame(
+        [("gis", 5, 10, "a", 1)], "dataset_name string, version long, scheme_id long, alternative_name string, seq int")
+    schemes = spark.createDataFrame(
+        [(10, "n", "o", "m", "t", "s", 1)],
+        "scheme_id long, name string, owner string, modified_by string, modified_at string, status string, project_id long")
+    projects = spark.createDataFrame(
+        [(1, "p", "j", "g", "m", "t")],
+        "project_id long, name string, job_title string, owning_group string, modified_by string, modified_at string")
+    df = responsible(objects, alternatives, schemes, projects)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert {(r.estado, r.diseno, r.proyecto) for r in df.collect()} == {("COMPLETO", "n", "p")}
