@@ -209,28 +209,38 @@ def cable_sheets(lines: DataFrame, headers: Mapping[str, str] = CABLE_HEADERS) -
     A sheet may have any number of columns. The places of its headers, the last of equal
     ones, come from its first line that isn't blank, one row per file.
     """
-    rows = lines.filter(~F.col("file").startswith("~$") & ~blank("line")).withColumn("cells", cells(F.col("line")))
-    head = rows.groupBy("file_path").agg(F.min_by("cells", "line_no").alias("_cells"))
+    rows = lines.filter(~F.col("file").startswith("~$") & ~blank("line"))
+    # Lines are joined as they are and cut into cells last: hundreds of cells weigh many times their line.
+    first = rows.groupBy("file_path").agg(F.min("line_no").alias("_first"))
+    head = (
+        rows.join(first, "file_path").filter("line_no = _first")
+        .groupBy("file_path").agg(F.min_by("line", "line_no").alias("_line"))
+    )
     place = lambda name: F.max(F.when(cell_text(F.col("_cell")) == name, F.col("_at")))
     heads = (
-        head.select("file_path", F.posexplode("_cells").alias("_at", "_cell"))
+        head.select("file_path", F.posexplode(cells(F.col("_line"))).alias("_at", "_cell"))
         .groupBy("file_path").agg(*[place(v).alias(f"_p_{k}") for k, v in headers.items()])
         .filter("_p_ec IS NOT NULL AND _p_port_ec IS NOT NULL AND _p_patcheo IS NOT NULL")
     )
-    value = lambda k: cell_text(F.get("cells", F.col(f"_p_{k}")))
+    # One struct per line from an outer explode: cells are cut once, and no filter is pushed below it.
+    values = F.transform(
+        F.array(cells(F.col("line"))),
+        lambda cut: F.struct(*[cell_text(F.get(cut, F.col(f"_p_{k}"))).alias(k) for k in headers]),
+    )
     return (
         rows.filter("line_no >= 2")
         .join(heads, "file_path")
-        .filter(value("bul") == "1")
+        .select("file", "file_path", "line_no", F.explode_outer(values).alias("_v"))
+        .filter("_v.bul = '1'")
         .select(
             file_stem(F.col("file")).alias("fibra"),
-            value("ec").alias("ec"),
-            clean_port(value("port_ec")).alias("port_ec"),
-            value("patcheo").alias("patcheo"),
-            value("port_ot").alias("odf_calle"),
-            value("hilo").alias("hilo"),
-            value("anillo_origen").alias("anillo_origen"),
-            ring_from_origin(value("anillo_origen")).alias("anillo"),
+            F.col("_v.ec").alias("ec"),
+            clean_port("_v.port_ec").alias("port_ec"),
+            F.col("_v.patcheo").alias("patcheo"),
+            F.col("_v.port_ot").alias("odf_calle"),
+            F.col("_v.hilo").alias("hilo"),
+            F.col("_v.anillo_origen").alias("anillo_origen"),
+            ring_from_origin("_v.anillo_origen").alias("anillo"),
             "file_path", "line_no",
         )
         .filter("ec IS NOT NULL OR port_ec IS NOT NULL OR patcheo IS NOT NULL")

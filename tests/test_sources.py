@@ -169,3 +169,12 @@ def test_wide_cable_sheets(spark, tmp_path, width):
     (tmp_path / "wide.csv").write_text("\n".join([",".join(names), *body]))
     rows = L.cable_sheets(L.read_lines(spark, str(tmp_path), "*.csv")).collect()
     assert {(r.fibra, r.ec, r.patcheo, r.hilo) for r in rows} == {("wide", "E1", "T-1/2", "3"), ("wide", "E3", "T-1/2", "3")}
+
+
+def test_cable_sheets_cut_lines_last(spark, tmp_path):
+    """No row carries its cells through a join or a group: they are cut where they are read."""
+    write(tmp_path / "1.csv", "\nEC,PORT_EC,PATCHEO,BUL\nEQ,1/2,1-A2,1\nEQ,1/3,,0\n")
+    df = L.cable_sheets(L.read_lines(spark, str(tmp_path), "*.csv"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert all("Generate" in row for row in plan if "regexp_extract_all" in row)
+    assert [(r.ec, r.port_ec, r.line_no) for r in df.collect()] == [("EQ", "1/2", 3)]
