@@ -3,6 +3,7 @@
 import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from hilvan.plans import trace as T
@@ -138,3 +139,22 @@ def test_brackets_at_any_depth(spark):
     assert time.monotonic() - start < 20
     line = F.lit(f"at Empalme de Fibra (Tipo 3 {deep(7, 'y')}, 'ET9') 'no'")
     assert spark.range(1).select(T.splice_label(line).alias("s")).first().s == "(EM 3) | ET9"
+
+
+def test_brackets_beyond_the_pattern(spark):
+    """Texts on both sides of the depth that one pattern covers, long ones, and ones left open."""
+    texts = []
+    for deep in (0, 1, T.PATTERN_DEPTH - 1, T.PATTERN_DEPTH, T.PATTERN_DEPTH + 1, 3 * T.PATTERN_DEPTH):
+        inner = "a" + "(b" * deep + "c)" * deep
+        texts += [(f"m ({inner}) rest (x)", inner), (f"m ({inner}", ""), (f"m (({inner}) 'x'", "")]
+    wide = "(a)b" * 5000
+    texts += [(f"m ({wide})", wide), (f"m ({wide}", ""), ("m ()" + "(" * 40, ""), ("n (a)", ""), (None, "")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, line string")
+    got = {r.i: r.found for r in df.select("i", T.inside_brackets(F.col("line"), "m ").alias("found")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(texts)}
+
+
+@pytest.mark.parametrize("label", [T.cable_label, T.splice_label])
+def test_labels_look_for_their_text_once(spark, label):
+    df = spark.createDataFrame([("x",)], "line string").select(label(F.col("line")))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("locate(") <= 4
