@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from hilvan.functions import rules as R
 from hilvan.functions import text as T
 from hilvan.functions.sql import register_functions
 from hilvan.sources.columns import (
@@ -110,3 +111,13 @@ def test_sql_functions(spark):
         own.catalog.setCurrentDatabase(schema or "default")
         rows = own.sql(r"SELECT cable FROM cables_en_lista('a\n\nb') ORDER BY cable").collect()
         assert [r.cable for r in rows] == ["a", "b"]
+
+
+def test_port_statuses_clean_their_value_once(spark):
+    df = spark.createDataFrame([(" BOGOTA1234 ", " 1/2 "), ("0", None), ("bo", "a/1")], "e string, p string")
+    out = df.select(R.central_equipment("e").alias("e"), R.central_port("p").alias("p"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("btrim(") + \
+        out._jdf.queryExecution().optimizedPlan().toString().count("trim(both") <= 2
+    assert [tuple(r) for r in out.collect()] == [
+        ("VÁLIDO", "VÁLIDO"), ("VÁLIDO", "VÁLIDO"), ("CARACTERES_INVALIDOS", "CARACTERES_INVALIDOS")
+    ]
