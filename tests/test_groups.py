@@ -231,3 +231,17 @@ def test_responsible_joins_versions_not_objects(spark):
     df = responsible(objects, alternatives, schemes, projects)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
     assert {(r.estado, r.diseno, r.proyecto) for r in df.collect()} == {("COMPLETO", "n", "p")}
+
+
+def test_lists_of_one_part_need_no_running_sum(spark):
+    df = spark.createDataFrame(
+        [("a", i, f"x{i}") for i in range(9)] + [("b", 1, None), (None, 2, "n"), ("c", 1, ""), ("c", 0, "y")],
+        "k string, n int, t string")
+    lists = lambda size: G.ordered_text(df, ["k"], F.col("t"), [F.col("n")], ",", size)
+    whole, mixed = lists(1000), lists(12)
+    assert "Window" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    want = {"a": ",".join(f"x{i}" for i in range(9)), None: "n", "c": "y,"}
+    assert {r.k: (r.part, r.text) for r in whole.collect()} == {k: (0, t) for k, t in want.items()}
+    parts = sorted(mixed.collect(), key=lambda r: (str(r.k), r.part))
+    assert [(r.part, r.entries) for r in parts if r.k == "a"] == [(0, 4), (1, 4), (2, 1)]
+    assert {k: ",".join(r.text for r in parts if r.k == k) for k in want} == want
