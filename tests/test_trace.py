@@ -158,3 +158,30 @@ def test_brackets_beyond_the_pattern(spark):
 def test_labels_look_for_their_text_once(spark, label):
     df = spark.createDataFrame([("x",)], "line string").select(label(F.col("line")))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("locate(") <= 4
+
+
+@pytest.mark.parametrize("size", [1, 3, 50])
+def test_long_traces_are_cut_and_short_ones_are_not(spark, monkeypatch, size):
+    r = random.Random(size)
+    kinds = [FIBRE, SECOND, "Edificio 'A'", "Edificio 'NODO B'", splice("ET1"), splice("EA2"), "Port (1) Card (2)", "x"]
+    rows = [(f, i, r.choice(kinds)) for f, n in (("long", 60), ("short", 9), ("one", 1)) for i in range(1, n + 1)]
+    rows += [(None, 1, FIBRE)]
+    df = spark.createDataFrame(rows, "file_path string, line_no int, line string")
+    chunk = [F.floor(F.col("line_no") / size)]
+    whole = sorted(map(str, T.trace_elements(df, chunk=chunk).collect()))
+    for lines in (0, 9):
+        monkeypatch.setattr(T, "LINES_PER_CHUNK", lines)
+        assert sorted(map(str, T.trace_elements(df, chunk=chunk).collect())) == whole
+
+
+def test_short_traces_are_windowed_whole(spark):
+    """A chunk of its own for every line would carry as many rows as there are lines."""
+    seen = []
+    real = T.carry_forward
+    T.carry_forward = lambda df, *a, **b: seen.append(df) or real(df, *a, **b)
+    try:
+        rows = [("f", i, FIBRE if i == 1 else splice(f"ET{i}")) for i in range(1, 30)]
+        T.trace_elements(spark.createDataFrame(rows, "file_path string, line_no int, line string"), chunk=[F.col("line_no")])
+    finally:
+        T.carry_forward = real
+    assert seen[0].select("file_path", "_chunk0").distinct().count() == 1
