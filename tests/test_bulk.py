@@ -113,3 +113,18 @@ def test_find(spark):
     assert [r.output for r in by_name] == ["4&n", "N/A m"]
     by_id = B.find(target, lines(spark, "5", "9", "x"), B.LOOKUPS["cable_by_id"]).orderBy("line_no").collect()
     assert [r.output for r in by_id] == ['"5"|n', "9&!", "x&!"]
+
+
+def test_remarks_of_a_hot_fibre_go_to_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from hilvan.operators.ports import append_remarks
+
+    rows = spark.range(400).selectExpr("id", "IF(id % 50 = 0, NULL, ' 7 ') AS fibra", "'V' AS sincroniza").coalesce(1)
+    remarks = spark.createDataFrame(
+        [("7", "un error", "a", 1), ("7", "bulk file", "b", 2), ("8", "error", "c", 3)],
+        "fibra string, estado string, observacion string, seq int")
+    out = append_remarks(rows, remarks, "fibra", "sincroniza")
+    got = out.withColumn("task", F.spark_partition_id()).collect()
+    assert len(got) == 400 and len({r.task for r in got if r.fibra}) > 1
+    assert {(r.fibra, r.sincroniza) for r in got} == {(" 7 ", "OM | BULK | V | a | b"), (None, "V")}
