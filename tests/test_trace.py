@@ -185,3 +185,9 @@ def test_short_traces_are_windowed_whole(spark):
     finally:
         T.carry_forward = real
     assert seen[0].select("file_path", "_chunk0").distinct().count() == 1
+
+
+def test_a_building_line_given_twice_lists_its_ports_twice(spark):
+    rows = [(1, FIBRE), (2, "Edificio 'A'"), (2, "Edificio 'A'"), (3, "Port (4) Card (7)"), (4, splice("ET1"))]
+    df = spark.createDataFrame([("f", *r) for r in rows], "file_path string, line_no int, line string")
+    assert {r.elemento for r in T.trace_elements(df).collect()} == {"(ED) A | 7, 4, 7, 4", "(EM 1) | ET1"}
