@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from hilvan.functions import rules as R
+from hilvan.operators import prioritize
 from hilvan.operators.prioritize import leading_findings, message_lists, prioritise
 from hilvan.plans import audit, audit_cables, audit_ports, audit_splices
-from hilvan.plans.findings import cable_owners
+from hilvan.plans.findings import cable_owners, findings
 
 
 def found(df, *columns):
@@ -169,3 +170,34 @@ def test_sequence_skips_central_shelves(spark):
     assert found(audit_ports.sequence_rows(client, central), "id", "message") == [
         ("p1", "SECUENCIA: SPARE_ANTES_DE_IN_SERVICE (puerto 1, último 2)")
     ]
+
+
+def test_whole_audit_prepares_cables_and_splices_once(spark, monkeypatch):
+    calls = []
+    for module in (audit_cables, audit_splices):
+        monkeypatch.setattr(module, "prepare", lambda *a, m=module, f=module.prepare: (calls.append(m.ENTITY), f(*a))[1])
+    tables = audit.logical(exports(spark))
+    owners = spark.createDataFrame([("100/a", "b1", "Ana", 1)], "cable_acceso string, id_edificio string, responsable string, seq int")
+    audit.all_findings(tables, owners, "R")
+    assert sorted(calls) == ["EMPALME", "FIBRA"]
+
+
+def test_repeated_messages_are_merged_before_the_join(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(prioritize, "stored", lambda df, f=prioritize.stored: (written.append(f(df)), written[-1])[1])
+    cells = [("BAY", i, f"v{n}", "", "NUMBER INVALIDO", 52, n, 0) for i in ("b1", None) for n in (3, None, 1, 2)]
+    cells += [("BAY", "b1", "w", "", "CONTRATISTA VACIO", 52, 0, 0), ("SHELF", "b1", "s", "", "TIPO INVALIDO", 51, 0, 0)]
+    rows = spark.createDataFrame(
+        cells, "entity string, id string, value string, owner string, message string, stage int, seq long, pos int"
+    )
+    got = leading_findings(rows).select("id", "entity", "message", "_first.value", "_first.at.seq").collect()
+    assert [tuple(r) for r in got] == [("b1", "BAY", "NUMBER INVALIDO", "vNone", None)]
+    assert written[0].count() == 4  # of ten rows
+
+
+def test_messages_are_made_before_they_are_exploded(spark):
+    rows = spark.createDataFrame([("1", " a", 1), ("2", "a", 2)], "id string, nombre string, seq int")
+    out = findings(rows, "X", 1, R.whitespace("nombre", "N"), owner=F.lit(""))
+    assert found(out, "id", "message", "pos") == [("1", "N: ESPACIOS_DOBLES - valor: ' a'", 0)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(_messages" in plan

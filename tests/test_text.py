@@ -121,3 +121,27 @@ def test_port_statuses_clean_their_value_once(spark):
     assert [tuple(r) for r in out.collect()] == [
         ("VÁLIDO", "VÁLIDO"), ("VÁLIDO", "VÁLIDO"), ("CARACTERES_INVALIDOS", "CARACTERES_INVALIDOS")
     ]
+
+
+def test_named_columns_are_trimmed_like_expressions(spark):
+    inner = ["", "a", "a b", "~", "!", "\x7f", "é", "ñ a", "\U0001f600"]
+    edges = ["", *T.EDGE_SPACE, " \t"]
+    cells = [a + x + b for x in inner for a in edges for b in edges] + [None]
+    rows = spark.createDataFrame([(c,) for c in cells], "t string").coalesce(1)
+    got = rows.select("t", T.strip("t").alias("named"), T.strip(F.col("t")).alias("made")).collect()
+    assert all(r.named == r.made == (None if r.t is None else r.t.strip(T.EDGE_SPACE)) for r in got)
+    numbers = spark.createDataFrame([(7, None), (-1, 2.5)], "n long, x double").select(T.strip("n"), T.strip("x"))
+    assert [tuple(r) for r in numbers.collect()] == [("7", None), ("-1", "2.5")]
+
+
+def test_names_without_legal_form_take_one_look(spark):
+    names = ["ACME S.A.S.", "acme\tsa", "X  LTDA", "X L.T.D.A", "Y E.U", "Y NIT 9", "Y N.I.T. 12 S.A", "Z & CIE", "Z &CIE.",
+             "Z INC", "Z CORP.", "Q S.C.S", "Q EIRL", "Q E.I.R.L.", "SAS", "CASA SAGA", "A  B., C", " ", None, "ETB X", "P S A S"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string").coalesce(1)
+    chain = F.upper(T.text_or_empty("n"))
+    for form in T.LEGAL_FORMS:
+        chain = F.regexp_replace(chain, form, "")
+    chain = T.strip(F.regexp_replace(F.regexp_replace(chain, "[.,]", ""), r"\s+", " "))
+    got = rows.select(T.company_name("n").alias("got"), chain.alias("want")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+    assert T.ANY_LEGAL_FORM.count("|") == len(T.LEGAL_FORMS) - 1
