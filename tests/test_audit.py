@@ -201,3 +201,11 @@ def test_messages_are_made_before_they_are_exploded(spark):
     assert found(out, "id", "message", "pos") == [("1", "N: ESPACIOS_DOBLES - valor: ' a'", 0)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "posexplode(_messages" in plan
+
+
+def test_ports_are_written_without_the_columns_of_the_name_rule(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(audit_ports, "stored", lambda df, f=audit_ports.stored: (written.append(df.columns), f(df))[1])
+    tables = audit.logical(exports(spark))
+    audit_ports.audit_ports(tables["ports"], tables["buildings"])
+    assert not {"building_norm", "nombre_cliente", "comentarios", "client_norm"} & set(written[0])
