@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 
 from hilvan.llm import bpe, decontaminate, jaccard_join, quality_rules, secret_scan
 from hilvan.llm.catalog import vocabulary
-from hilvan.llm.groups import stored
+from hilvan.llm.groups import BATCH_BYTES, SMALL_BATCH, stored
+
+
+def modest(spark: SparkSession) -> None:
+    """Small batches for Python from here on, as a stage's rows are made when the caller writes them.
+
+    All stages share their workers. A session with a limit of its own keeps it.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, SMALL_BATCH)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,17 +35,20 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark window."""
+    modest(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets, and counts the characters anew."""
+    modest(spark)
     clean = secret_scan.redact(docs)
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
+    modest(spark)
     return bpe.encode_column(docs, vocabulary("byte_bpe_50k.json"))
 
 

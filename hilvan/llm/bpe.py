@@ -207,6 +207,10 @@ class Encoder:
         special = sorted(vocab.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
+    def forget(self) -> None:
+        """Empties the tables; the worker stays for other tasks, which need that memory."""
+        self.known, self.pieces = {}, {}
+
     def parts(self, text: str) -> list[tuple[str, str]]:
         """Plain text up to each special string, and that string (empty at the end)."""
         if self.special is None or not self.special.search(text):
@@ -317,12 +321,15 @@ def encode_column(docs: DataFrame, path: str, id_column: str = "doc_id", text: s
     @F.pandas_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string,ids:binary>")
     def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = encoder(name, shared.value)
-        for batch in texts:
-            out = []
-            for group in text_groups([t if isinstance(t, str) else "" for t in batch]):
-                for ids in bpe.encode(group):
-                    back = bpe.decode(ids).encode("utf-8", "surrogatepass")
-                    out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest(), ids))
-            yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+        try:
+            for batch in texts:
+                out = []
+                for group in text_groups([t if isinstance(t, str) else "" for t in batch]):
+                    for ids in bpe.encode(group):
+                        back = bpe.decode(ids).encode("utf-8", "surrogatepass")
+                        out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest(), ids))
+                yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+        finally:
+            bpe.forget()
 
     return docs.select(F.col(id_column), encoded(F.col(text)).alias("r")).select(id_column, "r.*")

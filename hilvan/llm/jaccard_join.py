@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hilvan.llm.bytehash import M1, M2, SPACED, Words, as_bytes, blocks, mix
-from hilvan.llm.groups import components, dropped, short_lived_shuffles, stored
+from hilvan.llm.groups import components, dropped, short_lived_shuffles, small_batches, stored
 from hilvan.llm.spans import NO_ID, row_name, rows_of
 
 SHINGLE = 5
@@ -59,6 +59,8 @@ MARK_BITS = 512
 LEADERS = (8, 64)
 #: Pairs with one leader that a task compares, on average, and texts unpacked at a time.
 FAMILY, SOME_TEXTS = 2_000, 64
+#: Bytes of text hashed at a time; a task holds some 60 times as much for it.
+BLOCK = 1 << 18
 LINK_SHARE = 50
 #: Passes over the index entries, each of a share of the shingles; the shuffle of one goes before the next.
 PASSES = 4
@@ -90,7 +92,7 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
 
 
 def batch_sets(keys, texts, size: int) -> Iterator[tuple[object, np.ndarray]]:
-    for those, part in blocks(zip(keys, (as_bytes(t) for t in texts), strict=True)):
+    for those, part in blocks(zip(keys, (as_bytes(t) for t in texts), strict=True), BLOCK):
         yield from zip(those, shingle_sets(part, size), strict=True)
 
 
@@ -100,7 +102,7 @@ def frequent_slots(docs: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
-            for _, part in blocks((None, as_bytes(t)) for t in batch["text"]):
+            for _, part in blocks(((None, as_bytes(t)) for t in batch["text"]), BLOCK):
                 slots = np.concatenate(shingle_sets(part, size)) & np.uint64(SLOTS - 1)
                 total += np.bincount(slots.astype(np.int64), minlength=SLOTS)
         if total.any():
@@ -237,7 +239,7 @@ def compared(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 
 def batch_sets_of(texts: list[bytes], size: int) -> Iterator[tuple[int, np.ndarray]]:
-    for those, part in blocks(enumerate(texts)):
+    for those, part in blocks(enumerate(texts), BLOCK):
         yield from zip(those, shingle_sets(part, size), strict=True)
 
 
@@ -403,7 +405,7 @@ def jaccard_components(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE,
 ) -> DataFrame:
     """Every row with its set size and ``component_id``, the least key reachable by links."""
-    with short_lived_shuffles(docs.sparkSession):
+    with short_lived_shuffles(docs.sparkSession), small_batches(docs.sparkSession):
         made, sets = placed_rows(rows_of(docs, id_column, text), percent, size)
     name = F.coalesce("name.k", "k")  # rows without words name themselves
     return made.join(sets, ["d1", "d2", "n"], "left").select(
@@ -419,7 +421,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", per
     Rows are told apart by id and text, so a repeated id loses only the texts that have a copy
     elsewhere, and of rows equal in both one stays.
     """
-    with short_lived_shuffles(docs.sparkSession):
+    with short_lived_shuffles(docs.sparkSession), small_batches(docs.sparkSession):
         made, sets = placed_rows(rows_of(docs, id_column, text), percent, size)
     same = (F.col("name.k") == F.col("k")) & (F.col("name.h") == F.col("h"))
     stays = made.join(sets, ["d1", "d2", "n"], "left").filter((F.col("n") == 0) | same).select(
