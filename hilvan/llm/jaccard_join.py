@@ -59,7 +59,7 @@ MARK_BITS = 512
 LEADERS = (8, 64)
 #: Pairs with one leader that a task compares, on average, and texts unpacked at a time.
 FAMILY, SOME_TEXTS = 2_000, 64
-#: Bytes of text hashed at a time; a task holds some 60 times as much for it.
+#: Bytes of text hashed at a time; a task holds some 35 times as much for it.
 BLOCK = 1 << 18
 LINK_SHARE = 50
 #: Passes over the index entries, each of a share of the shingles; the shuffle of one goes before the next.

@@ -90,4 +90,4 @@ def test_sets_of_many_texts_take_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(sizes) == 1500 and min(sizes) > 300
-    assert peak < 40 << 20, peak
+    assert peak < 16 << 20, peak
