@@ -128,3 +128,24 @@ def test_remarks_of_a_hot_fibre_go_to_many_tasks(spark):
     got = out.withColumn("task", F.spark_partition_id()).collect()
     assert len(got) == 400 and len({r.task for r in got if r.fibra}) > 1
     assert {(r.fibra, r.sincroniza) for r in got} == {(" 7 ", "OM | BULK | V | a | b"), (None, "V")}
+
+
+def test_a_task_has_the_remarks_of_few_fibres_and_the_longest_first(spark):
+    from pyspark.sql import functions as F
+
+    from hilvan.operators.ports import append_remarks
+
+    rows = spark.range(4000).selectExpr("id", "CAST(id % 41 AS STRING) AS fibra", "IF(id % 2 = 0, 'V', NULL) AS sincroniza")
+    remarks = spark.range(40).selectExpr(
+        "CAST(id AS STRING) AS fibra", "'error' AS estado", "repeat('x', 100 + id % 8 * 1000) AS observacion", "id AS seq")
+    got = append_remarks(rows, remarks, "fibra", "sincroniza").withColumn("task", F.spark_partition_id()).collect()
+    assert len(got) == 4000
+    assert all(r.sincroniza is None or r.sincroniza in ("V", "OM | V") or "x" in r.sincroniza for r in got)
+    by_task = {}
+    for r in got:
+        by_task.setdefault(r.task, []).append((r.fibra, (r.sincroniza or "").count("x")))
+    # 64 pieces of each fibre were dealt to every task before, in the order of the fibres' names.
+    assert len({(t, f) for t, found in by_task.items() for f, _ in found}) < 41 * len(by_task) * 0.6
+    for found in by_task.values():
+        sizes = [n for _, n in found]
+        assert sizes == sorted(sizes, reverse=True)
