@@ -245,3 +245,48 @@ def test_lists_of_one_part_need_no_running_sum(spark):
     parts = sorted(mixed.collect(), key=lambda r: (str(r.k), r.part))
     assert [(r.part, r.entries) for r in parts if r.k == "a"] == [(0, 4), (1, 4), (2, 1)]
     assert {k: ",".join(r.text for r in parts if r.k == k) for k in want} == want
+
+
+def _histories(spark, part_bytes):
+    from hilvan.operators.reconcile import EVENT_COLUMNS, event_histories
+
+    events = spark.range(300).selectExpr(*[
+        {"n_acceso": "CAST(id % 7 AS STRING)", "anillo": "IF(id % 50 = 0, NULL, 'r')", "fecha": "CAST(1000 + id AS STRING)",
+         "observacion": "IF(id % 3 = 0, NULL, concat('o', id))", "cambio": "IF(id % 4 = 0, concat('c', id), '')"}.get(c, "'x'")
+        + f" AS {c}" for c in EVENT_COLUMNS
+    ])
+    return event_histories(events, part_bytes)
+
+
+def _whole_histories():
+    want = defaultdict(list)
+    for i in range(300):
+        if i % 50:
+            want[str(i % 7), "historial_actividades"].append("x" + (f" (c{i})" if i % 4 == 0 else ""))
+            want[str(i % 7), "historial_observaciones"].append(f"o{i}" if i % 3 else "")
+    between = {"historial_actividades": " → ", "historial_observaciones": " | "}
+    return {k: between[k[1]].join(v) for k, v in want.items()}, between
+
+
+def test_lists_in_parts_are_shuffled_once(spark):
+    """Both lists of an event go with its one row; before, rows were cut into chunks and joined for any list of several parts."""
+    df = _histories(spark, 40)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("RepartitionByExpression") == 1
+    assert plan.index("Generate") < plan.index("RepartitionByExpression")
+    df.collect()
+    assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("longest", [1, 300, 700, 1 << 20])
+def test_lists_longer_than_a_task_takes(spark, monkeypatch, longest):
+    monkeypatch.setattr(G, "PART_BYTES", longest)
+    monkeypatch.setattr(G, "SUMS", 3)
+    want, between = _whole_histories()
+    got = defaultdict(list)
+    for r in sorted(_histories(spark, 40).collect(), key=lambda r: r.part):
+        k = (r.n_acceso, r.lista)
+        start = len(between[r.lista].join([*got[k], ""]).encode()) if got[k] else 0
+        assert r.part == start // 40 and r.anillo == "r"
+        got[k].append(r.texto)
+    assert {k: between[k[1]].join(v) for k, v in got.items()} == want
