@@ -209,3 +209,25 @@ def test_ports_are_written_without_the_columns_of_the_name_rule(spark, monkeypat
     tables = audit.logical(exports(spark))
     audit_ports.audit_ports(tables["ports"], tables["buildings"])
     assert not {"building_norm", "nombre_cliente", "comentarios", "client_norm"} & set(written[0])
+
+
+def test_lookups_of_ports_are_no_aggregates_in_the_join(spark):
+    """Else the ports of one client, or without a name to look up, go to one task: no stage splits them."""
+    tables = audit.logical(exports(spark))
+    ready = audit_ports.prepare(tables["ports"], None, tables["buildings"])
+    assert "Aggregate" not in ready._jdf.queryExecution().optimizedPlan().toString()
+    assert found(ready, "id", "building", "building_norm", "client_norm", "_n_buildings") == [
+        ("p1", "ACME", "ACME", "", None), ("p2", "ACME", "ACME", "ACME", 1), ("p3", None, "", "", None)]
+    by_name = ready.sparkSession.createDataFrame([("p9", 9, "Acme S.A.S", "no")], "id string, seq long, n string, b string")
+    port = audit.select_aliases(
+        by_name.selectExpr("id", "n AS `nombre cliente`", "b AS `building.id`", "seq"), audit_ports.COLUMNS,
+        keep=["seq"], required=["id"])
+    assert found(audit_ports.prepare(port, None, tables["buildings"]), "building", "building_norm", "client_norm") == [
+        ("ACME", "ACME", "ACME")]
+
+
+def test_owners_are_looked_up_from_one_stored_table(spark):
+    tables = audit.logical(exports(spark))
+    owners = spark.createDataFrame([("100/a", "b1", "Ana", 1)], "cable_acceso string, id_edificio string, responsable string, seq int")
+    out = audit.all_findings(tables, owners, "R")
+    assert "responsable" not in out._jdf.queryExecution().optimizedPlan().toString()
